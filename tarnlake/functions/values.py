@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Strptime directives and the datetime pattern letters they stand for.
 _DATE_DIRECTIVES = {
@@ -137,3 +139,13 @@ def rate_pct(part: Column, whole: Column, empty: float) -> Column:
     return F.when(whole == 0, F.lit(empty)).otherwise(
         F.lit(100.0) * part.cast("double") / whole.cast("double")
     )
+
+
+@F.pandas_udf(T.StringType())
+def two_places(values: pd.Series) -> pd.Series:
+    """Two decimals, rounded on the exact binary value.
+
+    The JVM formatter rounds the shortest decimal text instead, which differs at ties. For result
+    rows of a report, not for data rows.
+    """
+    return values.map(lambda v: None if pd.isna(v) else f"{v:.2f}")

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.functions.values import is_missing, parse_iso_date, rate_pct, redact_key
+from tarnlake.functions.values import is_missing, parse_iso_date, rate_pct, redact_key, two_places
 from tarnlake.operators.masking import PERSONAL, SENSITIVE, FieldMask
 
 # Default thresholds in percent, earliest plausible date, store limits.
@@ -299,12 +299,12 @@ def batch_exceptions(outcomes: DataFrame, severity: str = "warn") -> DataFrame:
     """One exception row per failed check."""
     kind = F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair])
     at_least = F.col("rule_id") == "completeness"
-    limit = F.format_string("%.2f", F.col("threshold"))
+    limit = two_places(F.col("threshold"))
     return outcomes.where(~F.col("passed")).select(
         "rule_id",
         kind[F.col("rule_id")].alias("kind"),
         F.lit(severity).alias("severity"),
-        F.format_string("%.2f", F.col("measured_value")).alias("observed_value"),
+        two_places(F.col("measured_value")).alias("observed_value"),
         F.when(at_least, F.concat(F.lit(">="), limit))
         .otherwise(F.concat(F.lit("<="), limit))
         .alias("expected_value"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("metric_queries", "record_queries")
+MODULES = ("metric_queries", "record_queries", "entity_queries")
 
 
 def load_registry():
