@@ -183,7 +183,7 @@ def jaro_winkler_text(first: str, second: str) -> float:
 
 
 @F.pandas_udf(T.DoubleType())
-def jaro_winkler(first: pd.Series, second: pd.Series) -> pd.Series:
+def _jaro_winkler(first: pd.Series, second: pd.Series) -> pd.Series:
     """Jaro-Winkler over two columns of normalised text, one Arrow batch at a time."""
     out = np.full(len(first), np.nan)
     memo: dict[tuple[str, str], float] = {}
@@ -195,3 +195,14 @@ def jaro_winkler(first: pd.Series, second: pd.Series) -> pd.Series:
             score = memo[pair] = jaro_winkler_text(*pair)
         out[i] = score
     return pd.Series(out).where(~np.isnan(out), None)
+
+
+# Declared non-deterministic only so that a later filter on the score is not moved below it, which
+# would make Spark compute the similarity twice.
+jaro_winkler = _jaro_winkler.asNondeterministic()
+
+
+@F.pandas_udf(T.DoubleType())
+def round_score(scores: pd.Series) -> pd.Series:
+    """Four decimals, rounded on the exact binary value; the built-in rounds the decimal text."""
+    return scores.map(lambda v: round(v, 4))

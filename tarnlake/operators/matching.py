@@ -25,6 +25,7 @@ KINDS = ("exact", "jaro_winkler", "token_set")
 _EPS = 1e-9
 _TILE_ROWS = 2048
 _BUCKET_DIGITS = 3
+_NO_UNIT = "\x00"
 
 
 @dataclass(frozen=True)
@@ -208,7 +209,7 @@ def _raw(name: str) -> str:
 def prepare(records: DataFrame, rules: MatchRules) -> DataFrame:
     """Record id, block, unit, piece and the compared values; nothing else of the record."""
     normal, raw = _fields(rules)
-    unit = F.col(SCOPE_COLUMN).cast("string") if rules.within_unit else F.lit(None).cast("string")
+    unit = F.coalesce(F.col(SCOPE_COLUMN).cast("string"), F.lit(_NO_UNIT)) if rules.within_unit else F.lit("")
     slim = records.select(
         F.col(RECORD_ID),
         block_column(rules).alias("_block"),
@@ -224,13 +225,13 @@ def prepare(records: DataFrame, rules: MatchRules) -> DataFrame:
 _GROUP = ["_block", "_unit", "_chunk"]
 
 
-def _same(left: str, right: str, columns: list[str]) -> Column:
-    return reduce(
-        lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
-    )
+def _same(left: str, right: str, columns: list[str], nullable: tuple[str, ...] = ()) -> Column:
+    """Equality in all columns; two nulls are equal in the nullable ones."""
+    pairs = [(c, F.col(f"{left}.{c}"), F.col(f"{right}.{c}")) for c in columns]
+    return reduce(lambda x, y: x & y, [a.eqNullSafe(b) if c in nullable else a == b for c, a, b in pairs])
 
 
-def star_links(prepared: DataFrame, keys: list[str]) -> DataFrame:
+def star_links(prepared: DataFrame, keys: list[str], nullable: tuple[str, ...] = ()) -> DataFrame:
     """Link every record to the smallest record id with the same keys.
 
     The smallest id is a map-side-combined aggregate, and joining it back is one row per key, so
@@ -244,7 +245,7 @@ def star_links(prepared: DataFrame, keys: list[str]) -> DataFrame:
     )
     return (
         prepared.alias("r")
-        .join(hubs.alias("h"), _same("r", "h", keys))
+        .join(hubs.alias("h"), _same("r", "h", keys, nullable))
         .where(F.col(f"r.{RECORD_ID}") != F.col("hub"))
         .select(F.col("hub").alias("record_a_id"), F.col(f"r.{RECORD_ID}").alias("record_b_id"))
     )
@@ -283,6 +284,15 @@ def _matched(parts: list[tuple[SimilarField, Column]], left: str, right: str) ->
     return F.array_compact(F.array(*names))
 
 
+def _scored(
+    pairs: DataFrame, rule: SimilarRule, prefix: str = "_s"
+) -> tuple[DataFrame, list[tuple[SimilarField, Column]]]:
+    """Add a column per field similarity, so that each is computed once per pair."""
+    names = {f"{prefix}{i}": f for i, f in enumerate(rule.fields)}
+    rows = pairs.withColumns({n: _similarity(f, "a", "b") for n, f in names.items()})
+    return rows, [(f, F.col(n)) for n, f in names.items()]
+
+
 @dataclass(frozen=True)
 class Approach:
     """One way to a superset of a rule's matches: fields that must be equal, and at most one whose
@@ -395,7 +405,7 @@ def similar_pairs(
 ) -> tuple[DataFrame, DataFrame]:
     """Links inside value combinations, and scored matching pairs of combinations."""
     possible, keys = _profiles(prepared, rule)
-    inside = star_links(possible, keys)
+    inside = star_links(possible, keys, tuple(keys[len(_GROUP) :]))
     profiles = possible.groupBy(*keys).agg(F.min(RECORD_ID).alias("profile"))
     found: list[DataFrame] = []
     options = approaches(rule)
@@ -404,15 +414,12 @@ def similar_pairs(
     pairs = reduce(DataFrame.unionByName, found)
     if len(options) > 1:
         pairs = pairs.distinct()
-    scored = [(f, _similarity(f, "a", "b")) for f in rule.fields]
-    rows = pairs.select("a", "b")
-    total = _total(scored, "a", "b")
-    matched = _matched(scored, "a", "b")
+    rows, scored = _scored(pairs, rule)
     result = rows.select(
         F.col("a.profile").alias("record_a_id"),
         F.col("b.profile").alias("record_b_id"),
-        total.alias("score"),
-        matched.alias("matched_fields"),
+        _total(scored, "a", "b").alias("score"),
+        _matched(scored, "a", "b").alias("matched_fields"),
     ).where(F.col("score") >= rule.threshold)
     return inside, result
 
@@ -484,7 +491,7 @@ def _decision(
         F.lit(rule_id).alias("rule_id"),
         F.lit(strategy).alias("strategy"),
         F.lit(True).alias("is_match"),
-        F.round(score, 4).alias("confidence_score"),
+        score.alias("confidence_score"),
         fields.alias("matched_fields"),
         F.lit(version).alias("rule_set_version"),
     )
@@ -536,7 +543,12 @@ def match_links(records: DataFrame, rules: MatchRules) -> DataFrame:
         scored = inside.join(own, "record_b_id").unionByName(pairs)
         found.append(
             _decision(
-                scored, rule.rule_id, "probabilistic", F.col("score"), F.col("matched_fields"), rules.version
+                scored,
+                rule.rule_id,
+                "probabilistic",
+                text.round_score(F.col("score")),
+                F.col("matched_fields"),
+                rules.version,
             )
         )
     return reduce(DataFrame.unionByName, found)
@@ -557,14 +569,14 @@ def decide(pairs: DataFrame, records: DataFrame, rules: MatchRules) -> DataFrame
         .join(slim.alias("b"), F.col("p.record_b_id") == F.col(f"b.{RECORD_ID}"))
     )
     decisions = []
-    for rule in rules.rules:
+    for number, rule in enumerate(rules.rules):
         if isinstance(rule, ExactRule):
             score, fields, matched = _exact_decision(rule)
             strategy = "deterministic"
         else:
-            parts = [(f, _similarity(f, "a", "b")) for f in rule.fields]
+            joined, parts = _scored(joined, rule, f"_s{number}_")
             total = _total(parts, "a", "b")
-            matched, score = total >= rule.threshold, F.round(total, 4)
+            matched, score = total >= rule.threshold, text.round_score(total)
             fields, strategy = _matched(parts, "a", "b"), "probabilistic"
         decisions.append(
             F.struct(

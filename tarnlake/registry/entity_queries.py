@@ -196,14 +196,42 @@ _JW = """(j + 0.1 * (CASE WHEN substr(x, 1, 4) = substr(y, 1, 4) AND least(lengt
                          WHEN substr(x, 1, 1) = substr(y, 1, 1) THEN 1 ELSE 0 END) * (1 - j))"""
 
 
+def _with_jaro(pairs: str) -> str:
+    """Check SQL: adds ``j``, the Jaro similarity of ``x`` and ``y``, to a pair query.
+
+    The built-in function halves an odd number of transpositions downwards; this does not. The
+    text is folded character by character; a matched character of ``y`` becomes ``chr(2)``.
+    """
+    i, ch = "cast(substr(e, 1, 4) AS integer)", "substr(e, 5, 1)"
+    left_over, taken = "split_part(acc, chr(1), 1)", "split_part(acc, chr(1), 2)"
+    reach = "(greatest(length(x), length(y)) // 2 - 1)"
+    start = f"greatest(1, {i} - {reach})"
+    window = f"substr({left_over}, {start}, greatest(least(length(y), {i} + {reach}) - {start} + 1, 0))"
+    at = f"({start} + instr({window}, {ch}) - 1)"
+    step = f"""CASE WHEN instr({window}, {ch}) > 0 THEN substr({left_over}, 1, {at} - 1) || chr(2)
+                 || substr({left_over}, {at} + 1) || chr(1) || {taken} || {ch} ELSE acc END"""
+    return f"""
+    SELECT *, CASE WHEN x = y THEN 1.0 WHEN length(l) = 0 THEN 0.0 ELSE
+        (length(l) / length(x) + length(l) / length(y) + (length(l)
+          - len(list_filter(range(1, length(l) + 1), lambda k: substr(l, k, 1) <> substr(r, k, 1))) / 2) / length(l)) / 3
+        END AS j FROM (
+      SELECT *, split_part(acc, chr(1), 2) AS l, array_to_string(list_transform(range(1, length(y) + 1),
+        lambda k: CASE WHEN substr(acc, k, 1) = chr(2) THEN substr(y, k, 1) ELSE '' END), '') AS r FROM (
+        SELECT *, list_reduce(list_transform(range(1, length(x) + 1),
+          lambda k: lpad(cast(k AS varchar), 4, '0') || substr(x, k, 1)), lambda acc, e: {step}, y || chr(1)) AS acc
+        FROM ({pairs}) pairs) f) h
+    """
+
+
 def _name_links(group: str = "block", where: str = "true") -> str:
     profiles = f"SELECT {group} AS g, nm, sg, min(id) AS profile FROM ({_VIEW}) v WHERE {where} GROUP BY ALL"
+    pairs = _with_jaro(
+        f"""SELECT a.profile AS record_a_id, b.profile AS record_b_id, a.nm AS x, b.nm AS y
+            FROM ({profiles}) a JOIN ({profiles}) b ON a.g = b.g AND a.sg = b.sg AND a.profile < b.profile"""
+    )
     return f"""
-    SELECT record_a_id, record_b_id, 'name-segment-fuzzy' AS rule_id, round(s, 4) AS confidence_score FROM (
-      SELECT record_a_id, record_b_id, {_JW} * 0.65 + 0.35 AS s FROM (
-        SELECT a.profile AS record_a_id, b.profile AS record_b_id, a.nm AS x, b.nm AS y,
-               jaro_similarity(a.nm, b.nm) AS j
-        FROM ({profiles}) a JOIN ({profiles}) b ON a.g = b.g AND a.sg = b.sg AND a.profile < b.profile) p) q
+    SELECT record_a_id, record_b_id, 'name-segment-fuzzy' AS rule_id, cast(printf('%.4f', s) AS double) AS confidence_score FROM (
+      SELECT record_a_id, record_b_id, {_JW} * 0.65 + 0.35 AS s FROM ({pairs}) p) q
     WHERE s >= 0.88
     UNION ALL
     SELECT hub, id, 'name-segment-fuzzy', 1.0 FROM (
@@ -224,7 +252,7 @@ _WORDS = r"list_distinct(list_filter(string_split(nm, ' '), lambda w: w <> ''))"
     "er_token_set",
     f"""
     WITH p AS (SELECT nm, sg, min(id) AS profile, {_WORDS} AS w FROM ({_VIEW}) v GROUP BY nm, sg)
-    SELECT record_a_id, record_b_id, round(s, 4) AS confidence_score FROM (
+    SELECT record_a_id, record_b_id, cast(printf('%.4f', s) AS double) AS confidence_score FROM (
       SELECT a.profile AS record_a_id, b.profile AS record_b_id,
              len(list_intersect(a.w, b.w)) / (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w))) * 0.7 + 0.3 AS s
       FROM p a JOIN p b ON a.sg = b.sg AND a.profile < b.profile) x WHERE s >= 0.85
@@ -396,12 +424,15 @@ derived(
     FROM {customer} WHERE c_custkey % 2 = 1
     """,
 )
+_LABEL_PAIRS = _with_jaro(
+    f"""SELECT l.record_a_id, l.record_b_id, l.is_true_match, coalesce(a.em = b.em, false) AS ex, a.nm AS x, b.nm AS y,
+               a.sg AS sa, b.sg AS sb
+        FROM {{people_labels}} l JOIN ({_VIEW}) a ON l.record_a_id = a.id JOIN ({_VIEW}) b ON l.record_b_id = b.id"""
+)
 _DECIDED = f"""
-    SELECT record_a_id, record_b_id, ex, round(coalesce({_JW}, 0) * 0.65 + CASE WHEN sa = sb THEN 0.35 ELSE 0 END, 4) AS score,
+    SELECT record_a_id, record_b_id, ex, cast(printf('%.4f', coalesce({_JW}, 0) * 0.65 + CASE WHEN sa = sb THEN 0.35 ELSE 0 END) AS double) AS score,
            coalesce({_JW}, 0) * 0.65 + CASE WHEN sa = sb THEN 0.35 ELSE 0 END >= 0.88 AS fz, is_true_match, {_JW} > 0.5 AS nf, sa = sb AS sf
-    FROM (SELECT l.record_a_id, l.record_b_id, l.is_true_match, coalesce(a.em = b.em, false) AS ex, a.nm AS x, b.nm AS y,
-                 a.sg AS sa, b.sg AS sb, jaro_similarity(a.nm, b.nm) AS j
-          FROM {{people_labels}} l JOIN ({_VIEW}) a ON l.record_a_id = a.id JOIN ({_VIEW}) b ON l.record_b_id = b.id) p
+    FROM ({_LABEL_PAIRS}) p
 """
 
 
