@@ -183,7 +183,7 @@ def _metric(text: str, tag: str | None) -> Metric:
         return Metric(name, kind="ratio", numerator=top, denominator=bottom, tag=tag)
     aggregation, column = body.rstrip(")").split("(")
     scale = None
-    if aggregation in ("sum", "avg") and name not in _WHOLE_NUMBERS:
+    if aggregation == "sum" and name not in _WHOLE_NUMBERS:
         scale = _MONEY_SCALE
     return Metric(name, aggregation, column, tag=tag, scale=scale)
 

@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("metric_queries", "record_queries", "entity_queries")
+MODULES = (
+    "metric_queries",
+    "record_queries",
+    "entity_queries",
+    "flow_queries",
+    "kpi_queries",
+    "stream_queries",
+)
 
 
 def load_registry():
