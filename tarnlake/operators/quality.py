@@ -130,9 +130,8 @@ def record_report(df: DataFrame, checks: Iterable[RecordCheck]) -> DataFrame:
 
 def record_violations(df: DataFrame, checks: Iterable[RecordCheck], keys: list[str]) -> DataFrame:
     """One row per violation with the keys of its record."""
-    return with_violations(df, checks).select(*keys, F.explode("_violations").alias("v")).select(
-        *keys, "v.*"
-    )
+    found = with_violations(df, checks).select(*keys, F.explode("_violations").alias("_found"))
+    return found.select(*keys, "_found.*")
 
 
 # batch checks: outcome rows (rule_id, measured_value, threshold, passed) and exception rows

@@ -137,7 +137,7 @@ def drift_summary(changes: DataFrame) -> DataFrame:
     """One row: number of changes, the worst class, and whether transformation must stop."""
     order = F.array(*[F.lit(c) for c in CLASSES])
     rank = F.array_position(order, F.col("classification"))
-    worst = F.coalesce(F.element_at(order, F.max(rank).cast("int")), F.lit(CLASSES[0]))
+    worst = F.coalesce(F.max_by("classification", rank), F.lit(CLASSES[0]))
     return changes.agg(
         F.count(F.lit(1)).alias("changes"), worst.alias("overall_classification")
     ).withColumn("is_transformation_blocked", F.col("overall_classification") == "breaking")
