@@ -424,20 +424,19 @@ def similar_pairs(
     return inside, result
 
 
-def _bound(rule: SimilarRule) -> Column:
-    """A score no pair exceeds, from built-in expressions, to spare most pairs the exact one."""
+def _bound(rule: SimilarRule, known_equal: tuple[str, ...]) -> Column:
+    """A score no pair exceeds, from built-in expressions, to spare most pairs the exact one.
+
+    Fields that the join already makes equal count in full.
+    """
     parts: list[tuple[SimilarField, Column]] = []
     for f in rule.fields:
-        if f.kind == "jaro_winkler":
+        if f.field in known_equal:
+            parts.append((f, F.lit(1.0)))
+        elif f.kind == "jaro_winkler":
             name = _normal(f.field)
-            parts.append(
-                (
-                    f,
-                    text.jaro_winkler_bound(
-                        F.col(f"a.{name}"), F.col(f"b.{name}"), F.col(f"a.l_{name}"), F.col(f"b.l_{name}")
-                    ),
-                )
-            )
+            bound = text.jaro_winkler_bound(F.col(f"a.l_{name}"), F.col(f"b.l_{name}"))
+            parts.append((f, bound))
         else:
             parts.append((f, _similarity(f, "a", "b")))
     return _total(parts, "a", "b")
@@ -456,17 +455,21 @@ def _candidates(
         keys.append("_word")
     keyed = _in_cells(keyed, keys, bounded)
     letters = {
-        f"l_{_normal(f.field)}": text.numbered_letters(F.col(_normal(f.field)))
+        f"l_{_normal(f.field)}": text.letter_profile(F.col(_normal(f.field)))
         for f in rule.fields
         if f.kind == "jaro_winkler"
     }
     side = keyed.withColumns(letters) if letters else keyed
+    # The join is heavy in comparisons, not in bytes: a fixed number of partitions keeps adaptive
+    # execution from merging it into few tasks. Cells bound the size of a group.
+    tasks = int(side.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    side = side.repartition(tasks, *keys, "_low", "_high")
     once = (F.col("a._low") == F.col("a._high")) | (F.col("a._tile") != F.col("b._tile"))
     condition = (
         _same("a", "b", [*keys, "_low", "_high"])
         & (F.col("a.profile") < F.col("b.profile"))
         & once
-        & (_bound(rule) >= rule.threshold - _EPS)
+        & (_bound(rule, approach.equal) >= rule.threshold - _EPS)
     )
     if approach.words is not None:
         shared = F.array_intersect(F.col("a._prefix"), F.col("b._prefix"))

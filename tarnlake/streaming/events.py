@@ -17,14 +17,16 @@ DEDUPE_HOURS = 48
 ENTITY_PATTERN = r"^[a-z][a-z0-9\-]{1,63}$"
 
 
-def _first_present(body: Column, names: tuple[str, ...]) -> Column:
-    values = [F.nullif(F.get_json_object(body, f"$.{n}"), F.lit("")) for n in names]
-    return F.coalesce(*values)
+_BODY = ", ".join(f"{n} string" for n in dict.fromkeys(EVENT_ID_NAMES + EVENT_TYPE_NAMES))
 
 
-def event_id(body: Column) -> Column:
+def _first_present(parsed: Column, names: tuple[str, ...]) -> Column:
+    return F.coalesce(*[F.nullif(parsed[n], F.lit("")) for n in names])
+
+
+def event_id(body: Column, parsed: Column) -> Column:
     """The provider's event id, else a hash of the body."""
-    return F.coalesce(_first_present(body, EVENT_ID_NAMES), F.sha2(body, 256))
+    return F.coalesce(_first_present(parsed, EVENT_ID_NAMES), F.sha2(body, 256))
 
 
 def event_key(tenant: Column, connection: Column, event: Column) -> Column:
@@ -33,21 +35,25 @@ def event_key(tenant: Column, connection: Column, event: Column) -> Column:
     )
 
 
-def entity_for(source: Column, body: Column) -> Column:
+def entity_for(source: Column, parsed: Column) -> Column:
     """Target entity from the event's type; an unusable type goes to the source's inbox."""
-    kind = F.lower(F.trim(_first_present(body, EVENT_TYPE_NAMES)))
+    kind = F.lower(F.trim(_first_present(parsed, EVENT_TYPE_NAMES)))
     named = F.concat(source, F.lit("-"), F.translate(kind, "._", "--"))
     inbox = F.concat(source, F.lit("-webhook"))
-    return F.when(kind.isNotNull() & (kind != "") & named.rlike(ENTITY_PATTERN), named).otherwise(inbox)
+    return F.when(F.coalesce(named.rlike(ENTITY_PATTERN) & (kind != ""), F.lit(False)), named).otherwise(inbox)
 
 
 def identify(events: DataFrame) -> DataFrame:
     """Add event id, key and entity to ``(tenant_code, connection_id, source_id, body, ...)``."""
-    return events.withColumn("event_id", event_id(F.col("body"))).withColumns(
+    parsed = events.withColumn("_parsed", F.from_json("body", _BODY))
+    named = parsed.withColumns(
         {
-            "event_key": event_key(F.col("tenant_code"), F.col("connection_id"), F.col("event_id")),
-            "entity_id": entity_for(F.col("source_id"), F.col("body")),
+            "event_id": event_id(F.col("body"), F.col("_parsed")),
+            "entity_id": entity_for(F.col("source_id"), F.col("_parsed")),
         }
+    ).drop("_parsed")
+    return named.withColumn(
+        "event_key", event_key(F.col("tenant_code"), F.col("connection_id"), F.col("event_id"))
     )
 
 

@@ -45,14 +45,24 @@ def test_jaro_winkler_column_and_bound(spark):
     words = ["martha", "marhta", "dixon", "dicksonx", "dwayne", "duane", "", "zz", "aab", "baa", "abab"]
     df = spark.createDataFrame([(w,) for w in words], "w string")
     pairs = df.select(F.col("w").alias("a")).crossJoin(df.select(F.col("w").alias("b")))
-    la, lb = text.numbered_letters(F.col("a")), text.numbered_letters(F.col("b"))
-    rows = pairs.select(
-        "a", "b", text.jaro_winkler("a", "b").alias("s"), text.jaro_winkler_bound(F.col("a"), F.col("b"), la, lb).alias("u")
-    ).collect()
-    for r in rows:
+    bound = text.jaro_winkler_bound(text.letter_profile(F.col("a")), text.letter_profile(F.col("b")))
+    for r in pairs.select("a", "b", text.jaro_winkler("a", "b").alias("s"), bound.alias("u")).collect():
         assert r.s == pytest.approx(text.jaro_winkler_text(r.a, r.b))
-        if r.a and r.b:
-            assert r.u >= r.s - 1e-12, r
+        assert r.u >= r.s - 1e-12, r
+
+
+def test_batch_equals_text_by_text_and_bound_holds(spark):
+    import random
+
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcde é") for _ in range(rng.randrange(1, 18))) for _ in range(60)]
+    words += ["a" * 40, "a" * 300, "ab" * 70, "b" * 41, "", "x", "\x00y"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    pairs = df.select(F.col("w").alias("a")).crossJoin(df.select(F.col("w").alias("b")))
+    bound = text.jaro_winkler_bound(text.letter_profile(F.col("a")), text.letter_profile(F.col("b")))
+    for r in pairs.select("a", "b", text.jaro_winkler("a", "b").alias("s"), bound.alias("u")).collect():
+        assert r.s == text.jaro_winkler_text(r.a, r.b), r
+        assert r.u >= r.s - 1e-12, r
 
 
 @pytest.mark.parametrize(
