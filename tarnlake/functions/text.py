@@ -117,28 +117,34 @@ def token_overlap(a: Column, b: Column) -> Column:
 _SET_WORDS = 4
 
 
-def letter_profile(normalised: Column) -> Column:
-    """What the similarity bound needs of a text, computed once per value.
-
-    ``w0..w3`` is a 256-bit set of the letters, in which the second ``a`` is another item than the
-    first; ``lost`` counts letters that fell on a bit already set; ``size`` is the length and
-    ``share`` its inverse; ``p1..p4`` are hashes of the leading letters.
-    """
+def letter_slots(normalised: Column) -> Column:
+    """A bit number per letter; the second ``a`` of a text is another item than the first."""
     letters = F.array_sort(F.filter(F.split(normalised, ""), lambda c: c != ""))
-    slots = F.transform(
+    return F.transform(
         letters,
         lambda c, i: F.pmod(
             F.xxhash64(c, i - F.array_position(letters, c).cast("int")), F.lit(64 * _SET_WORDS)
         ).cast("int"),
     )
 
-    def word(n: int) -> Column:
-        def bit(slot: Column) -> Column:
-            one = F.lit(1).cast("long")
-            shifted = F.call_function("shiftleft", one, F.pmod(slot, F.lit(64)))
-            return F.when(F.floor(slot / 64) == n, shifted).otherwise(F.lit(0).cast("long"))
 
-        return F.aggregate(slots, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(bit(x)))
+def letter_profile(normalised: Column, slots: Column) -> Column:
+    """What the similarity bound needs of a text, computed once per value.
+
+    ``w0..w3`` is the set of its letters as 256 bits; ``lost`` counts letters that fell on a bit
+    already set; ``size`` is the length and ``share`` its inverse; ``p1..p4`` are hashes of the
+    leading letters. ``slots`` is ``letter_slots`` of the text, as a column of its own so that it is
+    evaluated once.
+    """
+
+    def word(n: int) -> Column:
+        mine = F.filter(slots, lambda x: (x >= 64 * n) & (x < 64 * n + 64))
+        one = F.lit(1).cast("long")
+        return F.aggregate(
+            mine,
+            F.lit(0).cast("long"),
+            lambda acc, x: acc.bitwiseOR(F.call_function("shiftleft", one, x - 64 * n)),
+        )
 
     size = F.greatest(F.length(normalised), F.lit(1))
     return F.struct(

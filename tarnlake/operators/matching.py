@@ -23,7 +23,7 @@ SOURCE_ID = "_source_id"
 KINDS = ("exact", "jaro_winkler", "token_set")
 
 _EPS = 1e-9
-_TILE_ROWS = 2048
+_TILE_ROWS = 512
 _BUCKET_DIGITS = 3
 _NO_UNIT = "\x00"
 
@@ -447,19 +447,19 @@ def _candidates(
 ) -> DataFrame:
     """Pairs of combinations as two structs, each pair once, pruned by the score bound."""
     keyed = profiles
+    letters = [_normal(f.field) for f in rule.fields if f.kind == "jaro_winkler"]
+    if letters:
+        keyed = keyed.withColumns({f"t_{n}": text.letter_slots(F.col(n)) for n in letters})
+        keyed = keyed.withColumns(
+            {f"l_{n}": text.letter_profile(F.col(n), F.col(f"t_{n}")) for n in letters}
+        ).drop(*[f"t_{n}" for n in letters])
     for f in approach.equal:
         keyed = keyed.where(F.col(_normal(f)).isNotNull())
     keys = [*_GROUP, *[_normal(f) for f in approach.equal]]
     if approach.words is not None:
         keyed = _with_rare_words(keyed.where(F.col(_normal(approach.words)).isNotNull()), approach)
         keys.append("_word")
-    keyed = _in_cells(keyed, keys, bounded)
-    letters = {
-        f"l_{_normal(f.field)}": text.letter_profile(F.col(_normal(f.field)))
-        for f in rule.fields
-        if f.kind == "jaro_winkler"
-    }
-    side = keyed.withColumns(letters) if letters else keyed
+    side = _in_cells(keyed, keys, bounded)
     # The join is heavy in comparisons, not in bytes: a fixed number of partitions keeps adaptive
     # execution from merging it into few tasks. Cells bound the size of a group.
     tasks = int(side.sparkSession.conf.get("spark.sql.shuffle.partitions"))

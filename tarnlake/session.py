@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_LOCAL_CONF = "tarnlake.local.dir"
 
 
 def build_session(
@@ -56,10 +57,13 @@ def shared_base(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return os.path.dirname(current.rstrip("/"))
+    local = spark.conf.get(_LOCAL_CONF, None)
+    if local:
+        return local
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
     base = tempfile.mkdtemp(prefix="tarnlake-")
-    context.setCheckpointDir(base)
+    spark.conf.set(_LOCAL_CONF, base)
     return base
 
 
@@ -69,9 +73,11 @@ def work_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives the loss of an executor."""
-    context = df.sparkSession.sparkContext
-    base = shared_base(df.sparkSession)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(base)
-    return df.checkpoint(eager=True)
+    """Write the rows to a table in the shared folder and read them back.
+
+    Like a reliable checkpoint the result survives the loss of executors; being columnar it also
+    keeps column pruning and size statistics for the plans that read it.
+    """
+    path = work_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

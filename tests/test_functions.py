@@ -45,7 +45,7 @@ def test_jaro_winkler_column_and_bound(spark):
     words = ["martha", "marhta", "dixon", "dicksonx", "dwayne", "duane", "", "zz", "aab", "baa", "abab"]
     df = spark.createDataFrame([(w,) for w in words], "w string")
     pairs = df.select(F.col("w").alias("a")).crossJoin(df.select(F.col("w").alias("b")))
-    bound = text.jaro_winkler_bound(text.letter_profile(F.col("a")), text.letter_profile(F.col("b")))
+    bound = text.jaro_winkler_bound(*[text.letter_profile(F.col(c), text.letter_slots(F.col(c))) for c in "ab"])
     for r in pairs.select("a", "b", text.jaro_winkler("a", "b").alias("s"), bound.alias("u")).collect():
         assert r.s == pytest.approx(text.jaro_winkler_text(r.a, r.b))
         assert r.u >= r.s - 1e-12, r
@@ -59,7 +59,7 @@ def test_batch_equals_text_by_text_and_bound_holds(spark):
     words += ["a" * 40, "a" * 300, "ab" * 70, "b" * 41, "", "x", "\x00y"]
     df = spark.createDataFrame([(w,) for w in words], "w string")
     pairs = df.select(F.col("w").alias("a")).crossJoin(df.select(F.col("w").alias("b")))
-    bound = text.jaro_winkler_bound(text.letter_profile(F.col("a")), text.letter_profile(F.col("b")))
+    bound = text.jaro_winkler_bound(*[text.letter_profile(F.col(c), text.letter_slots(F.col(c))) for c in "ab"])
     for r in pairs.select("a", "b", text.jaro_winkler("a", "b").alias("s"), bound.alias("u")).collect():
         assert r.s == text.jaro_winkler_text(r.a, r.b), r
         assert r.u >= r.s - 1e-12, r
