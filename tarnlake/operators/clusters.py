@@ -10,7 +10,7 @@ from tarnlake.session import cut_lineage
 
 MAX_ROUNDS = 100
 LIST_LIMIT = 10_000
-_BUCKET_DIGITS = 3
+_BUCKET_DIGITS = 4
 
 
 def _fingerprint(edges: DataFrame) -> tuple:

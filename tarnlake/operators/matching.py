@@ -24,7 +24,7 @@ KINDS = ("exact", "jaro_winkler", "token_set")
 
 _EPS = 1e-9
 _TILE_ROWS = 512
-_BUCKET_DIGITS = 3
+_BUCKET_DIGITS = 4
 _NO_UNIT = "\x00"
 
 

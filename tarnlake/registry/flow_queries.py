@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.operators import benchmark, graph, incremental, lifecycle, mapping, masking, merge
-from tarnlake.operators import quality, schema, scope
+from tarnlake.operators import matching, quality, schema, scope, survivorship
 from tarnlake.plans import jobs
 from tarnlake.registry.base import Tables, derived, query
 from tarnlake.session import work_path
@@ -522,6 +522,28 @@ def analytics_latest(t: Tables) -> DataFrame:
     return layers.latest_analytics(t.spark, path).select("golden_id")
 
 
+@query(
+    "golden_publish",
+    """
+    SELECT 'golden' AS part, count(DISTINCT email) AS rows FROM {people} p WHERE email IS NOT NULL
+    UNION ALL SELECT 'membership', 2 * count(*) FROM {people} q
+    UNION ALL SELECT 'decisions', count(*) FROM {people} r
+    """,
+)
+def golden_publish(t: Tables) -> DataFrame:
+    path = work_path(t.spark, "golden")
+    people = t.people.select(F.col("c_custkey").alias("pk"), F.col("email").alias("email_address"), "full_name", "scope_unit_id")
+    records = matching.union_sources({"crm": people, "erp": people}, "pk")
+    rules = matching.MatchRules("person", "v1", (matching.ExactRule("email", (matching.ExactField("email_address"),)),))
+    done = jobs.resolve_entities(records, rules, survivorship.Survivorship("person", "v1"), "run-1")
+    sinks.publish_golden(done.golden, done.links, done.membership, path, date(2024, 1, 1), "run-1")
+    parts = [
+        layers.read_layer(t.spark, f"{path}/{p}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(p).alias("part"), "rows")
+        for p in ("golden", "membership", "decisions")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 _EXPORTED = """
     SELECT golden_id, stage, scope_unit_id FROM {golden_company} WHERE scope_unit_id IN ('unit-3', 'unit-4', 'unit-5')
 """

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _LOCAL_CONF = "tarnlake.local.dir"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(
@@ -22,7 +23,8 @@ def build_session(
 
     Adaptive execution coalesces small shuffle partitions and splits skewed join partitions at run
     time. Leave ``shuffle_partitions`` unset on a cluster and size it there with
-    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``.
+    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``; the pair comparisons of matching
+    use ``spark.sql.shuffle.partitions`` tasks. Streaming state lives in RocksDB, outside the heap.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -33,6 +35,7 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
         .config("spark.ui.enabled", "false")
     )
     if master:

@@ -23,36 +23,39 @@ def read_layer(
     return reader.parquet(path)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a partition column directly below a path, from one folder listing, in text order."""
     jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
 
 
-def latest_partition(df: DataFrame, columns: list[str]) -> DataFrame | None:
-    """Rows of the greatest partition, compared column by column; None without data.
+def latest_run(spark: SparkSession, path: str, columns: list[str]) -> DataFrame | None:
+    """Rows of the greatest partition, column by column in text order; None without data.
 
-    Only partition columns are read to find it, and the filter prunes the scan to that partition.
+    Only the folders on the way are listed, and only the chosen one is read, however many runs the
+    layer has kept.
     """
-    row = df.agg(F.max(F.struct(*columns)).alias("p")).first()
-    if row is None or row["p"] is None:
-        return None
-    for name in columns:
-        df = df.where(F.col(name) == F.lit(row["p"][name]))
-    return df
+    chosen = path.rstrip("/")
+    for column in columns:
+        values = partition_values(spark, chosen, column)
+        if not values:
+            return None
+        chosen = f"{chosen}/{column}={values[-1]}"
+    return spark.read.option("basePath", path).parquet(chosen)
 
 
 def latest_curated(spark: SparkSession, path: str) -> DataFrame | None:
     """Latest run of the latest date of a curated entity; None on the first run."""
-    if not exists(spark, path):
-        return None
-    return latest_partition(read_layer(spark, path), ["curated_date", "run_id"])
+    return latest_run(spark, path, ["curated_date", "run_id"])
 
 
 def latest_analytics(spark: SparkSession, path: str) -> DataFrame | None:
-    if not exists(spark, path):
-        return None
-    return latest_partition(read_layer(spark, path), ["analytics_date"])
+    return latest_run(spark, path, ["analytics_date"])
 
 
 def register_views(spark: SparkSession, inputs: Mapping[str, DataFrame | str]) -> None:

@@ -13,12 +13,11 @@ from tarnlake.operators.merge import changed_rows, upsert
 from tarnlake.operators.scope import SCOPE_COLUMN, ScopeFilter
 from tarnlake.operators.survivorship import flatten_lists
 
-# Columns that stay inside the resolution layer; rows per raw file.
+# Columns that stay inside the resolution layer.
 INTERNAL_COLUMNS = (
     "_record_id", "_source_id", "contributing_source_records", "survivorship_version",
     "match_run_id", "field_provenance",
 )
-RAW_ROWS_PER_FILE = 50_000
 EXPORT_FORMATS = ("csv", "json", "parquet")
 
 
@@ -38,10 +37,22 @@ def as_raw(df: DataFrame) -> DataFrame:
 
 
 def write_raw(
-    df: DataFrame, path: str, extraction_date: str, run_id: str, rows_per_file: int | None = RAW_ROWS_PER_FILE
+    df: DataFrame,
+    path: str,
+    extraction_date: str,
+    run_id: str,
+    rows_per_file: int | None = None,
+    order_by: str | None = None,
 ) -> int:
-    """Append a run's rows as text; returns the row count. A run without rows writes no file."""
-    counted, seen = _counted(as_raw(df))
+    """Append a run's rows as text; returns the row count. A run without rows writes no file.
+
+    ``order_by`` writes files that follow each other in the order of a column, such as the
+    watermark. ``rows_per_file`` limits the size of a file.
+    """
+    rows = df
+    if order_by is not None:
+        rows = df.repartitionByRange(F.col(order_by)).sortWithinPartitions(order_by)
+    counted, seen = _counted(as_raw(rows))
     tagged = counted.withColumn("extraction_date", F.lit(extraction_date)).withColumn("run_id", F.lit(run_id))
     writer = tagged.write.mode("append").partitionBy("extraction_date", "run_id")
     if rows_per_file:

@@ -22,18 +22,30 @@ def test_raw_is_text_and_append_only(spark, tmp_path):
     assert sinks.write_raw(df.limit(0), path, "2024-01-02", "r3") == 0
 
 
-def test_latest_partition_of_nothing(spark, tmp_path):
+def test_raw_files_can_follow_the_watermark(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    df = spark.range(0, 1000, 1, 8).selectExpr("id", "(id * 7919) % 1000 AS w")
+    assert sinks.write_raw(df, path, "2024-01-01", "r", rows_per_file=100, order_by="w") == 1000
+    per_file = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(
+        F.min(F.col("w").cast("int")).alias("lo"), F.max(F.col("w").cast("int")).alias("hi"), F.count(F.lit(1)).alias("n")
+    )
+    files = sorted((r.lo, r.hi, r.n) for r in per_file.collect())
+    assert all(a[1] < b[0] for a, b in zip(files, files[1:])) and max(f[2] for f in files) <= 100
+
+
+def test_latest_run_of_nothing(spark, tmp_path):
     assert layers.latest_curated(spark, str(tmp_path / "none")) is None
-    empty = spark.createDataFrame([], "curated_date string, run_id string")
-    assert layers.latest_partition(empty, ["curated_date", "run_id"]) is None
+    (tmp_path / "empty").mkdir()
+    assert layers.latest_analytics(spark, str(tmp_path / "empty")) is None
 
 
-def test_latest_partition_prunes_the_scan(spark, tmp_path):
+def test_latest_run_reads_one_partition(spark, tmp_path):
     path = str(tmp_path / "cur")
-    for day in (1, 2):
-        sinks.write_curated(spark.range(5), path, date(2024, 1, day), f"r{day}")
-    plan = layers.latest_curated(spark, path)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(curated_date" in plan
+    for day, run in ((1, "z"), (2, "a"), (2, "b")):
+        sinks.write_curated(spark.range(day), path, date(2024, 1, day), run)
+    got = layers.latest_curated(spark, path)
+    assert {(str(r.curated_date), r.run_id) for r in got.collect()} == {("2024-01-02", "b")}
+    assert all("curated_date=2024-01-02/run_id=b" in f for f in got.inputFiles())
 
 
 def test_empty_layers_are_refused(spark, tmp_path):
