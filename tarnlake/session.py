@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _LOCAL_CONF = "tarnlake.local.dir"
+_SHIPPED_CONF = "tarnlake.shipped"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -44,7 +46,29 @@ def build_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Give every Python worker of the session this package, once per Spark application.
+
+    The sources go as one zip through ``addPyFile``, so that functions inside Arrow and pandas steps
+    resolve on executors that have neither the package installed nor the driver's folders.
+    """
+    context = spark.sparkContext
+    if spark.conf.get(_SHIPPED_CONF, None) == context.applicationId:
+        return spark
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tarnlake-zip-"), "tarnlake_package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    spark.conf.set(_SHIPPED_CONF, context.applicationId)
+    return spark
 
 
 def shared_base(spark: SparkSession) -> str:
