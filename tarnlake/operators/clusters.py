@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnlake.operators.matching import RECORD_ID
 from tarnlake.session import cut_lineage
 
-MAX_ROUNDS = 100
-LIST_LIMIT = 10_000
-_BUCKET_DIGITS = 4
-
 
 def _fingerprint(edges: DataFrame) -> tuple:
     """Size and hash sum of an edge set: one row, whatever its size."""
@@ -38,9 +39,7 @@ def connected_components(nodes: DataFrame, links: DataFrame, node: str = RECORD_
         links.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     )
     state = _fingerprint(edges)
-    for _ in range(MAX_ROUNDS):
-        if state[0] == 0:
-            break
+    while state[0] > 0:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         near = _smallest(both).select("u", F.least("u", "m").alias("m"))
         large = (
@@ -62,72 +61,58 @@ def connected_components(nodes: DataFrame, links: DataFrame, node: str = RECORD_
         if now == state:
             break
         state = now
-    else:
-        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     roots = edges.select(F.col("u").alias(node), F.col("v").alias("_root"))
     return nodes.select(node).join(roots, node, "left").select(
         node, F.coalesce("_root", node).alias("cluster")
     )
 
 
-def _golden(prefix: str, members: Column) -> Column:
-    digest = F.sha2(F.concat(F.lit(prefix), members), 256)
-    return F.concat(F.lit("gid-"), F.substring(digest, 1, 16))
-
-
 def golden_ids(
     membership: DataFrame,
     entity_type: str,
     namespace: str = "_source_id",
     node: str = RECORD_ID,
-    list_limit: int = LIST_LIMIT,
 ) -> DataFrame:
-    """``cluster, golden_id, members, member_count`` per cluster.
+    """``cluster, golden_id, member_count`` per cluster.
 
     The id is ``gid-`` and 16 hex digits of the SHA-256 over namespace, entity type and the sorted
-    member ids. A cluster with more than ``list_limit`` members is never gathered into one list:
-    its members are hashed per hash bucket and the bucket digests are hashed again, and ``members``
-    is null. The membership table holds all members of every cluster.
+    member ids, for clusters of any size: the sorted members of a cluster run through the hash as a
+    stream, so no list of them is ever held. Who belongs to a cluster is in ``membership``.
     """
-    prefix = f"{namespace}:{entity_type}:"
-    counts = membership.groupBy("cluster").agg(F.count(F.lit(1)).alias("member_count"))
-    large = counts.where(F.col("member_count") > list_limit).select("cluster")
-    listed = (
-        membership.join(large, "cluster", "left_anti")
-        .groupBy("cluster")
-        .agg(F.array_sort(F.collect_list(node)).alias("members"))
-        .select(
-            "cluster",
-            _golden(prefix, F.array_join("members", "|")).alias("golden_id"),
-            "members",
-            F.size("members").cast("long").alias("member_count"),
-        )
+    prefix = f"{namespace}:{entity_type}:".encode()
+    kind = membership.schema["cluster"].dataType
+    schema = T.StructType(
+        [
+            T.StructField("cluster", kind),
+            T.StructField("golden_id", T.StringType()),
+            T.StructField("member_count", T.LongType()),
+        ]
     )
-    digests = (
-        membership.join(large, "cluster", "left_semi")
-        .withColumn("_bucket", F.substring(F.sha2(F.col(node), 256), 1, _BUCKET_DIGITS))
-        .groupBy("cluster", "_bucket")
-        .agg(
-            F.sha2(F.array_join(F.array_sort(F.collect_list(node)), "|"), 256).alias("_digest"),
-            F.count(F.lit(1)).alias("_n"),
-        )
+    ordered = (
+        membership.select("cluster", F.col(node).cast("string").alias("member"))
+        .repartition("cluster")
+        .sortWithinPartitions("cluster", "member")
     )
-    hashed = (
-        digests.groupBy("cluster")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("_bucket", "_digest"))).alias("d"),
-            F.sum("_n").alias("member_count"),
-        )
-        .select(
-            "cluster",
-            _golden(
-                prefix, F.array_join(F.transform("d", lambda x: x["_digest"]), "|")
-            ).alias("golden_id"),
-            F.lit(None).cast("array<string>").alias("members"),
-            "member_count",
-        )
-    )
-    return listed.unionByName(hashed)
+
+    def digest(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        here, state, count = None, None, 0
+        for frame in frames:
+            done = []
+            for cluster, member in zip(frame["cluster"], frame["member"], strict=True):
+                if state is None or cluster != here:
+                    if state is not None:
+                        done.append((here, f"gid-{state.hexdigest()[:16]}", count))
+                    here, state, count = cluster, hashlib.sha256(prefix), 0
+                else:
+                    state.update(b"|")
+                state.update(member.encode())
+                count += 1
+            yield pd.DataFrame(done, columns=schema.names)
+        if state is not None:
+            last = (here, f"gid-{state.hexdigest()[:16]}", count)
+            yield pd.DataFrame([last], columns=schema.names)
+
+    return ordered.mapInPandas(digest, schema)
 
 
 def golden_id_events(previous: DataFrame, current: DataFrame, node: str = RECORD_ID) -> DataFrame:

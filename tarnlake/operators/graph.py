@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.operators.scope import SCOPE_COLUMN, ScopeFilter
 
-EDGE_LIST_LIMIT = 10_000
 DEFAULT_PAGE = 50
+BUCKETS = 64
+BUCKET_COLUMN = "id_bucket"
 
 
 @dataclass(frozen=True)
@@ -61,21 +63,12 @@ def build_twins(
     edge_table: DataFrame,
     entity_type: str,
     lifecycle_field: str | None = None,
-    list_limit: int = EDGE_LIST_LIMIT,
 ) -> DataFrame:
-    """One twin per golden record, with its edges and counts; records without edges stay.
+    """One twin per golden record, with the counts of its edges; records without edges stay.
 
-    The counts cover every edge. A node with more than ``list_limit`` edges gets no edge list,
-    since that would gather them in one task; its edges are in the edge table like all others.
+    The edges themselves stay in the edge table, where ``twin_edges`` reads those of any node.
     """
     counts = rollups(edge_table)
-    listable = counts.where(F.col("edge_count") <= list_limit).select("from_golden_id")
-    edge = F.struct("relationship_type", "to_entity_type", "to_golden_id", F.col("to_scope_unit_id").alias(SCOPE_COLUMN))
-    lists = (
-        edge_table.join(listable, "from_golden_id", "left_semi")
-        .groupBy("from_golden_id")
-        .agg(F.array_sort(F.collect_list(edge)).alias("edges"))
-    )
     stage = F.lit(None).cast("string")
     if lifecycle_field is not None and lifecycle_field in golden.columns:
         stage = F.col(lifecycle_field).cast("string")
@@ -87,23 +80,50 @@ def build_twins(
         stage.alias("lifecycle_stage"),
         F.struct(*golden.columns).alias("attributes"),
     )
-    key = nodes["golden_id"]
-    joined = nodes.join(counts, key == counts["from_golden_id"], "left").drop("from_golden_id")
-    joined = joined.join(lists, joined["golden_id"] == lists["from_golden_id"], "left").drop("from_golden_id")
-    none = F.coalesce("edge_count", F.lit(0))
+    joined = nodes.join(counts, nodes["golden_id"] == counts["from_golden_id"], "left")
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))
     return joined.select(
         *nodes.columns,
-        none.alias("edge_count"),
-        F.coalesce("rollups", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))).alias("rollups"),
-        F.when(none == 0, F.array().cast(lists.schema["edges"].dataType)).otherwise(F.col("edges")).alias("edges"),
+        F.coalesce("edge_count", F.lit(0)).alias("edge_count"),
+        F.coalesce("rollups", empty).alias("rollups"),
     )
 
 
+def id_bucket(golden_id: Column, buckets: int = BUCKETS) -> Column:
+    """The partition of a published twin or edge: a checksum of the node's id."""
+    return F.pmod(F.crc32(golden_id.cast("binary")), F.lit(buckets)).cast("int")
+
+
+def _at(df: DataFrame, golden_id: str, column: str) -> DataFrame:
+    """The rows of one node; in a published table only its partition is read."""
+    rows = df.where(F.col(column) == golden_id)
+    if BUCKET_COLUMN not in df.columns:
+        return rows
+    return rows.where(F.col(BUCKET_COLUMN) == zlib.crc32(golden_id.encode()) % BUCKETS)
+
+
+def twin_edges(
+    edge_table: DataFrame,
+    golden_id: str,
+    limit: int | None = None,
+    after: tuple[str, str] | None = None,
+) -> DataFrame:
+    """The edges of one node by relationship and target; with ``limit`` one page of them.
+
+    ``after`` is the (relationship type, target id) of the last edge of the page before.
+    """
+    rows = _at(edge_table, golden_id, "from_golden_id")
+    if after is not None:
+        place = F.struct("relationship_type", "to_golden_id")
+        rows = rows.where(place > F.struct(F.lit(after[0]), F.lit(after[1])))
+    if limit is None:
+        return rows
+    return rows.orderBy("relationship_type", "to_golden_id").limit(limit)
+
+
 def find_twin(twins: DataFrame, entity_type: str, golden_id: str, scope: ScopeFilter) -> DataFrame:
     """The twin of an id, or no row when it does not exist or is out of scope."""
-    return scope.apply(
-        twins.where((F.col("entity_type") == entity_type) & (F.col("golden_id") == golden_id))
-    )
+    return scope.apply(_at(twins, golden_id, "golden_id").where(F.col("entity_type") == entity_type))
 
 
 def list_twins(twins: DataFrame, entity_type: str, scope: ScopeFilter) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnlake.session import cut_lineage
+
 # Defaults of windows, sync planning and backfill.
 OVERLAP_HOURS = 2
 GAP_HOURS = 6
@@ -157,23 +159,28 @@ def sync_plans(
 
 
 def chunk_days(rows_per_second: Column, rows_per_day: Column) -> Column:
-    """Days per chunk so that a chunk takes about ten minutes; 1 to 90."""
+    """Days per chunk so that a chunk takes about ten minutes; 1 to 90.
+
+    A throughput that is not positive fails the query.
+    """
     fitting = F.floor(rows_per_second * CHUNK_SECONDS / rows_per_day)
     bounded = F.greatest(F.lit(MIN_CHUNK_DAYS), F.least(F.lit(MAX_CHUNK_DAYS), fitting))
-    return F.when(rows_per_day <= 0, F.lit(MAX_CHUNK_DAYS)).otherwise(bounded).cast("int")
+    refused = F.raise_error(F.lit("the throughput must be positive")).cast("int")
+    sized = F.when(rows_per_day <= 0, F.lit(MAX_CHUNK_DAYS)).otherwise(bounded).cast("int")
+    return F.when(rows_per_second <= 0, refused).otherwise(sized)
 
 
-def plan_chunks(jobs: DataFrame) -> DataFrame:
+def plan_chunks(jobs: DataFrame, max_chunks: int = MAX_CHUNKS) -> DataFrame:
     """Contiguous chunks of every job, the last one possibly short.
 
     ``jobs`` gives ``window_start``, ``window_end`` (included) and ``chunk_days``. A job that would
-    need more than 2,000 chunks fails the query instead of running without end.
+    need more than ``max_chunks`` chunks fails the query instead of running without end.
     """
     days = F.date_diff("window_end", "window_start") + 1
     count = F.ceil(days / F.col("chunk_days")).cast("int")
     checked = (
         F.when(F.col("window_end") < F.col("window_start"), F.raise_error(F.lit("window ends before it starts")).cast("int"))
-        .when(count > MAX_CHUNKS, F.raise_error(F.lit(f"more than {MAX_CHUNKS} chunks")).cast("int"))
+        .when(count > max_chunks, F.raise_error(F.lit(f"more than {max_chunks} chunks")).cast("int"))
         .otherwise(count)
     )
     numbered = jobs.withColumn("sequence", F.explode(F.sequence(F.lit(0), checked - 1)))
@@ -221,14 +228,17 @@ def resume_pointer(ledger: DataFrame, key: list[str]) -> DataFrame:
 # ---------------------------------------------------------------- capped reads
 
 
-def _cut(counts: DataFrame, slot: str, limit: int) -> tuple | None:
+_SECOND = "yyyy-MM-dd HH:mm:ss"
+
+
+def _cut(counts: DataFrame, limit: int) -> tuple[str, int] | None:
     """First slot at which the running count passes the limit, with the count before it.
 
     ``counts`` has one row per day, or per second of one day.
     """
-    running = Window.orderBy(slot).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = counts.withColumn("_upto", F.sum("n").over(running)).where(F.col("_upto") > limit)
-    row = total.orderBy(slot).select(slot, (F.col("_upto") - F.col("n")).alias("before")).first()
+    row = total.orderBy("slot").select("slot", (F.col("_upto") - F.col("n")).alias("before")).first()
     return None if row is None else (row[0], int(row[1]))
 
 
@@ -237,25 +247,41 @@ def capped_read(
 ) -> tuple[DataFrame, bool]:
     """The ``limit`` earliest rows by watermark, and whether more rows remain.
 
-    The cut is found from counts per day and then per second, so only the rows of the one second
-    in which the limit falls are sorted; all earlier rows pass through a plain filter.
+    Rows without a watermark come after all others. One pass counts rows per second; the second in
+    which the limit falls is found from those counts, so only its rows are sorted, and all earlier
+    ones pass a plain comparison of the watermark that reaches the scan.
     """
     if limit < 1:
         raise ValueError("limit must be at least 1")
-    day = F.to_date(F.col(watermark))
-    second = F.date_format(F.col(watermark), "yyyy-MM-dd HH:mm:ss")
-    per_day = df.groupBy(day.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
-    cut_day = _cut(per_day, "slot", limit)
-    if cut_day is None:
+    mark = F.col(watermark)
+    kind = df.schema[watermark].dataType
+    counts = cut_lineage(
+        df.groupBy(F.date_format(mark, _SECOND).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    )
+    totals = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("slot").isNotNull(), F.col("n"))), F.lit(0)).alias("marked"),
+    ).first()
+    if totals["rows"] <= limit:
         return df, False
-    inside = df.where(day == F.lit(cut_day[0]))
-    per_second = inside.groupBy(second.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
-    cut_second = _cut(per_second, "slot", limit - cut_day[1])
-    before = df.where((day < F.lit(cut_day[0])) | ((day == F.lit(cut_day[0])) & (second < F.lit(cut_second[0]))))
-    left = limit - cut_day[1] - cut_second[1]
+    if totals["marked"] <= limit:
+        marked = df.where(mark.isNotNull())
+        left = limit - totals["marked"]
+        if left == 0:
+            return marked, True
+        return marked.unionByName(df.where(mark.isNull()).orderBy(*tie_break).limit(left)), True
+    known = counts.where(F.col("slot").isNotNull())
+    day = F.substring("slot", 1, 10)
+    days = known.groupBy(day.alias("slot")).agg(F.sum("n").alias("n"))
+    cut_day, before_day = _cut(days, limit)
+    cut_second, before_second = _cut(known.where(day == cut_day), limit - before_day)
+    lower = F.lit(cut_second).cast(kind)
+    upper = F.lit(str(datetime.fromisoformat(cut_second) + timedelta(seconds=1))).cast(kind)
+    before = df.where(mark < lower)
+    left = limit - before_day - before_second
     if left == 0:
         return before, True
-    last = inside.where(second == F.lit(cut_second[0])).orderBy(watermark, *tie_break).limit(left)
+    last = df.where((mark >= lower) & (mark < upper)).orderBy(watermark, *tie_break).limit(left)
     return before.unionByName(last), True
 
 

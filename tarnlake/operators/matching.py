@@ -117,7 +117,7 @@ def rules_from_config(config: dict, within_unit: bool = False) -> MatchRules:
     block = config.get("blocking")
     blocking = None
     if block:
-        blocking = Blocking(block["key_type"], block["source_field"], block.get("max_block_size", 1000))
+        blocking = Blocking(block["key_type"], block["source_field"], block.get("max_block_size"))
     return MatchRules(
         config["entity_type"], config["rule_set_version"], tuple(rules), blocking, within_unit
     )
@@ -188,6 +188,15 @@ def cut_blocks(records: DataFrame, block: str, size: int, record_id: str = RECOR
     return small.unionByName(placed.select(*small.columns))
 
 
+def cut_block_report(records: DataFrame, block: str, size: int) -> DataFrame:
+    """One row: blocks that ``cut_blocks`` cuts at ``size``, and the records in them."""
+    sizes = records.groupBy(block).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > size)
+    return sizes.agg(
+        F.count(F.lit(1)).alias("cut_blocks"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("records_in_cut_blocks"),
+    )
+
+
 def _fields(rules: MatchRules) -> tuple[list[str], list[str]]:
     """Fields needed normalised, and fields needed as they are."""
     normal, raw = [], []

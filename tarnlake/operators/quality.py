@@ -20,8 +20,6 @@ MAX_ORPHAN_PCT = 1.0
 MAX_DATE_ANOMALY_PCT = 0.5
 EARLIEST_DATE = date(1990, 1, 1)
 FUTURE_DAYS = 1
-MAX_STORED_EXCEPTIONS = 500
-MAX_SAMPLES = 20
 
 _VIOLATION = "struct<field_name:string,check_kind:string,severity:string,detail:string>"
 
@@ -348,15 +346,21 @@ def masked_samples(
     return samples
 
 
+def exception_sample(violations: DataFrame, keys: list[str], limit: int) -> DataFrame:
+    """The first ``limit`` violations by key and field."""
+    return violations.orderBy(*keys, "field_name", "check_kind").limit(limit)
+
+
 def exception_rows(
     violations: DataFrame,
     run: dict[str, str],
     keys: list[str],
     policy: Iterable[FieldMask] | None = None,
-    limit: int = MAX_STORED_EXCEPTIONS,
 ) -> DataFrame:
-    """Rows for the exception store: at most ``limit`` per run, the first by key and field."""
-    ordered = violations.orderBy(*keys, "field_name", "check_kind").limit(limit)
+    """Rows for the exception store: every violation of the run, to be stored by run.
+
+    For a short list to show, take ``exception_sample`` of the violations first.
+    """
     sample = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
     level = {m.column: m.level for m in policy or ()}
     fields = [F.lit(v).alias(k) for k, v in sorted(run.items())]
@@ -365,7 +369,7 @@ def exception_rows(
     elif policy is None or any(level.get(k) == PERSONAL for k in keys):
         sample = redact_key(sample)
     severity = F.when(F.col("severity").isin("blocking", "error"), "error").otherwise("warn")
-    return ordered.select(
+    return violations.select(
         *fields,
         F.col("check_kind").alias("rule_id"),
         F.lit("quality_violation").alias("kind"),

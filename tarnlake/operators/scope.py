@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnlake.session import cut_lineage
+
 SCOPE_COLUMN = "scope_unit_id"
 BRAND_COLUMN = "brand_code"
 
@@ -18,6 +20,9 @@ IMPLICIT_UNIT = "__tenant__"
 UNIT_PATTERN = r"^[a-z_][a-z0-9_\-]{1,63}$"
 UNATTRIBUTED_LIMIT_PCT = 5.0
 
+# Levels after which the reached units are written as one table again.
+_MERGE_ROUNDS = 16
+
 
 class ScopeDenied(PermissionError):
     """A claim grants nothing."""
@@ -38,20 +43,31 @@ class ScopeClaims:
 
 @dataclass(frozen=True)
 class ScopeFilter:
-    """Row filter of one caller; ``units is None`` lets every row through."""
+    """Row filter of one caller; ``units is None`` lets every row through.
+
+    A large grant comes as ``table`` (one column of units) and is joined instead of listed.
+    """
 
     units: tuple[str, ...] | None
     null_allowed: bool = False
+    table: DataFrame | None = field(default=None, compare=False)
 
     def condition(self, column: Column | str = SCOPE_COLUMN) -> Column:
         col = F.col(column) if isinstance(column, str) else column
         if self.units is None:
             return F.lit(True)
+        if self.table is not None:
+            raise ValueError("a grant table is joined with apply, not used as a condition")
         inside = col.isin(*self.units)
         return (col.isNull() | inside) if self.null_allowed else inside
 
     def apply(self, df: DataFrame, column: str = SCOPE_COLUMN) -> DataFrame:
-        return df if self.units is None else df.where(self.condition(column))
+        if self.units is None:
+            return df
+        if self.table is None:
+            return df.where(self.condition(column))
+        granted = self.table.select(F.col(SCOPE_COLUMN).alias("_granted")).distinct()
+        return df.join(granted, F.col(column) == F.col("_granted"), "left_semi")
 
 
 def scope_filter(claims: ScopeClaims) -> ScopeFilter:
@@ -65,6 +81,16 @@ def scope_filter(claims: ScopeClaims) -> ScopeFilter:
     return ScopeFilter(tuple(sorted(claims.units)), null_allowed=claims.single)
 
 
+def granted_filter(granted: DataFrame, units: DataFrame) -> ScopeFilter:
+    """Filter for granted nodes with everything below them, kept as a table at any size."""
+    missing = unknown_grants(granted, units).limit(20).collect()
+    if missing:
+        raise UnknownUnit(f"unknown units: {sorted(r[0] for r in missing)}")
+    known = units.select(SCOPE_COLUMN).distinct()
+    reached = expand_grants(granted, units).join(known, SCOPE_COLUMN, "left_semi")
+    return ScopeFilter((), table=reached)
+
+
 def unrestricted(reason: str) -> ScopeFilter:
     """Match-all filter that has to be asked for by name."""
     if reason != "definition_validation":
@@ -72,29 +98,27 @@ def unrestricted(reason: str) -> ScopeFilter:
     return ScopeFilter(None)
 
 
-def expand_grants(
-    grants: DataFrame, units: DataFrame, max_depth: int = 64
-) -> DataFrame:
+def expand_grants(grants: DataFrame, units: DataFrame) -> DataFrame:
     """Every unit reachable downwards from the granted nodes, the nodes included.
 
-    ``grants(scope_unit_id)``, ``units(scope_unit_id, parent_scope_unit_id)``. One recursive query;
-    a unit reached along several paths counts once, and ``max_depth`` ends cycles.
+    ``grants(scope_unit_id)``, ``units(scope_unit_id, parent_scope_unit_id)``. Each round goes one
+    level down from the units found last and drops those known before, so a tree of any depth ends,
+    as do diamonds and cycles, and a unit counts once. The driver only asks if a round found any.
     """
-    spark = units.sparkSession
-    return spark.sql(
-        f"""
-        WITH RECURSIVE reach(scope_unit_id, depth) AS (
-            SELECT scope_unit_id, 0 FROM {{grants}}
-            UNION ALL
-            SELECT u.scope_unit_id, r.depth + 1
-            FROM reach r JOIN {{units}} u ON u.parent_scope_unit_id = r.scope_unit_id
-            WHERE r.depth < {int(max_depth)}
-        )
-        SELECT DISTINCT scope_unit_id FROM reach
-        """,
-        grants=grants.select(SCOPE_COLUMN).distinct(),
-        units=units.select(SCOPE_COLUMN, "parent_scope_unit_id"),
-    )
+    below = units.select(
+        F.col(SCOPE_COLUMN).alias("_below"), F.col("parent_scope_unit_id").alias(SCOPE_COLUMN)
+    ).where(F.col("_below").isNotNull())
+    reached = found = cut_lineage(grants.select(SCOPE_COLUMN).distinct())
+    rounds = 0
+    while True:
+        new = found.join(below, SCOPE_COLUMN).select(F.col("_below").alias(SCOPE_COLUMN)).distinct()
+        found = cut_lineage(new.join(reached, SCOPE_COLUMN, "left_anti"))
+        if found.isEmpty():
+            return reached
+        reached = reached.unionByName(found)
+        rounds += 1
+        if rounds % _MERGE_ROUNDS == 0:
+            reached = cut_lineage(reached)
 
 
 def unknown_grants(grants: DataFrame, units: DataFrame) -> DataFrame:
@@ -105,7 +129,10 @@ def unknown_grants(grants: DataFrame, units: DataFrame) -> DataFrame:
 def build_claims(
     granted: Iterable[str], units: DataFrame, tenant_wide: bool = False, single: bool = False
 ) -> ScopeClaims:
-    """Checked claim with hierarchy grants expanded. The unit list is the caller's own grant."""
+    """Checked claim with hierarchy grants expanded, for a grant short enough to be listed.
+
+    ``granted_filter`` takes grants of any size and keeps the expanded units as a table.
+    """
     if single:
         return ScopeClaims(frozenset({IMPLICIT_UNIT}), tenant_wide, single=True)
     if tenant_wide:

@@ -39,126 +39,349 @@ def expand_tags(granted: frozenset[str]) -> frozenset[str]:
     return granted | DEPARTMENTS if EXECUTIVE in granted else granted
 
 
+MONEY = 4
 _ACTIVITY = TimeDimension("activity_date", "activity_date")
 
-# Fixed values. One line per entity: plain dimensions, then metrics as
-# name=aggregation(column) or name=numerator/denominator. All carry the listed tag.
-_CATALOGUE: dict[str, tuple[str | None, str, str]] = {
-    "company": (
-        None,
-        "industry company_type country brand_code scope_unit_id",
-        "customer_count=count_distinct(golden_id) "
-        "new_customer_count=count_distinct(new_customer_golden_id)",
+# Entities, their dimensions and metrics. Money is summed with four decimals.
+_ENTITIES = (
+    Entity(
+        "company",
+        (
+            Dimension("industry", "industry"),
+            Dimension("company_type", "company_type"),
+            Dimension("country", "country"),
+            Dimension("brand_code", "brand_code"),
+            Dimension("scope_unit_id", "scope_unit_id"),
+        ),
+        (
+            Metric("customer_count", "count_distinct", "golden_id"),
+            Metric("new_customer_count", "count_distinct", "new_customer_golden_id"),
+        ),
+        (
+            _ACTIVITY,
+        ),
+        (
+            EntityJoin("franchisee", "scope_unit_id", "scope_unit_id"),
+            EntityJoin("brand", "brand_code", "brand_code"),
+        ),
     ),
-    "person": (
-        None,
-        "email_domain job_role brand_code scope_unit_id",
-        "contact_count=count_distinct(golden_id)",
+    Entity(
+        "person",
+        (
+            Dimension("email_domain", "email_domain", tag=PII),
+            Dimension("job_role", "job_role"),
+            Dimension("brand_code", "brand_code"),
+            Dimension("scope_unit_id", "scope_unit_id"),
+        ),
+        (
+            Metric("contact_count", "count_distinct", "golden_id"),
+        ),
+        (
+            _ACTIVITY,
+        ),
     ),
-    "franchisee": (
-        None,
-        "scope_unit_id franchisee_name franchisee_status region brand_code",
-        "franchisee_count=count_distinct(scope_unit_id)",
+    Entity(
+        "franchisee",
+        (
+            Dimension("scope_unit_id", "scope_unit_id"),
+            Dimension("franchisee_name", "franchisee_name"),
+            Dimension("franchisee_status", "franchisee_status"),
+            Dimension("region", "region"),
+            Dimension("brand_code", "brand_code"),
+        ),
+        (
+            Metric("franchisee_count", "count_distinct", "scope_unit_id"),
+        ),
+        (
+            _ACTIVITY,
+        ),
     ),
-    "brand": (None, "brand_code brand_name department", "brand_count=count_distinct(brand_code)"),
-    "location": (
-        None,
-        "location_name postal_region brand_code scope_unit_id",
-        "location_count=count_distinct(location_id)",
+    Entity(
+        "brand",
+        (
+            Dimension("brand_code", "brand_code"),
+            Dimension("brand_name", "brand_name"),
+            Dimension("department", "department"),
+        ),
+        (
+            Metric("brand_count", "count_distinct", "brand_code"),
+        ),
     ),
-    "lead": (
-        SALES,
-        "lead_source lead_status campaign_code brand_code scope_unit_id",
-        "raw_leads=count_distinct(lead_id) qualified_leads=count_distinct(qualified_lead_id) "
-        "lead_qualification_rate=qualified_leads/raw_leads",
+    Entity(
+        "location",
+        (
+            Dimension("location_name", "location_name"),
+            Dimension("postal_region", "postal_region"),
+            Dimension("brand_code", "brand_code"),
+            Dimension("scope_unit_id", "scope_unit_id"),
+        ),
+        (
+            Metric("location_count", "count_distinct", "location_id"),
+        ),
     ),
-    "opportunity": (
-        SALES,
-        "stage pipeline is_counted_stage brand_code scope_unit_id",
-        "open_opportunities=count_distinct(opportunity_id) pipeline_value=sum(opportunity_amount) "
-        "conversions=count_distinct(converted_opportunity_id) "
-        "conversion_rate=conversions/open_opportunities",
+    Entity(
+        "lead",
+        (
+            Dimension("lead_source", "lead_source"),
+            Dimension("lead_status", "lead_status"),
+            Dimension("campaign_code", "campaign_code"),
+            Dimension("brand_code", "brand_code"),
+            Dimension("scope_unit_id", "scope_unit_id"),
+        ),
+        (
+            Metric("raw_leads", "count_distinct", "lead_id", tag=SALES),
+            Metric("qualified_leads", "count_distinct", "qualified_lead_id", tag=SALES),
+            Metric(
+                "lead_qualification_rate", kind="ratio", numerator="qualified_leads", denominator="raw_leads", tag=SALES,
+            ),
+        ),
+        (
+            _ACTIVITY,
+        ),
     ),
-    "sales_order": (
-        FINANCE,
-        "order_status service_line brand_code scope_unit_id",
-        "sales=sum(gross_booked_amount) order_count=count_distinct(order_id) "
-        "average_order_value=sales/order_count",
+    Entity(
+        "opportunity",
+        (
+            Dimension("stage", "stage"),
+            Dimension("pipeline", "pipeline"),
+            Dimension("is_counted_stage", "is_counted_stage"),
+            Dimension("brand_code", "brand_code"),
+            Dimension("scope_unit_id", "scope_unit_id"),
+        ),
+        (
+            Metric("open_opportunities", "count_distinct", "opportunity_id", tag=SALES),
+            Metric("pipeline_value", "sum", "opportunity_amount", tag=SALES, scale=MONEY),
+            Metric("conversions", "count_distinct", "converted_opportunity_id", tag=SALES),
+            Metric(
+                "conversion_rate", kind="ratio", numerator="conversions", denominator="open_opportunities", tag=SALES,
+            ),
+        ),
+        (
+            _ACTIVITY,
+        ),
     ),
-    "ar_invoice": (
-        FINANCE,
-        "invoice_status currency_code brand_code scope_unit_id",
-        "revenue=sum(recognised_amount) collected_revenue=sum(cash_received_amount) "
-        "invoiced_amount=sum(invoice_total_amount) "
-        "collection_rate=collected_revenue/invoiced_amount",
+    Entity(
+        "sales_order",
+        (
+            Dimension("order_status", "order_status"),
+            Dimension("service_line", "service_line"),
+            Dimension("brand_code", "brand_code"),
+            Dimension("scope_unit_id", "scope_unit_id"),
+        ),
+        (
+            Metric("sales", "sum", "gross_booked_amount", tag=FINANCE, scale=MONEY),
+            Metric("order_count", "count_distinct", "order_id", tag=FINANCE),
+            Metric(
+                "average_order_value", kind="ratio", numerator="sales", denominator="order_count", tag=FINANCE,
+            ),
+        ),
+        (
+            _ACTIVITY,
+        ),
     ),
-    "ap_bill": (
-        FINANCE,
-        "vendor_name expense_category brand_code scope_unit_id",
-        "payables_amount=sum(bill_total_amount)",
+    Entity(
+        "ar_invoice",
+        (
+            Dimension("invoice_status", "invoice_status"),
+            Dimension("currency_code", "currency_code"),
+            Dimension("brand_code", "brand_code"),
+            Dimension("scope_unit_id", "scope_unit_id"),
+        ),
+        (
+            Metric("revenue", "sum", "recognised_amount", tag=FINANCE, scale=MONEY),
+            Metric("collected_revenue", "sum", "cash_received_amount", tag=FINANCE, scale=MONEY),
+            Metric("invoiced_amount", "sum", "invoice_total_amount", tag=FINANCE, scale=MONEY),
+            Metric(
+                "collection_rate", kind="ratio", numerator="collected_revenue", denominator="invoiced_amount", tag=FINANCE,
+            ),
+        ),
+        (
+            _ACTIVITY,
+            TimeDimension("recognition_date", "revenue_recognition_date", "month"),
+        ),
     ),
-    "royalty": (
-        FINANCE,
-        "royalty_basis contract_code brand_code scope_unit_id",
-        "royalties=sum(royalty_amount) royalty_base_amount=sum(royalty_base_amount) "
-        "effective_royalty_rate=royalties/royalty_base_amount",
+    Entity(
+        "ap_bill",
+        (
+            Dimension("vendor_name", "vendor_name"),
+            Dimension("expense_category", "expense_category"),
+            Dimension("brand_code", "brand_code"),
+            Dimension("scope_unit_id", "scope_unit_id"),
+        ),
+        (
+            Metric("payables_amount", "sum", "bill_total_amount", tag=FINANCE, scale=MONEY),
+        ),
+        (
+            _ACTIVITY,
+        ),
     ),
-    "campaign": (
-        SALES,
-        "campaign_code channel ad_group brand_code scope_unit_id",
-        "marketing_spend=sum(spend_amount) impressions=sum(impressions) clicks=sum(clicks) "
-        "attributed_leads=count_distinct(attributed_lead_id) "
-        "attributed_revenue=sum(attributed_revenue_amount) "
-        "attributed_customers=count_distinct(attributed_customer_id) "
-        "cost_per_lead=marketing_spend/attributed_leads "
-        "cost_per_acquisition=marketing_spend/attributed_customers "
-        "return_on_ad_spend=attributed_revenue/marketing_spend "
-        "click_through_rate=clicks/impressions",
+    Entity(
+        "royalty",
+        (
+            Dimension("royalty_basis", "royalty_basis"),
+            Dimension("contract_code", "contract_code"),
+            Dimension("brand_code", "brand_code"),
+            Dimension("scope_unit_id", "scope_unit_id"),
+        ),
+        (
+            Metric("royalties", "sum", "royalty_amount", tag=FINANCE, scale=MONEY),
+            Metric("royalty_base_amount", "sum", "royalty_base_amount", tag=FINANCE, scale=MONEY),
+            Metric(
+                "effective_royalty_rate", kind="ratio", numerator="royalties", denominator="royalty_base_amount", tag=FINANCE,
+            ),
+        ),
+        (
+            _ACTIVITY,
+        ),
     ),
-    "call": (
-        OPERATIONS,
-        "call_direction call_outcome call_centre brand_code scope_unit_id",
-        "call_count=count_distinct(call_id) answered_calls=count_distinct(answered_call_id) "
-        "total_talk_seconds=sum(talk_seconds) answer_rate=answered_calls/call_count",
+    Entity(
+        "campaign",
+        (
+            Dimension("campaign_code", "campaign_code"),
+            Dimension("channel", "channel"),
+            Dimension("ad_group", "ad_group"),
+            Dimension("brand_code", "brand_code"),
+            Dimension("scope_unit_id", "scope_unit_id"),
+        ),
+        (
+            Metric("marketing_spend", "sum", "spend_amount", tag=SALES, scale=MONEY),
+            Metric("impressions", "sum", "impressions", tag=SALES),
+            Metric("clicks", "sum", "clicks", tag=SALES),
+            Metric("attributed_leads", "count_distinct", "attributed_lead_id", tag=SALES),
+            Metric(
+                "attributed_revenue", "sum", "attributed_revenue_amount", tag=SALES, scale=MONEY,
+            ),
+            Metric("attributed_customers", "count_distinct", "attributed_customer_id", tag=SALES),
+            Metric(
+                "cost_per_lead", kind="ratio", numerator="marketing_spend", denominator="attributed_leads", tag=SALES,
+            ),
+            Metric(
+                "cost_per_acquisition", kind="ratio", numerator="marketing_spend", denominator="attributed_customers", tag=SALES,
+            ),
+            Metric(
+                "return_on_ad_spend", kind="ratio", numerator="attributed_revenue", denominator="marketing_spend", tag=SALES,
+            ),
+            Metric(
+                "click_through_rate", kind="ratio", numerator="clicks", denominator="impressions", tag=SALES,
+            ),
+        ),
+        (
+            _ACTIVITY,
+        ),
     ),
-    "job": (
-        OPERATIONS,
-        "job_status service_line is_first_time_fix brand_code scope_unit_id",
-        "job_count=count_distinct(job_id) completed_jobs=count_distinct(completed_job_id) "
-        "first_time_fix_jobs=count_distinct(first_time_fix_job_id) "
-        "job_completion_rate=completed_jobs/job_count "
-        "first_time_fix_rate=first_time_fix_jobs/completed_jobs",
+    Entity(
+        "call",
+        (
+            Dimension("call_direction", "call_direction"),
+            Dimension("call_outcome", "call_outcome"),
+            Dimension("call_centre", "call_centre"),
+            Dimension("brand_code", "brand_code"),
+            Dimension("scope_unit_id", "scope_unit_id"),
+        ),
+        (
+            Metric("call_count", "count_distinct", "call_id", tag=OPERATIONS),
+            Metric("answered_calls", "count_distinct", "answered_call_id", tag=OPERATIONS),
+            Metric("total_talk_seconds", "sum", "talk_seconds", tag=OPERATIONS),
+            Metric(
+                "answer_rate", kind="ratio", numerator="answered_calls", denominator="call_count", tag=OPERATIONS,
+            ),
+        ),
+        (
+            _ACTIVITY,
+        ),
     ),
-    "employee": (
-        OPERATIONS,
-        "employment_status discipline brand_code scope_unit_id",
-        "active_employees=count_distinct(employee_id)",
+    Entity(
+        "job",
+        (
+            Dimension("job_status", "job_status"),
+            Dimension("service_line", "service_line"),
+            Dimension("is_first_time_fix", "is_first_time_fix"),
+            Dimension("brand_code", "brand_code"),
+            Dimension("scope_unit_id", "scope_unit_id"),
+        ),
+        (
+            Metric("job_count", "count_distinct", "job_id", tag=OPERATIONS),
+            Metric("completed_jobs", "count_distinct", "completed_job_id", tag=OPERATIONS),
+            Metric(
+                "first_time_fix_jobs", "count_distinct", "first_time_fix_job_id", tag=OPERATIONS,
+            ),
+            Metric(
+                "job_completion_rate", kind="ratio", numerator="completed_jobs", denominator="job_count", tag=OPERATIONS,
+            ),
+            Metric(
+                "first_time_fix_rate", kind="ratio", numerator="first_time_fix_jobs", denominator="completed_jobs", tag=OPERATIONS,
+            ),
+        ),
+        (
+            _ACTIVITY,
+        ),
     ),
-    "contract": (
-        FINANCE,
-        "contract_status contract_code brand_code scope_unit_id",
-        "active_contracts=count_distinct(contract_id)",
+    Entity(
+        "employee",
+        (
+            Dimension("employment_status", "employment_status"),
+            Dimension("discipline", "discipline"),
+            Dimension("brand_code", "brand_code"),
+            Dimension("scope_unit_id", "scope_unit_id"),
+        ),
+        (
+            Metric("active_employees", "count_distinct", "employee_id", tag=OPERATIONS),
+        ),
+        (
+            _ACTIVITY,
+        ),
     ),
-    "franchise_performance": (
-        EXECUTIVE,
-        "scope_unit_id brand_code",
-        "franchise_performance_index=avg(performance_index) "
-        "sales_growth_component=avg(sales_growth_normalised) "
-        "delivery_component=avg(job_completion_normalised) "
-        "collection_component=avg(collection_rate_normalised) "
-        "demand_component=avg(lead_qualification_normalised)",
+    Entity(
+        "contract",
+        (
+            Dimension("contract_status", "contract_status"),
+            Dimension("contract_code", "contract_code"),
+            Dimension("brand_code", "brand_code"),
+            Dimension("scope_unit_id", "scope_unit_id"),
+        ),
+        (
+            Metric("active_contracts", "count_distinct", "contract_id", tag=FINANCE),
+        ),
+        (
+            _ACTIVITY,
+        ),
     ),
-    "customer_acquisition": (
-        SALES,
-        "acquisition_channel brand_code scope_unit_id",
-        "new_customers=count_distinct(new_customer_id) "
-        "acquisition_cost=sum(acquisition_cost_amount) "
-        "customer_acquisition_cost=acquisition_cost/new_customers",
+    Entity(
+        "franchise_performance",
+        (
+            Dimension("scope_unit_id", "scope_unit_id"),
+            Dimension("brand_code", "brand_code"),
+        ),
+        (
+            Metric("franchise_performance_index", "avg", "performance_index", tag=EXECUTIVE),
+            Metric("sales_growth_component", "avg", "sales_growth_normalised", tag=EXECUTIVE),
+            Metric("delivery_component", "avg", "job_completion_normalised", tag=EXECUTIVE),
+            Metric("collection_component", "avg", "collection_rate_normalised", tag=EXECUTIVE),
+            Metric("demand_component", "avg", "lead_qualification_normalised", tag=EXECUTIVE),
+        ),
+        (
+            _ACTIVITY,
+        ),
     ),
-}
-_NO_TIME = frozenset({"brand", "location"})
-_WHOLE_NUMBERS = frozenset({"impressions", "clicks", "total_talk_seconds"})
-_MONEY_SCALE = 4
+    Entity(
+        "customer_acquisition",
+        (
+            Dimension("acquisition_channel", "acquisition_channel"),
+            Dimension("brand_code", "brand_code"),
+            Dimension("scope_unit_id", "scope_unit_id"),
+        ),
+        (
+            Metric("new_customers", "count_distinct", "new_customer_id", tag=SALES),
+            Metric("acquisition_cost", "sum", "acquisition_cost_amount", tag=SALES, scale=MONEY),
+            Metric(
+                "customer_acquisition_cost", kind="ratio", numerator="acquisition_cost", denominator="new_customers", tag=SALES,
+            ),
+        ),
+        (
+            _ACTIVITY,
+        ),
+    ),
+)
 
 # Named KPIs and the metric each one reads.
 KPI_METRICS = {
@@ -176,42 +399,10 @@ KPI_METRICS = {
 }
 
 
-def _metric(text: str, tag: str | None) -> Metric:
-    name, body = text.split("=")
-    if "/" in body:
-        top, bottom = body.split("/")
-        return Metric(name, kind="ratio", numerator=top, denominator=bottom, tag=tag)
-    aggregation, column = body.rstrip(")").split("(")
-    scale = None
-    if aggregation == "sum" and name not in _WHOLE_NUMBERS:
-        scale = _MONEY_SCALE
-    return Metric(name, aggregation, column, tag=tag, scale=scale)
-
-
-def _entity(name: str) -> Entity:
-    tag, dimensions, metrics = _CATALOGUE[name]
-    times = () if name in _NO_TIME else (_ACTIVITY,)
-    joins: tuple[EntityJoin, ...] = ()
-    if name == "company":
-        joins = (
-            EntityJoin("franchisee", "scope_unit_id", "scope_unit_id"),
-            EntityJoin("brand", "brand_code", "brand_code"),
-        )
-    if name == "ar_invoice":
-        times += (TimeDimension("recognition_date", "revenue_recognition_date", "month"),)
-    return Entity(
-        name,
-        tuple(Dimension(d, d, tag=PII if d == "email_domain" else None) for d in dimensions.split()),
-        tuple(_metric(m, tag) for m in metrics.split()),
-        times,
-        joins,
-    )
-
-
 def business_model(fiscal_start_month: int = 1) -> MetricModel:
     """The eighteen business entities with their metrics, on the tenant's fiscal calendar."""
     return MetricModel(
-        tuple(_entity(name) for name in _CATALOGUE),
+        _ENTITIES,
         version="business-v1",
         calendar=FiscalCalendar(fiscal_start_month),
     )

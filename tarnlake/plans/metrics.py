@@ -135,7 +135,7 @@ def _grouped(
     if scope.units is not None:
         if SCOPE_COLUMN not in base.columns:
             raise MetricQueryError(f"entity {entity.name!r} has no {SCOPE_COLUMN} column")
-        base = base.where(scope.condition(F.col(SCOPE_COLUMN)))
+        base = scope.apply(base)
     for f in request.filters:
         base = base.where(_condition(F.col(entity.dimension(f.dimension).column), f))
     groups: list[Column] = []
@@ -198,8 +198,8 @@ def metric_query(
     """Rows of a governed request.
 
     The scope filter goes first and also covers joined entities that carry the scope column. Time
-    groups start on the model's fiscal calendar. The row limit is part of the request; rows beyond
-    it are not ordered.
+    groups start on the model's fiscal calendar. Without a row limit in the request every group is
+    returned; with one, the first groups by their names, and ``rows_cut`` tells what is missing.
     """
     bounds = None
     if request.time is not None:
@@ -207,7 +207,21 @@ def metric_query(
         bounds = time_bounds(model, request, grain, today or date.today())
     entity, names, grouped = _grouped(model, request, sources, tags, scope, bounds=bounds)
     result = grouped.select(*names, *[_finish(entity, m) for m in request.metrics])
-    return result.limit(request.row_limit)
+    return _limited(result, names, request.row_limit)
+
+
+def _limited(result: DataFrame, names: list[str], limit: int | None) -> DataFrame:
+    """The first groups in the order of their names; all of them without a limit."""
+    return result if limit is None else result.orderBy(*names).limit(limit)
+
+
+def rows_cut(result: DataFrame, request: MetricRequest) -> DataFrame:
+    """One row ``rows, rows_cut`` for the unlimited result of a request: groups in all and how many
+    its row limit leaves out."""
+    left_out = F.lit(0).cast("long")
+    if request.row_limit is not None:
+        left_out = F.greatest(F.count(F.lit(1)) - request.row_limit, left_out)
+    return result.agg(F.count(F.lit(1)).alias("rows"), left_out.alias("rows_cut"))
 
 
 def compare_periods(
@@ -262,7 +276,7 @@ def compare_periods(
         )
         for m in request.metrics
     }
-    return wide.withColumns(changes).limit(request.row_limit)
+    return _limited(wide.withColumns(changes), names, request.row_limit)
 
 
 def suppress_small_cells(df: DataFrame, counts: list[str], floor: int = MIN_CELL) -> DataFrame:

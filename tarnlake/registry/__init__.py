@@ -11,6 +11,7 @@ MODULES = (
     "flow_queries",
     "kpi_queries",
     "stream_queries",
+    "edge_queries",
 )
 
 

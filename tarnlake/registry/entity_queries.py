@@ -311,13 +311,13 @@ _GID = "'gid-' || substr(sha256('_source_id:person:' || string_agg(_record_id, '
 @query(
     "er_golden_ids",
     f"""
-    SELECT {_GID} AS golden_id, count(*) AS member_count, string_agg(_record_id, '|' ORDER BY _record_id) AS members
+    SELECT {_GID} AS golden_id, count(*) AS member_count
     FROM ({_clusters_sql()}) c GROUP BY cluster
     """,
 )
 def er_golden_ids(t: Tables) -> DataFrame:
     ids = clusters.golden_ids(_membership(t), "person")
-    return ids.select("golden_id", "member_count", F.array_join("members", "|").alias("members"))
+    return ids.select("golden_id", "member_count")
 
 
 POLICY = survivorship.Survivorship(
@@ -366,7 +366,7 @@ def _resolved(t: Tables) -> jobs.Resolution:
 )
 def er_golden(t: Tables) -> DataFrame:
     return _resolved(t).golden.drop(
-        "contributing_source_records", "survivorship_version", "match_run_id", "field_provenance"
+        "survivorship_version", "match_run_id", "field_provenance"
     )
 
 

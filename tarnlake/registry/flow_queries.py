@@ -63,10 +63,14 @@ def edges_orders_customer(t: Tables) -> DataFrame:
     return graph.edges(PLACED, t.golden_company, t.golden_order)
 
 
-def _twins(t: Tables) -> DataFrame:
-    return jobs.build_twins(
+def _twins(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Published twins and edges."""
+    edges, twins = jobs.build_twins(
         t.golden_company, "company", [(PLACED, t.golden_order), (BASED_IN, t.golden_region)], "stage"
-    )[1]
+    )
+    path = work_path(t.spark, "twins")
+    sinks.publish_twins(twins, edges, path, "run-1")
+    return layers.read_twins(t.spark, path, "run-1")
 
 
 @query(
@@ -86,9 +90,11 @@ def twin_rollups(t: Tables) -> DataFrame:
     def count_of(name: str):
         return F.coalesce(F.try_element_at(counts, F.lit(f"{name}_count")), F.lit(0))
 
-    return _twins(t).select(
+    twins, edges = _twins(t)
+    listed = edges.groupBy(F.col("from_golden_id").alias("golden_id")).agg(F.count(F.lit(1)).alias("n"))
+    return twins.join(listed, "golden_id", "left").select(
         "golden_id", "lifecycle_stage", "scope_unit_id", count_of("placed").alias("placed_count"),
-        count_of("based_in").alias("based_in_count"), "edge_count", F.size("edges").alias("listed"),
+        count_of("based_in").alias("based_in_count"), "edge_count", F.coalesce("n", F.lit(0)).alias("listed"),
     )
 
 
@@ -100,7 +106,7 @@ _SOME_UNITS = scope.ScopeFilter(("unit-3", "unit-4", "unit-5"))
     "SELECT golden_id, scope_unit_id FROM {golden_company} WHERE scope_unit_id IN ('unit-3', 'unit-4', 'unit-5')",
 )
 def twin_list(t: Tables) -> DataFrame:
-    return graph.list_twins(_twins(t), "company", _SOME_UNITS).select("golden_id", "scope_unit_id")
+    return graph.list_twins(_twins(t)[0], "company", _SOME_UNITS).select("golden_id", "scope_unit_id")
 
 
 @query(
@@ -113,9 +119,10 @@ def twin_list(t: Tables) -> DataFrame:
 )
 def twin_lookup(t: Tables) -> DataFrame:
     last = t.golden_company.agg(F.max("golden_id")).first()[0]
-    found = graph.find_twin(_twins(t), "company", last, EVERYONE)
-    return found.select("golden_id", F.explode("edges").alias("e")).select(
-        "golden_id", "e.relationship_type", "e.to_golden_id", F.col("e.scope_unit_id").alias("to_scope_unit_id")
+    twins, edges = _twins(t)
+    found = graph.find_twin(twins, "company", last, EVERYONE).select("golden_id")
+    return found.join(graph.twin_edges(edges, last), F.col("golden_id") == F.col("from_golden_id")).select(
+        "golden_id", "relationship_type", "to_golden_id", "to_scope_unit_id"
     )
 
 
@@ -127,7 +134,7 @@ def twin_lookup(t: Tables) -> DataFrame:
     """,
 )
 def twin_page(t: Tables) -> DataFrame:
-    return graph.page_twins(_twins(t), "company", _SOME_UNITS, 20, "gid-c12").select("golden_id")
+    return graph.page_twins(_twins(t)[0], "company", _SOME_UNITS, 20, "gid-c12").select("golden_id")
 
 
 # ---------------------------------------------------------------- alerts
@@ -770,19 +777,17 @@ def transform_blocked(t: Tables) -> DataFrame:
     """
     SELECT year(d) AS year, sum(CASE WHEN d >= DATE '1997-03-01' AND d <= DATE '1997-08-31' THEN 2 ELSE 1 END * n) AS weight
     FROM (SELECT cast(o_orderdate AS date) AS d, count(*) AS n FROM {orders} GROUP BY 1) x
-    WHERE d >= DATE '1997-01-01' AND d < DATE '1998-01-01' GROUP BY 1
+    WHERE d IS NOT NULL GROUP BY 1
     """,
 )
 def reprocess_window(t: Tables) -> DataFrame:
     path = work_path(t.spark, "layer")
-    source = t.orders.where("year(o_orderdate) = 1997").select(
-        F.col("o_orderdate").cast("date").alias("day"), "o_orderkey"
-    )
+    source = t.orders.select(F.col("o_orderdate").cast("date").alias("day"), "o_orderkey")
 
     def build(weight: int):
         return lambda df: df.groupBy("day").agg((F.count(F.lit(1)) * weight).alias("weight"))
 
-    jobs.reprocess(source, "day", date(1997, 1, 1), date(1997, 12, 31), build(1), path)
+    jobs.reprocess(source, "day", date(1900, 1, 1), date(2999, 12, 31), build(1), path)
     jobs.reprocess(source, "day", date(1997, 3, 1), date(1997, 8, 31), build(2), path)
     stored = layers.read_layer(t.spark, path)
     return stored.groupBy(F.year("day").alias("year")).agg(F.sum("weight").alias("weight"))

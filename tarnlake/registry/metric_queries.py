@@ -25,7 +25,7 @@ from tarnlake.plans.model import (
 from tarnlake.registry.base import Tables, query
 
 TODAY = date(1999, 8, 15)
-ALL_ROWS = 100_000
+
 
 
 def sales_model(start_month: int = 1) -> MetricModel:
@@ -98,7 +98,6 @@ def semantic_sales_by_segment(t: Tables) -> DataFrame:
         joined=(("company", "industry"),),
         time="activity_date",
         grain="month",
-        row_limit=ALL_ROWS,
     )
     return metrics.metric_query(
         sales_model(), request, _sources(t), tags=FINANCE, scope=even_units(), today=TODAY

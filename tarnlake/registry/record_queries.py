@@ -373,8 +373,7 @@ def dq_batch_exceptions(t: Tables) -> DataFrame:
            field_name AS key_field_name,
            CASE WHEN length(k) <= 4 THEN repeat('*', length(k))
                 ELSE substr(k, 1, 2) || repeat('*', length(k) - 4) || right(k, 2) END AS sample_key
-    FROM (SELECT *, cast(l_orderkey AS string) || '|' || cast(l_linenumber AS string) AS k FROM ({_VIOLATIONS}) v
-          ORDER BY l_orderkey, l_linenumber, field_name, check_kind LIMIT 500) x
+    FROM (SELECT *, cast(l_orderkey AS string) || '|' || cast(l_linenumber AS string) AS k FROM ({_VIOLATIONS}) v) x
     """,
 )
 def dq_exception_store(t: Tables) -> DataFrame:

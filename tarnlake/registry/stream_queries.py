@@ -74,7 +74,7 @@ def stream_dedupe(t: Tables) -> DataFrame:
     copies = F.when(F.col("number") % 10 == 0, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0)))
     repeated = _stream(t).withColumn("copy", F.explode(copies)).drop("copy")
     path = work_path(t.spark, "inbox")
-    unique = events.dedupe(events.identify(repeated), "ts")
+    unique = events.dedupe(events.received(events.identify(repeated)))
     events.append_available(unique, path, work_path(t.spark, "checkpoint"), ["entity_id"])
     return t.spark.read.parquet(path).groupBy("entity_id").agg(
         F.count(F.lit(1)).alias("events"),
@@ -112,7 +112,7 @@ def stream_tumbling(t: Tables) -> DataFrame:
     total = F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("value")
     daily = events.tumbling(stream, "ts", "1 day", ["event_type"], [F.count(F.lit(1)).alias("events"), total], "2 days")
     path = work_path(t.spark, "daily")
-    events.apply_available(daily, work_path(t.spark, "checkpoint"), events.overwrite_with(path), "complete")
-    return t.spark.read.parquet(path).select(
+    events.apply_available(daily, work_path(t.spark, "checkpoint"), events.keep_updates(path), "update")
+    return events.latest_updates(t.spark.read.parquet(path), ["window_start", "event_type"]).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "events", "value"
     )

@@ -75,6 +75,13 @@ def run_sql(
     return spark.sql(sql, args=args)
 
 
+def read_twins(spark: SparkSession, path: str, run_id: str) -> tuple[DataFrame, DataFrame]:
+    """Twins and edges of a published run; lookups by id read one partition of each."""
+    return tuple(
+        spark.read.parquet(f"{path}/{name}").where(F.col("run_id") == run_id) for name in ("twins", "edges")
+    )
+
+
 def select_fields(
     df: DataFrame,
     mode: str = "all",

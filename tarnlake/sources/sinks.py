@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.functions.hashing import row_hash
-from tarnlake.operators.merge import changed_rows, upsert
+from tarnlake.operators.graph import BUCKET_COLUMN, id_bucket
+from tarnlake.operators.merge import changed_rows, has_key, merge_current, upsert
 from tarnlake.operators.scope import SCOPE_COLUMN, ScopeFilter
 from tarnlake.operators.survivorship import flatten_lists
+from tarnlake.session import cut_lineage
 
 # Columns that stay inside the resolution layer.
 INTERNAL_COLUMNS = (
@@ -21,6 +24,9 @@ INTERNAL_COLUMNS = (
 EXPORT_FORMATS = ("csv", "json", "parquet")
 
 
+_IDENTIFIER = re.compile(r"^[A-Za-z_][A-Za-z0-9_.]{0,127}$")
+
+
 class EmptyWrite(ValueError):
     """A layer that must not be written empty has no rows."""
 
@@ -31,6 +37,13 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def _written(seen: Observation, message: str, allow_empty: bool = False) -> int:
+    rows = seen.get["rows"]
+    if rows == 0 and not allow_empty:
+        raise EmptyWrite(message)
+    return rows
+
+
 def as_raw(df: DataFrame) -> DataFrame:
     """Every column as text; nulls stay."""
     return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
@@ -64,9 +77,11 @@ def write_raw(
 def write_curated(
     df: DataFrame, path: str, curated_date: date, run_id: str, allow_empty: bool = False
 ) -> int:
-    """Write a full current-state snapshot into its date and run partition."""
-    if not allow_empty and df.isEmpty():
-        raise EmptyWrite("a curated snapshot has no rows")
+    """Write a full current-state snapshot into its date and run partition.
+
+    The count comes from the write. An empty snapshot touches no partition, so it is refused after
+    the write without harm and without a second run of the plan.
+    """
     counted, seen = _counted(df)
     (
         counted.withColumn("curated_date", F.lit(curated_date.isoformat()))
@@ -77,7 +92,7 @@ def write_curated(
         .partitionBy("curated_date", "run_id")
         .parquet(path)
     )
-    return seen.get["rows"]
+    return _written(seen, "a curated snapshot has no rows", allow_empty)
 
 
 def materialise(df: DataFrame, path: str) -> int:
@@ -92,8 +107,6 @@ def publish_golden(
 ) -> int:
     """Golden rows with lists as JSON, the match decisions, and the full membership."""
     counted, seen = _counted(flatten_lists(golden))
-    if golden.isEmpty():
-        raise EmptyWrite("no golden records")
     (
         counted.withColumn("golden_date", F.lit(golden_date.isoformat()))
         .withColumn("run_id", F.lit(run_id))
@@ -102,6 +115,7 @@ def publish_golden(
         .partitionBy("golden_date", "run_id")
         .parquet(f"{path}/golden")
     )
+    written = _written(seen, "no golden records")
     for name, rows in (("decisions", links), ("membership", membership)):
         (
             rows.withColumn("run_id", F.lit(run_id))
@@ -110,13 +124,79 @@ def publish_golden(
             .partitionBy("run_id")
             .parquet(f"{path}/{name}")
         )
+    return written
+
+
+def publish_twins(twins: DataFrame, edges: DataFrame, path: str, run_id: str) -> int:
+    """Twins and their edges as tables partitioned by a checksum of the node id.
+
+    A lookup reads one partition of either table (``layers.read_twins``). Within a partition the
+    rows are sorted by node, so the statistics of the files prune further.
+    """
+    counted, seen = _counted(twins)
+    for name, rows, node in (("twins", counted, "golden_id"), ("edges", edges, "from_golden_id")):
+        (
+            rows.withColumn(BUCKET_COLUMN, id_bucket(F.col(node)))
+            .hint("rebalance", F.col(BUCKET_COLUMN))
+            .sortWithinPartitions(BUCKET_COLUMN, node)
+            .withColumn("run_id", F.lit(run_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("run_id", BUCKET_COLUMN)
+            .parquet(f"{path}/{name}")
+        )
+    return _written(seen, "no twins")
+
+
+def merge_layer(
+    spark: SparkSession,
+    path: str,
+    delta: DataFrame,
+    keys: list[str],
+    order: list[str],
+    soft_delete: str | None = None,
+    buckets: int = 64,
+    first: bool = False,
+) -> int:
+    """Merge a delta into a current-state layer, rewriting only the key buckets it touches.
+
+    The layer is partitioned by a hash of the keys. The touched buckets (at most ``buckets`` numbers)
+    are the only thing the driver reads; other partitions keep their files. A bucket that the merge
+    empties keeps one row without keys, which ``read_merged`` leaves out. Returns the delta rows.
+    """
+    counted, seen = _counted(delta)
+    staged = cut_lineage(
+        counted.where(has_key(keys)).withColumn(
+            "_bucket", F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+        )
+    )
+    touched = sorted(r[0] for r in staged.select("_bucket").distinct().collect())
+    if not touched:
+        return seen.get["rows"]
+    previous = None
+    if not first:
+        previous = spark.read.parquet(path).where(F.col("_bucket").isin(touched)).where(has_key(keys))
+    merged = merge_current(previous, staged, keys, order, soft_delete)
+    kept = cut_lineage(merged)
+    marks = spark.createDataFrame([(b,) for b in touched], "_bucket int")
+    emptied = marks.join(kept.select("_bucket").distinct(), "_bucket", "left_anti")
+    (
+        kept.unionByName(emptied, allowMissingColumns=True)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("_bucket")
+        .parquet(path)
+    )
     return seen.get["rows"]
 
 
+def read_merged(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The current rows of a layer kept by ``merge_layer``."""
+    return spark.read.parquet(path).where(has_key(keys)).drop("_bucket")
+
+
 def publish_analytics(golden: DataFrame, path: str, analytics_date: date) -> int:
     """Write the day's analytics partition without the internal columns, replacing it if present."""
-    if golden.isEmpty():
-        raise EmptyWrite("nothing to publish")
     counted, seen = _counted(golden.drop(*INTERNAL_COLUMNS))
     (
         counted.withColumn("analytics_date", F.lit(analytics_date.isoformat()))
@@ -125,7 +205,7 @@ def publish_analytics(golden: DataFrame, path: str, analytics_date: date) -> int
         .partitionBy("analytics_date")
         .parquet(path)
     )
-    return seen.get["rows"]
+    return _written(seen, "nothing to publish")
 
 
 def export(
@@ -151,6 +231,39 @@ def write_jdbc_staging(df: DataFrame, url: str, table: str, options: Mapping[str
     df.write.mode("overwrite").option("truncate", "true").jdbc(url, table, properties=dict(options or {}))
 
 
+def jdbc_merge_statement(table: str, staging: str, keys: list[str], columns: list[str], dialect: str) -> str:
+    """The statement with which the database takes over the rows of its staging table.
+
+    ``mysql`` and ``postgresql`` upsert on the key's unique index; ``sqlserver`` merges. Rows whose
+    ``_row_hash`` is unchanged are not in the staging table and stay as they are.
+    """
+    for name in (table, staging, *keys, *columns):
+        if not _IDENTIFIER.match(name):
+            raise ValueError(f"bad identifier {name!r}")
+    if not keys or not set(keys) <= set(columns):
+        raise ValueError("keys must be among the columns")
+    rest = [c for c in columns if c not in keys]
+    listed = ", ".join(columns)
+    read = f"SELECT {listed} FROM {staging}"
+    if dialect == "mysql":
+        changes = ", ".join(f"{c} = VALUES({c})" for c in rest or keys[:1])
+        return f"INSERT INTO {table} ({listed}) {read} ON DUPLICATE KEY UPDATE {changes}"
+    if dialect == "postgresql":
+        changes = ", ".join(f"{c} = EXCLUDED.{c}" for c in rest)
+        action = f"DO UPDATE SET {changes}" if rest else "DO NOTHING"
+        return f"INSERT INTO {table} ({listed}) {read} ON CONFLICT ({', '.join(keys)}) {action}"
+    if dialect == "sqlserver":
+        same = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+        changes = ", ".join(f"t.{c} = s.{c}" for c in rest)
+        update = f" WHEN MATCHED THEN UPDATE SET {changes}" if rest else ""
+        values = ", ".join(f"s.{c}" for c in columns)
+        return (
+            f"MERGE INTO {table} AS t USING {staging} AS s ON {same}{update} "
+            f"WHEN NOT MATCHED THEN INSERT ({listed}) VALUES ({values});"
+        )
+    raise ValueError(f"unknown dialect {dialect!r}")
+
+
 def load_serving(
     incoming: DataFrame,
     target: DataFrame | None,

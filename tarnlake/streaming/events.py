@@ -57,10 +57,19 @@ def identify(events: DataFrame) -> DataFrame:
     )
 
 
-def dedupe(events: DataFrame, time: str, hours: int = DEDUPE_HOURS) -> DataFrame:
+RECEIVED_AT = "received_at"
+
+
+def received(events: DataFrame) -> DataFrame:
+    """Add the time of delivery: the start of the micro-batch that brings an event."""
+    return events.withColumn(RECEIVED_AT, F.current_timestamp())
+
+
+def dedupe(events: DataFrame, time: str = RECEIVED_AT, hours: int = DEDUPE_HOURS) -> DataFrame:
     """Drop events seen before, per tenant, connection and event id.
 
-    The state forgets a key once the watermark has passed it by ``hours``.
+    ``time`` is the time of delivery, not of the event: an event that comes days late for the first
+    time is kept. A key is forgotten ``hours`` after its first delivery.
     """
     keys = ["tenant_code", "connection_id", "event_id"]
     return events.withWatermark(time, f"{hours} hours").dropDuplicatesWithinWatermark(keys)
@@ -69,7 +78,10 @@ def dedupe(events: DataFrame, time: str, hours: int = DEDUPE_HOURS) -> DataFrame
 def tumbling(
     events: DataFrame, time: str, width: str, groups: list[str], aggregates: list[Column], late: str
 ) -> DataFrame:
-    """Aggregates per fixed window; events later than ``late`` are left out."""
+    """Aggregates per fixed window; events later than ``late`` are left out.
+
+    In append or update mode the state of a window goes once the watermark has passed its end.
+    """
     return (
         events.withWatermark(time, late)
         .groupBy(F.window(time, width), *groups)
@@ -123,15 +135,26 @@ def apply_available(
     return query
 
 
-def overwrite_with(path: str) -> Callable[[DataFrame, int], None]:
-    """Batch function that keeps the latest complete result of a stream as a table."""
+def keep_updates(path: str) -> Callable[[DataFrame, int], None]:
+    """Batch function that stores the rows an update-mode stream changed, by batch."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        (
+            batch.withColumn("batch_id", F.lit(batch_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(path)
+        )
 
     return apply
 
 
+def latest_updates(log: DataFrame, keys: list[str]) -> DataFrame:
+    """The last stored version of every key: the result of the stream so far."""
+    return latest_per_key(log, keys, ["batch_id"]).drop("batch_id")
+
+
 # ---------------------------------------------------------------- change log
 
 

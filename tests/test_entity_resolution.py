@@ -244,12 +244,15 @@ def test_golden_ids(spark):
     got = {r.cluster: r for r in clusters.golden_ids(members, "person").collect()}
     joined = "|".join(sorted(f"s:{i}" for i in range(9)))
     assert got["c"].golden_id == "gid-" + hashlib.sha256(f"_source_id:person:{joined}".encode()).hexdigest()[:16]
-    assert got["c"].member_count == 9 and got["d"].members == ["s:x"]
-    # large clusters never become one list, and their id does not depend on partitioning
-    big = [{r.cluster: r for r in clusters.golden_ids(m, "person", list_limit=5).collect()} for m in (members, members.repartition(5))]
-    assert big[0]["c"].members is None and big[0]["c"].member_count == 9
-    assert big[0]["c"].golden_id == big[1]["c"].golden_id != got["c"].golden_id
-    assert big[0]["d"].golden_id == got["d"].golden_id
+    assert got["c"].member_count == 9 and got["d"].member_count == 1
+    # one formula for every size and partitioning
+    again = {r.cluster: r for r in clusters.golden_ids(members.repartition(5), "person").collect()}
+    assert again == got
+    many = spark.range(25_000).selectExpr("'big' AS cluster", "concat('s:', id) AS _record_id")
+    big = clusters.golden_ids(many.repartition(7), "person").first()
+    joined = "|".join(sorted(f"s:{i}" for i in range(25_000)))
+    assert big.golden_id == "gid-" + hashlib.sha256(f"_source_id:person:{joined}".encode()).hexdigest()[:16]
+    assert big.member_count == 25_000
 
 
 def test_golden_id_events(spark, rows):

@@ -432,11 +432,13 @@ def test_twins(spark):
     assert table.count() == 2
     got = {r.golden_id: r for r in twins.collect()}
     assert got["g1"].rollups == {"placed_count": 2} and got["g1"].lifecycle_stage == "won"
-    assert [(e.to_golden_id, e.scope_unit_id) for e in got["g1"].edges] == [("o1", "u2"), ("o2", None)]
-    assert got["g2"].edges == [] and got["g2"].rollups == {} and got["g2"].edge_count == 0
+    found = graph.twin_edges(table, "g1").orderBy("to_golden_id").collect()
+    assert [(e.to_golden_id, e.to_scope_unit_id) for e in found] == [("o1", "u2"), ("o2", None)]
+    assert got["g1"].edge_count == 2 and got["g2"].rollups == {} and got["g2"].edge_count == 0
     assert got["g1"].attributes.k == 1
-    many = {r.golden_id: r for r in graph.build_twins(golden, table, "company", list_limit=1).collect()}
-    assert many["g1"].edges is None and many["g1"].edge_count == 2 and many["g2"].edges == []
+    assert [e.to_golden_id for e in graph.twin_edges(table, "g1", 1).collect()] == ["o1"]
+    assert [e.to_golden_id for e in graph.twin_edges(table, "g1", 5, ("placed", "o1")).collect()] == ["o2"]
+    assert graph.twin_edges(table, "g2").count() == 0
 
 
 # ------------------------------------------------------------------ schema
