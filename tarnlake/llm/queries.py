@@ -17,8 +17,11 @@ from tarnlake.llm import (
     token_store,
     url_templates,
 )
+from tarnlake.llm.check_sql import ORACLE_SQL
 from tarnlake.session import ship_package
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 #: Rows of one Arrow batch: whole texts of any length pass through these batches.
 ARROW_ROWS = "1024"
 URL_RULES = (
@@ -141,5 +144,3 @@ QUERIES = {
         pipeline,
     )
 }
-
-ORACLE_SQL: dict[str, str] = {}
