@@ -5,8 +5,9 @@
 2. A global token order (rarest first, by counts over the whole corpus) gives every set a prefix
    so long that two sets of the required similarity share a prefix token. The order only decides
    the work, never the result: any order that all sets share is exact.
-3. Sets are partitioned into groups of similar sets: each set is compared with the set it shares
-   most prefix tokens with among the heads of its tokens, and linked sets form a group.
+3. Sets are partitioned into groups of similar sets: every token names as its hub the set whose
+   tokens are shared most, each set is compared with the hub it shares most tokens with, and linked
+   sets form a group. Among copies of one text the hub is the text the others derive from.
 4. The matrix holds, for every token that more than one group has, the groups whose token union has
    it, with size range and best place. A set opens a group only if the bound on their overlap
    reaches what the similarity asks for, and is then compared with the members behind those tokens.
@@ -89,7 +90,7 @@ def _token_counts(texts: DataFrame, size: int) -> np.ndarray:
 
     parts = texts.select("text").mapInArrow(count, "counts binary").rdd
     empty = np.zeros(1 << _COUNT_BITS, np.uint32)
-    return parts.map(lambda row: np.frombuffer(row[0], np.uint32)).treeAggregate(empty, add, add, 3)
+    return parts.map(lambda row: np.frombuffer(row[0], np.uint32)).treeAggregate(empty, add, add)
 
 
 def _signatures(texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -142,7 +143,7 @@ def _id_filter(ids: DataFrame) -> np.ndarray:
     parts = ids.mapInArrow(gather, "bits binary").rdd
     empty = np.zeros(1 << (_FILTER_BITS - 3), np.uint8)
     return parts.map(lambda row: np.frombuffer(row[0], np.uint8)).treeAggregate(
-        empty, np.bitwise_or, np.bitwise_or, 3
+        empty, np.bitwise_or, np.bitwise_or
     )
 
 
@@ -192,48 +193,45 @@ def _links(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     return both.mapInArrow(compare, "a long, b long")
 
 
-def _may_reach(percent: int, na: str, pa_: str, nb: str, pb: str):
-    """Size ratio and place of a shared token allow the similarity.
+def _may_reach(percent: int, a: str, b: str):
+    """Size ratio and places of a shared token allow the similarity; ``a`` and ``b`` hold n and p.
 
-    ``na <= nb`` are set sizes. At the first common token at most what is left of either set can be
-    common; the overlap must be at least percent / (100 + percent) of both sizes together.
+    At the first common token at most what is left of either set can be common; the overlap must be
+    at least percent / (100 + percent) of both sizes together.
     """
-    sizes = F.col(na) + F.col(nb)
-    left = F.least(F.col(na) - F.col(pa_), F.col(nb) - F.col(pb))
-    return (100 * F.col(na) >= percent * F.col(nb)) & ((100 + percent) * left >= percent * sizes)
+    na, nb = F.col(f"{a}n"), F.col(f"{b}n")
+    left = F.least(na - F.col(f"{a}p"), nb - F.col(f"{b}p"))
+    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (
+        (100 + percent) * left >= percent * (na + nb)
+    )
 
 
-def _matrix(reps: DataFrame, percent: int) -> DataFrame:
-    """Prefix tokens that more than one set has, with the head and the predecessor in the token."""
+def _matrix(reps: DataFrame) -> DataFrame:
+    """Prefix tokens that more than one set has: ``token, id, n, p`` and the number of sets ``c``."""
     tokens = reps.select("id", "n", F.posexplode("prefix").alias("p", "token"))
-    order = Window.partitionBy("token").orderBy("n", "id")
-    entry = F.struct("id", "n", "p")
-    return (
-        tokens.withColumn("head", F.first(entry).over(order))
-        .withColumn("before", F.lag(entry).over(order))
-        .withColumn("after", F.lead("id").over(order))
-        .where(F.col("before").isNotNull() | F.col("after").isNotNull())
-        .select("token", "id", "n", "p", "head", "before")
-    )
+    sets = F.count(F.lit(1)).over(Window.partitionBy("token"))
+    return tokens.withColumn("c", sets).where(F.col("c") > 1).select("token", "id", "n", "p", "c")
 
 
-def _first_pairs(matrix: DataFrame, percent: int) -> DataFrame:
-    """For each set, the head and the predecessor it shares most prefix tokens with."""
+def _hub_pairs(matrix: DataFrame, percent: int) -> DataFrame:
+    """For each set the hub it shares most prefix tokens with.
 
-    def best(other: str) -> DataFrame:
-        rows = matrix.where(F.col(other).isNotNull()).select(
-            "id", "n", "p", *(F.col(f"{other}.{c}").alias(f"o{c}") for c in ("id", "n", "p"))
-        )
-        counted = (
-            rows.where((F.col("id") != F.col("oid")) & _may_reach(percent, "on", "op", "n", "p"))
-            .groupBy("id", "oid")
-            .agg(F.count(F.lit(1)).alias("c"))
-        )
-        return counted.groupBy("id").agg(F.max(F.struct("c", "oid")).alias("m")).select(
-            F.least("id", "m.oid").alias("a"), F.greatest("id", "m.oid").alias("b")
-        )
-
-    return best("head").unionByName(best("before")).distinct()
+    A set scores the other sets behind all its tokens; the hub of a token has the highest score.
+    """
+    scores = matrix.groupBy("id").agg(F.sum(F.col("c") - 1).alias("score"))
+    order = Window.partitionBy("token").orderBy(F.desc("score"), "n", "id")
+    hub = F.first(F.struct("id", "n", "p")).over(order)
+    rows = (
+        matrix.join(scores, "id")
+        .withColumn("hub", hub)
+        .select("id", "n", "p", *(F.col(f"hub.{c}").alias(f"h{c}") for c in ("id", "n", "p")))
+        .where((F.col("id") != F.col("hid")) & _may_reach(percent, "", "h"))
+    )
+    counted = rows.groupBy("id", "hid").agg(F.count(F.lit(1)).alias("c"))
+    best = counted.groupBy("id").agg(F.max(F.struct("c", "hid")).alias("m"))
+    return best.select(
+        F.least("id", "m.hid").alias("a"), F.greatest("id", "m.hid").alias("b")
+    ).distinct()
 
 
 def _open_pairs(matrix: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
@@ -277,16 +275,36 @@ def _open_pairs(matrix: DataFrame, groups: DataFrame, percent: int) -> DataFrame
             (F.col("o.token") == F.col("y.token"))
             & (F.col("o.group") == F.col("y.group"))
             & smaller
-            & _may_reach(percent, "y.n", "y.p", "o.n", "o.p"),
+            & _may_reach(percent, "y.", "o."),
         )
         .select(F.least("o.id", "y.id").alias("a"), F.greatest("o.id", "y.id").alias("b"))
         .distinct()
     )
 
 
-def _components(nodes: DataFrame, links: DataFrame) -> DataFrame:
+def _components(links: DataFrame) -> DataFrame:
+    """``id, group`` for all linked ids; the group is the smallest id."""
     named = links.select(F.col("a").alias("record_a_id"), F.col("b").alias("record_b_id"))
-    return connected_components(nodes, named, "id").withColumnRenamed("cluster", "group")
+    nodes = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    return cut_lineage(connected_components(nodes, named, "id").withColumnRenamed("cluster", "group"))
+
+
+def _merged(groups: DataFrame, far: DataFrame) -> DataFrame:
+    """The groups after the links between them: the links are lifted to groups first."""
+    at = {
+        side: groups.select(F.col("id").alias(side), F.col("group").alias(f"g{side}"))
+        for side in ("a", "b")
+    }
+    lifted = far.join(at["a"], "a", "left").join(at["b"], "b", "left").select(
+        F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b")
+    )
+    above = _components(lifted.distinct())
+    alone = far.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    every = groups.unionByName(
+        alone.join(groups, "id", "left_anti").select("id", F.col("id").alias("group"))
+    )
+    top = above.select(F.col("id").alias("group"), F.col("group").alias("top"))
+    return every.join(top, "group", "left").select("id", F.coalesce("top", "group").alias("group"))
 
 
 def jaccard_components(
@@ -312,15 +330,13 @@ def jaccard_components(
     classes = known.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"))
     rep_ids = classes.select(F.col("rep").alias("id"))
     reps = known.join(rep_ids, "id", "left_semi").select("id", "n", "prefix")
-    matrix = cut_lineage(_matrix(reps, percent))
-    near = cut_lineage(_links(cut_lineage(_first_pairs(matrix, percent)), texts, size, percent))
-    linked = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    groups = cut_lineage(_components(linked, near))
+    matrix = cut_lineage(_matrix(reps))
+    near = cut_lineage(_links(cut_lineage(_hub_pairs(matrix, percent)), texts, size, percent))
+    groups = _components(near)
     far = cut_lineage(
         _links(cut_lineage(_open_pairs(matrix, groups, percent)), texts, size, percent)
     )
-    every = near.unionByName(far)
-    final = _components(every.select(F.explode(F.array("a", "b")).alias("id")).distinct(), every)
+    final = _merged(groups, far)
     membership = classes.join(
         final.select(F.col("id").alias("rep"), "group"), "rep", "left"
     ).select("n", "d1", "d2", F.coalesce("group", "rep").alias("component_id"))
