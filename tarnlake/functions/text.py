@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -245,7 +246,18 @@ def jaro_winkler_batch(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return np.where(equal, 1.0, np.where(hits == 0, 0.0, score))
 
 
-_BATCH_LENGTH = 128
+#: Characters of one array step: long texts go in small groups of their own length class.
+_BATCH_CHARS = 1 << 18
+
+
+def _length_groups(lengths: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of texts of about equal length, by powers of two, in groups of bounded size."""
+    classes = np.ceil(np.log2(np.maximum(lengths, 2))).astype(int)
+    for size in np.unique(classes):
+        places = np.flatnonzero(classes == size)
+        step = max(1, _BATCH_CHARS >> int(size))
+        for at in range(0, len(places), step):
+            yield places[at : at + step]
 
 
 @F.pandas_udf(T.DoubleType())
@@ -255,11 +267,13 @@ def _jaro_winkler(first: pd.Series, second: pd.Series) -> pd.Series:
     known = (first.notna() & second.notna()).to_numpy()
     a, b = first.to_numpy(dtype=object), second.to_numpy(dtype=object)
     sizes = first.str.len(), second.str.len()
-    regular = known & (np.minimum(*sizes) > 0) & (np.maximum(*sizes) <= _BATCH_LENGTH)
+    regular = known & (np.minimum(*sizes) > 0)
     regular &= ~(first.str.contains("\x00", regex=False).fillna(False) | second.str.contains("\x00", regex=False).fillna(False)).to_numpy(dtype=bool)
     where = np.flatnonzero(regular)
-    if len(where):
-        out[where] = jaro_winkler_batch(a[where], b[where])
+    longest = np.maximum(*sizes).to_numpy()[where]
+    for group in _length_groups(longest):
+        some = where[group]
+        out[some] = jaro_winkler_batch(a[some], b[some])
     for i in np.flatnonzero(known & ~regular):
         out[i] = jaro_winkler_text(a[i], b[i])
     return pd.Series(out).where(known, None)

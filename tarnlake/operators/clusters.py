@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarnlake.operators.matching import RECORD_ID
-from tarnlake.session import cut_lineage
+from tarnlake.session import cut_lineage, drop_work
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -54,9 +54,10 @@ def connected_components(nodes: DataFrame, links: DataFrame, node: str = RECORD_
             .where(F.col("v") != F.col("m"))
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
         )
-        edges = cut_lineage(
+        before, edges = edges, cut_lineage(
             moved.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct()
         )
+        drop_work(before)
         now = _fingerprint(edges)
         if now == state:
             break

@@ -26,29 +26,6 @@ class Entry:
     oracle: str | None
 
 
-# Result types of check SQL whose engine would give wider ones (counts) or literals (rates).
-_BIG, _REAL = "BIGINT", "DOUBLE"
-CHECK_TYPES: dict[str, dict[str, str]] = {
-    "dq_record_report": dict.fromkeys(("records_passed", "records_with_warnings", "records_blocked"), _BIG),
-    "dq_batch_checks": {"threshold": _REAL},
-    "dq_duplicate_rate": {"threshold": _REAL},
-    "dq_gate_verdict": dict.fromkeys(("blocking_count", "warning_count"), _BIG),
-    "row_hash_counts": dict.fromkeys(("loaded", "skipped"), _BIG),
-    "recon_count": {"tolerance_pct": _REAL},
-    "recon_money": {"tolerance_pct": _REAL},
-    "recon_bounds": dict.fromkeys(("variance_pct", "tolerance_pct"), _REAL),
-    "recon_report": {"findings": _BIG},
-    "recon_sampled_fields": {"matched": _BIG},
-    "er_links_exact": {"confidence_score": _REAL},
-    "er_eval": dict.fromkeys(("tp", "fp", "fn", "tn"), _BIG),
-    "backfill_ledger": {"attempts": _BIG},
-    "usage_metering": dict.fromkeys(("runs_completed", "runs_failed"), _BIG),
-    "tenant_erase": dict.fromkeys(("rows_deleted", "remaining_rows"), _BIG),
-    "reprocess_window": {"weight": _BIG},
-    "kpi_campaign": dict.fromkeys(("impressions", "clicks"), _BIG),
-    "kpi_call": {"total_talk_seconds": _BIG},
-}
-
 INPUTS: dict[str, str] = {}
 REGISTRY: dict[str, Entry] = {}
 
@@ -89,15 +66,25 @@ def expand(text: str) -> str:
     return _PLACEHOLDER.sub(inline, text)
 
 
-def query(name: str, oracle: str | None = None):
-    """Register a query; the oracle may use ``{input}`` placeholders."""
+def query(
+    name: str,
+    oracle: str | None = None,
+    bigint: tuple[str, ...] = (),
+    double: tuple[str, ...] = (),
+):
+    """Register a query; the oracle may use ``{input}`` placeholders.
+
+    ``bigint`` and ``double`` state the types of result columns for which SQL engines widen sums and
+    literals differently.
+    """
+    kinds = dict.fromkeys(bigint, "BIGINT") | dict.fromkeys(double, "DOUBLE")
 
     def add(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         if name in REGISTRY:
             raise ValueError(f"query {name!r} is registered twice")
         typed = oracle
-        if oracle is not None and name in CHECK_TYPES:
-            casts = ", ".join(f"cast({c} AS {kind}) AS {c}" for c, kind in CHECK_TYPES[name].items())
+        if oracle is not None and kinds:
+            casts = ", ".join(f"cast({c} AS {kind}) AS {c}" for c, kind in kinds.items())
             typed = f"SELECT * REPLACE ({casts}) FROM ({oracle}) typed"
         REGISTRY[name] = Entry(fn, typed)
         return fn

@@ -185,7 +185,7 @@ _EMAIL_LINKS = f"""
 """
 
 
-@query("er_links_exact", _EMAIL_LINKS)
+@query("er_links_exact", _EMAIL_LINKS, double=("confidence_score",))
 def er_links_exact(t: Tables) -> DataFrame:
     links = matching.match_links(_records(t), people_rules(EMAIL_RULE))
     return links.select("record_a_id", "record_b_id", "rule_id", "confidence_score")
@@ -464,6 +464,7 @@ def er_decisions(t: Tables) -> DataFrame:
                 FROM (SELECT is_true_match, coalesce(ex OR fz, false) AS p FROM {{people_labels}} l
                       LEFT JOIN (SELECT record_a_id, record_b_id, ex, fz FROM ({_DECIDED}) d) d USING (record_a_id, record_b_id)) x) y) z
     """,
+    bigint=("tp", "fp", "fn", "tn"),
 )
 def er_eval(t: Tables) -> DataFrame:
     decisions = matching.decide(t.people_labels, _records(t), _person_rules())

@@ -441,7 +441,7 @@ _LEDGER = """
 """
 
 
-@query("backfill_ledger", _LEDGER)
+@query("backfill_ledger", _LEDGER, bigint=("attempts",))
 def backfill_ledger(t: Tables) -> DataFrame:
     return incremental.chunk_ledger(t.chunk_events, ["job_id"])
 
@@ -659,6 +659,7 @@ derived(
            count_if(status = 'success') AS runs_completed, count_if(lower(status) = 'failed') AS runs_failed
     FROM {run_audit} WHERE stage = 'extraction' GROUP BY ALL
     """,
+    bigint=("runs_completed", "runs_failed"),
 )
 def usage_metering(t: Tables) -> DataFrame:
     return lifecycle.usage(t.run_audit)
@@ -685,6 +686,7 @@ def run_status(t: Tables) -> DataFrame:
     UNION ALL
     SELECT 'invoices', 'retained_under_hold', 0, 'case 17', count_if(tenant_code = 'tenant-b'), true, true FROM {run_audit} b WHERE stage = 'extraction'
     """,
+    bigint=("rows_deleted", "remaining_rows"),
 )
 def tenant_erase(t: Tables) -> DataFrame:
     stores = {"audit": t.run_audit, "invoices": t.run_audit.where("stage = 'extraction'")}
@@ -779,6 +781,7 @@ def transform_blocked(t: Tables) -> DataFrame:
     FROM (SELECT cast(o_orderdate AS date) AS d, count(*) AS n FROM {orders} GROUP BY 1) x
     WHERE d IS NOT NULL GROUP BY 1
     """,
+    bigint=("weight",),
 )
 def reprocess_window(t: Tables) -> DataFrame:
     path = work_path(t.spark, "layer")

@@ -168,6 +168,8 @@ _CHECKS: dict[str, dict[str, str]] = {
         "customer_acquisition_cost": _per(_money("acquisition_cost_amount"), _distinct("new_customer_id")),
     },
 }
+# Sums of whole numbers.
+_WHOLE_NUMBERS = ("impressions", "clicks", "total_talk_seconds")
 MODEL = kpis.business_model(4)
 ALL_TAGS = kpis.expand_tags(frozenset({kpis.EXECUTIVE}))
 
@@ -182,7 +184,9 @@ def _register(entity: str, checks: dict[str, str]) -> None:
         means = [m for m in checks if MODEL.entity(entity).metric(m).aggregation == "avg"]
         return rows.withColumns({m: F.round(m, 6) for m in means}) if means else rows
 
-    query(f"kpi_{entity}", f"SELECT brand_code, {columns} FROM {{kpi_{entity}}} k GROUP BY brand_code")(run)
+    sql = f"SELECT brand_code, {columns} FROM {{kpi_{entity}}} k GROUP BY brand_code"
+    whole = tuple(name for name in checks if name in _WHOLE_NUMBERS)
+    query(f"kpi_{entity}", sql, bigint=whole)(run)
 
 
 for _entity, _checks in _CHECKS.items():

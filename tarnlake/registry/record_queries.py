@@ -246,6 +246,7 @@ def dq_violations(t: Tables) -> DataFrame:
              + (CASE WHEN status NOT IN ('O', 'F') THEN 1 ELSE 0 END) AS n
       FROM {checked_lines} x) y
     """,
+    bigint=("records_passed", "records_with_warnings", "records_blocked"),
 )
 def dq_record_report(t: Tables) -> DataFrame:
     return quality.record_report(t.checked_lines, _CHECKS)
@@ -293,12 +294,12 @@ _OUTCOMES = """
 """
 
 
-@query("dq_batch_checks", _OUTCOMES)
+@query("dq_batch_checks", _OUTCOMES, double=("threshold",))
 def dq_batch_checks(t: Tables) -> DataFrame:
     return quality.batch_checks(t.checked_lines, _batch_policy(t))
 
 
-@query("dq_duplicate_rate", f"SELECT * FROM ({_OUTCOMES}) o WHERE rule_id = 'duplicate-rate'")
+@query("dq_duplicate_rate", f"SELECT * FROM ({_OUTCOMES}) o WHERE rule_id = 'duplicate-rate'", double=("threshold",))
 def dq_duplicate_rate(t: Tables) -> DataFrame:
     policy = quality.BatchPolicy(natural_key=("l_orderkey", "l_linenumber"))
     return quality.batch_checks(t.checked_lines, policy)
@@ -344,6 +345,7 @@ def dq_gate(t: Tables) -> DataFrame:
     SELECT count_if(severity = 'blocking') AS blocking_count, count_if(severity = 'warning') AS warning_count,
            count_if(severity = 'blocking') = 0 AS permitted FROM ({_VIOLATIONS}) v
     """,
+    bigint=("blocking_count", "warning_count"),
 )
 def dq_gate_verdict(t: Tables) -> DataFrame:
     found = quality.record_violations(t.checked_lines, _CHECKS, ["l_orderkey"])
@@ -492,6 +494,7 @@ def row_hash_changes(t: Tables) -> DataFrame:
       SELECT t.p_partkey IS NULL OR s.p_size <> t.p_size OR t.p_brand IS NULL AS c
       FROM {part} s LEFT JOIN {part_target} t ON s.p_partkey = t.p_partkey) x
     """,
+    bigint=("loaded", "skipped"),
 )
 def row_hash_counts(t: Tables) -> DataFrame:
     columns = ["p_partkey", "p_name", "p_size", "p_brand"]
@@ -578,17 +581,17 @@ _BOUNDS = """
 """
 
 
-@query("recon_count", _COUNTS)
+@query("recon_count", _COUNTS, double=("tolerance_pct",))
 def recon_count(t: Tables) -> DataFrame:
     return reconcile.compare_counts(t.orders, t.orders_copy)
 
 
-@query("recon_money", _MONEY)
+@query("recon_money", _MONEY, double=("tolerance_pct",))
 def recon_money(t: Tables) -> DataFrame:
     return reconcile.compare_money(t.orders, t.orders_copy, "o_totalprice")
 
 
-@query("recon_bounds", _BOUNDS)
+@query("recon_bounds", _BOUNDS, double=("variance_pct", "tolerance_pct"))
 def recon_bounds(t: Tables) -> DataFrame:
     return reconcile.compare_bounds(t.orders, t.orders_copy, "o_orderkey")
 
@@ -606,6 +609,7 @@ def recon_bounds(t: Tables) -> DataFrame:
     FROM (SELECT 0 AS p, * FROM ({_COUNTS}) a UNION ALL SELECT 1, * FROM ({_MONEY}) b
           UNION ALL SELECT 2, * FROM ({_BOUNDS}) c) x
     """,
+    bigint=("findings",),
 )
 def recon_report(t: Tables) -> DataFrame:
     header = {
@@ -632,6 +636,7 @@ def hash_sample(t: Tables) -> DataFrame:
            100.0 * count_if(a) / count(*) AS match_rate_pct FROM j
     UNION ALL SELECT 'o_totalprice', count(*), count_if(b), 100.0 * count_if(b) / count(*) FROM j
     """,
+    bigint=("matched",),
 )
 def recon_sampled_fields(t: Tables) -> DataFrame:
     fields = ["o_orderstatus", "o_totalprice"]

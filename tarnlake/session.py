@@ -99,12 +99,24 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write the rows to a table in the shared folder and read them back.
 
     Like a reliable checkpoint the result survives the loss of executors; being columnar it also
-    keeps column pruning and size statistics for the plans that read it.
+    keeps column pruning and size statistics for the plans that read it. ``drop_work`` removes the
+    tables that are no longer read.
     """
-    path = work_path(df.sparkSession, "cut")
+    path = work_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_work(*tables: DataFrame) -> None:
+    """Remove working tables that nothing reads any more; only paths of the shared folder go."""
+    for table in tables:
+        spark = table.sparkSession
+        base = shared_base(spark).split("://")[-1]
+        for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            if base.lstrip("/") in folder:
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
