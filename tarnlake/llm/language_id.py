@@ -122,13 +122,23 @@ def _frequencies(texts: DataFrame, size: int) -> tuple[np.ndarray, int]:
     return total[:size], int(total[size])
 
 
-def _sample(train: DataFrame, per_label: int) -> DataFrame:
-    """The ``per_label`` texts of each label with the smallest key."""
+def _sample(train: DataFrame, per_label: int, max_labels: int) -> DataFrame:
+    """The ``per_label`` texts of each label with the smallest key.
+
+    Keys are ranked without the texts; the last key of each label, at most ``max_labels`` of them,
+    then filters the texts where they are read.
+    """
     ranked = train.select("label", "key").withColumn(
         "rank", F.row_number().over(Window.partitionBy("label").orderBy("key"))
     )
     last = ranked.where(F.col("rank") <= per_label).groupBy("label").agg(F.max("key").alias("last"))
-    return train.join(last, "label").where(F.col("key") <= F.col("last"))
+    rows = last.orderBy("label").limit(max_labels + 1).collect()
+    if len(rows) > max_labels:
+        raise ValueError(f"more than {max_labels} labels")
+    if not rows:
+        return train.where(F.lit(False))
+    bounds = F.create_map(*[F.lit(v) for r in rows for v in (r["label"], r["last"])])
+    return train.where(F.col("key") <= F.try_element_at(bounds, F.col("label")))
 
 
 def _sample_vectors(sample: DataFrame, idf: np.ndarray) -> list[tuple[str, int, np.ndarray, np.ndarray]]:
@@ -217,8 +227,12 @@ def train_language_model(
     l1: float = 0.01,
     l2: float = 0.1,
     epochs: int = 4,
+    max_labels: int = 500,
 ) -> LanguageModel:
-    """Fit a model to the rows whose text, label and key are not null; ``key`` orders the sample."""
+    """Fit a model to the rows whose text, label and key are not null; ``key`` orders the sample.
+
+    More than ``max_labels`` labels are refused: weights and sample grow with them.
+    """
     train = documents.select(
         text.cast("string").alias("text"),
         label.cast("string").alias("label"),
@@ -228,7 +242,7 @@ def train_language_model(
     size = 1 << bits
     seen, total = _frequencies(train, size)
     idf = np.log((1 + total) / (1 + seen)) + 1.0
-    rows = _sample_vectors(_sample(train, per_label), idf)
+    rows = _sample_vectors(_sample(train, per_label, max_labels), idf)
     labels = tuple(sorted({r[0] for r in rows}, key=lambda s: s.encode()))
     if not labels:
         return LanguageModel((), idf, np.zeros((size, 0)), np.zeros(0), 1.0)
