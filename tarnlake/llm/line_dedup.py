@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnlake.session import cut_lineage
+
 _BLANKS = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -54,7 +56,8 @@ def drop_common_lines(
             F.xxhash64(F.lit(1), "key").alias("h2"),
         )
     )
-    common = (
+    # Written out, so that the join below has plain shuffles under it and a hot line can be split.
+    common = cut_lineage(
         lines.groupBy("h1", "h2", "id")
         .agg(F.lit(1).alias("one"))
         .groupBy("h1", "h2")

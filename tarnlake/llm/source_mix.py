@@ -68,7 +68,7 @@ def mix_plan(
     weights: Sequence[float] = (1, 2, 3),
     most: float = 3.0,
     seed: str = "mix",
-    bucket_rows: int = 20_000,
+    bucket_rows: int = 4_000,
 ) -> DataFrame:
     """``id, text_hash, source, size, source_size, target, copies``, one row per row of documents."""
     narrow = documents.select(

@@ -85,12 +85,14 @@ def _sync_points(texts: DataFrame, window: int) -> DataFrame:
 def _marks(texts: DataFrame, window: int) -> DataFrame:
     """Per id the blocks that an earlier document has, and those whose windows must be looked up."""
     points = _sync_points(texts, window)
-    several = (
+    # Written out, so that the join has plain shuffles under it and a hot point can be split.
+    several = cut_lineage(
         points.groupBy("point")
         .agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
         .where(F.col("lo") < F.col("hi"))
+        .select("point")
     )
-    shared = cut_lineage(points.join(several.select("point"), "point", "left_semi"))
+    shared = cut_lineage(points.join(several, "point", "left_semi"))
     blocks = shared.groupBy("point", "block").agg(F.min("id").alias("first_id"))
     kinds = blocks.groupBy("point").agg(F.count(F.lit(1)).alias("kinds"))
     judged = (

@@ -139,11 +139,11 @@ def template_purity(
         .agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
     )
     deepest = nodes.agg(F.max("size")).first()[0] or 0
-    total = nodes.where("size = 0").agg(F.sum("good").alias("g"), F.sum("bad").alias("b"))
-    root = total.select(((F.col("g") + 1) / (F.col("g") + F.col("b") + 2)).alias("prior"))
-    known = nodes.where("size = 0").join(root, how="full_outer").select(
-        "host", "node", "size", _smooth("good", "bad", F.coalesce("prior", F.lit(0.5)), strength).alias("purity"),
-        "good", "bad",
+    hosts = nodes.where("size = 0")
+    good, bad = hosts.agg(F.sum("good"), F.sum("bad")).first()
+    prior = F.lit(((good or 0) + 1) / ((good or 0) + (bad or 0) + 2))
+    known = hosts.select(
+        "host", "node", "size", _smooth("good", "bad", prior, strength).alias("purity"), "good", "bad"
     )
     levels = [known]
     for level in range(1, deepest + 1):
