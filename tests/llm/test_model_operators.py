@@ -209,6 +209,29 @@ def test_leaks_recall_and_precision(spark):
     assert {r.doc_id for r in clean.collect()} == {r[0] for r in rows} - {a for a, _ in pairs}
 
 
+def test_leaks_of_a_benchmark_larger_than_the_space(spark):
+    rng = random.Random(31)
+    # Frequent words fill the space first; each item is told apart by words of its own.
+    frequent = vocabulary(rng, 32)
+    items = [(i, " ".join(f"own{i}x{j}" for j in range(20))) for i in range(8)]
+    items += [(100 + i, " ".join(rng.choices(frequent, k=30))) for i in range(8)]
+    rows = [(i, f"{' '.join(rng.choices(frequent, k=80))} {text}", None, None) for i, text in items]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.find_leaks(table(spark, rows), bench, features=96, rank=32).collect()
+    assert {(i, i) for i, _ in items} <= {(r.doc_id, r.item_id) for r in got}
+
+
+def test_every_word_of_a_space_is_found():
+    rng = np.random.default_rng(9)
+    # Several words of one slot, and hashes that are not in the space.
+    near = (np.uint64(5) << np.uint64(44)) + np.arange(40, dtype=np.uint64) * np.uint64(3)
+    known = np.unique(np.concatenate([near, rng.integers(1, 1 << 63, 5000, dtype=np.uint64)]))
+    space = decontaminate._Space(decontaminate._slots(known), np.append(known, np.uint64(decontaminate._NO_WORD)), None)
+    assert (space.rows(known) == np.arange(len(known))).all()
+    other = np.concatenate([near + np.uint64(1), rng.integers(1 << 63, 1 << 64, 500, dtype=np.uint64)])
+    assert (space.rows(other) == len(known)).all()
+
+
 def test_leaks_of_empty_tables(spark):
     bench = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
     assert decontaminate.find_leaks(table(spark, []), bench).count() == 0
