@@ -221,10 +221,31 @@ def test_leaks_of_a_benchmark_larger_than_the_space(spark):
     assert {(i, i) for i, _ in items} <= {(r.doc_id, r.item_id) for r in got}
 
 
+def test_leaks_of_a_cosine_between_a_half_and_two_thirds(spark, monkeypatch):
+    def plain_space(items, *_):
+        known = np.unique(np.concatenate([i.words for i in items]))
+        table = np.eye(len(known) + 1, len(known), dtype=np.float32)
+        return decontaminate._Space(
+            decontaminate._slots(known), np.append(known, np.uint64(decontaminate._NO_WORD)), table
+        )
+
+    monkeypatch.setattr(decontaminate, "_space", plain_space)
+    a, b = [f"a{i}" for i in range(18)], [f"b{i}" for i in range(60)]
+    # Between words of another item: 13 of 18 words are left, or 10 with the answer.
+    many, told = a[:13] + b[:5], a[:2] + b[:8] + a[10:]
+    rows = [(1, " ".join([*b[5:14], *many, *b[14:34]]), None, None)]
+    rows += [(2, " ".join([*b[20:28], *told]), None, None), (3, " ".join(b[::-1]), None, None)]
+    items = [(7, f"{' '.join(a[:10])}. {' '.join(a[10:])}."), (8, " ".join(b))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = [r for r in decontaminate.find_leaks(table(spark, rows), bench).collect() if r.item_id == 7]
+    assert {(r.doc_id, r.common, r.answer) for r in got} == {(1, 13, False), (2, 10, True)}
+    assert all(0.5 <= r.cosine < 0.65 for r in got)
+
+
 def test_every_word_of_a_space_is_found():
     rng = np.random.default_rng(9)
     # Several words of one slot, and hashes that are not in the space.
-    near = (np.uint64(5) << np.uint64(44)) + np.arange(40, dtype=np.uint64) * np.uint64(3)
+    near = (np.uint64(5) << np.uint64(60)) + np.arange(40, dtype=np.uint64) * np.uint64(3)
     known = np.unique(np.concatenate([near, rng.integers(1, 1 << 63, 5000, dtype=np.uint64)]))
     space = decontaminate._Space(decontaminate._slots(known), np.append(known, np.uint64(decontaminate._NO_WORD)), None)
     assert (space.rows(known) == np.arange(len(known))).all()
