@@ -14,7 +14,8 @@ each shuffle, and its tree is spread over its nodes. Only DataFrame functions ar
 
 Rows and edge cases: null urls and urls without ``://`` have an empty host and path and one node;
 repeated rows are judged alike and count with their number. Without labels the verdict is allow.
-Paths deeper than ``depth`` segments end in one wildcard for all that follows. Other columns of the
+Trees are as deep as the paths; with ``depth``, deeper paths end in one wildcard for all that
+follows. Other columns of the
 input are ignored by ``judge_urls``, whatever their names.
 """
 
@@ -64,8 +65,10 @@ def rule_columns(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Col
     return (none, none) if name is None else (name, verdict)
 
 
-def _segments(path: Column, depth: int) -> Column:
+def _segments(path: Column, depth: int | None) -> Column:
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
+    if depth is None:
+        return parts
     return F.when(F.size(parts) <= depth, parts).otherwise(
         F.concat(F.slice(parts, 1, depth), F.array(F.lit("**")))
     )
@@ -78,7 +81,7 @@ def _varies(segment: Column, n: Column, children: Column, total: Column, many: i
 
 
 def path_templates(
-    paths: DataFrame, depth: int = 8, many: int = 12, share: float = 0.05
+    paths: DataFrame, depth: int | None = None, many: int = 12, share: float = 0.05
 ) -> DataFrame:
     """``paths`` (host, path, ...) with ``template``, an array of segments and wildcards."""
     distinct = (
@@ -195,7 +198,7 @@ def judge_urls(
     labels: DataFrame | None = None,
     id_column: str = "page_id",
     url_column: str = "url",
-    depth: int = 8,
+    depth: int | None = None,
     least_purity: float = 0.4,
 ) -> DataFrame:
     """``id_column, host, path, rule, template, purity, verdict`` for every row of ``pages``.

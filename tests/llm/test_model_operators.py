@@ -88,6 +88,17 @@ def test_url_templates_learn_from_labels(spark):
     assert {(r.page_id >= 100, r.verdict) for r in got} == {(False, "block"), (True, "allow")}
 
 
+def test_urls_that_differ_below_eight_segments(spark):
+    top = "http://h.com/a/b/c/d/e/f/g/h"
+    rows = [(i, f"{top}/{'good' if i % 2 else 'bad'}/page") for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 2 == 1) for i in range(40)], "page_id long, good boolean")
+    got = url_templates.judge_urls(pages, labels=labels).collect()
+    assert {(r.page_id % 2, r.template[-10:], r.verdict) for r in got} == {
+        (1, "/good/page", "allow"), (0, "h/bad/page", "block"),
+    }
+
+
 def _targets(sizes, weights=(1, 2, 3), most=3):
     """Sharing in rounds: whoever is above the limit stops there, the rest share again."""
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
