@@ -142,6 +142,15 @@ _PASSAGES = f"""
     FROM docs LEFT JOIN kept USING (r)
 """
 
+_ARCHIVES = """
+    WITH sized AS (SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS n FROM pages),
+    firsts AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY body) END AS last FROM sized)
+    SELECT page_id, cast(n AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest,
+           CASE WHEN last IS NULL OR last IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN last IS DISTINCT FROM page_id THEN last END AS refers_to
+    FROM firsts
+"""
+
 ORACLE_SQL = {
     "op1_chat_format": _chat(),
     "op2_quality_rules": _quality(),
@@ -149,4 +158,5 @@ ORACLE_SQL = {
     "op8_source_mix": _MIX,
     "op9_line_dedup": _LINES,
     "op10_substring_dedup": _PASSAGES,
+    "op11_warc_normalise": _ARCHIVES,
 }

@@ -16,9 +16,10 @@ from tarnlake.llm import (
     substring_dedup,
     token_store,
     url_templates,
+    warc_archive,
 )
 from tarnlake.llm.check_sql import ORACLE_SQL
-from tarnlake.session import ship_package
+from tarnlake.session import ship_package, work_path
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -130,6 +131,22 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_warc_normalise(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages as one-stream archives, normalised to members and read back through the index."""
+    pages = _table(spark, folder, "pages").select("page_id", "url", "html")
+    streams, archives = work_path(spark, "streams"), work_path(spark, "archives")
+    warc_archive.write_monolithic(warc_archive.warc_records(pages), streams)
+    warc_archive.normalise(spark, streams, archives)
+    records = warc_archive.read_records(spark, archives, with_payload=False)
+    return records.select(
+        warc_archive.page_key(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc_archive.page_key(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -141,6 +158,6 @@ QUERIES = {
     for f in (
         op1_chat_format, op2_quality_rules, op3_token_store, op4_decontaminate, op5_url_templates,
         op6_jaccard_join, op7_language_id, op8_source_mix, op9_line_dedup, op10_substring_dedup,
-        pipeline,
+        op11_warc_normalise, pipeline,
     )
 }

@@ -36,7 +36,7 @@ def test_one_query_for_each_operator():
     from __spark_entry__ import queries
 
     names = [n for n in queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in queries()
 
 
