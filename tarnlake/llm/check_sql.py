@@ -151,6 +151,54 @@ _ARCHIVES = """
     FROM firsts
 """
 
+
+
+def _crc32(codes: str) -> str:
+    """CRC-32 of a list of byte values, bit by bit."""
+    bit = "lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    step = f"list_reduce(range(8), {bit}, xor(c, b))"
+    return f"xor(list_reduce({codes}, lambda c, b: {step}, 4294967295), 4294967295)"
+
+
+_DIGITS = "list_transform(string_split(cast(c AS VARCHAR), ''), lambda x: cast(ord(x) AS BIGINT))"
+_TRIE = f"""
+    WITH placed AS (
+      SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k
+      FROM conversations),
+    convs AS (SELECT DISTINCT c, {_crc32(_DIGITS)} % 9 AS h FROM placed),
+    turns AS (
+      SELECT x.c, k, role, text FROM convs x JOIN placed p ON p.c = x.c - x.c % 5 AND k <= h
+      UNION ALL
+      SELECT x.c, k + 1000000000, role, text FROM convs x JOIN placed p ON p.c = x.c AND k > h),
+    named AS (
+      SELECT c, strlen(text) AS bytes, sha256(role || chr(10) || text) AS symbol,
+             row_number() OVER (PARTITION BY c ORDER BY k) AS d
+      FROM turns),
+    prefixes AS (
+      SELECT c, d, bytes, max(d) OVER (PARTITION BY c) AS n,
+             sha256(string_agg(symbol, '') OVER (PARTITION BY c ORDER BY d)) AS node,
+             sha256(coalesce(string_agg(symbol, '') OVER (PARTITION BY c ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '')) AS above
+      FROM named
+      UNION ALL
+      SELECT c, 0, 0, coalesce((SELECT max(d) FROM named WHERE named.c = convs.c), 0), sha256(''), NULL FROM convs),
+    nodes AS (
+      SELECT node, any_value(above) AS above, d AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+             sha256(coalesce(string_agg(cast(c AS VARCHAR), ',' ORDER BY c) FILTER (d = n), '')) AS ends_sha256
+      FROM prefixes GROUP BY node, d),
+    fans AS (SELECT above AS node, count(*) AS n_children FROM nodes GROUP BY 1),
+    told AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN fans USING (node)),
+    spans AS (
+      SELECT DISTINCT up.node AS top, below.node AS node
+      FROM prefixes up JOIN prefixes below ON up.c = below.c AND up.d <= below.d),
+    sums AS (
+      SELECT top AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * bytes) AS saved
+      FROM spans JOIN told USING (node) GROUP BY 1)
+    SELECT t.conv_id, cast(t.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, t.n_convs, t.n_children, n_leaves,
+           cast(saved AS BIGINT) AS saved_tokens, t.ends_sha256
+    FROM told t JOIN sums USING (node) LEFT JOIN told p ON p.node = t.above
+"""
+
 ORACLE_SQL = {
     "op1_chat_format": _chat(),
     "op2_quality_rules": _quality(),
@@ -159,4 +207,5 @@ ORACLE_SQL = {
     "op9_line_dedup": _LINES,
     "op10_substring_dedup": _PASSAGES,
     "op11_warc_normalise": _ARCHIVES,
+    "op13_prefix_trie": _TRIE,
 }

@@ -11,6 +11,7 @@ from tarnlake.llm import (
     jaccard_join,
     language_id,
     line_dedup,
+    prefix_trie,
     quality_rules,
     source_mix,
     substring_dedup,
@@ -147,6 +148,17 @@ def op11_warc_normalise(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """All nodes of the trie of conversations that share turns within families of five."""
+    key = F.col("conv_id")
+    symbols = prefix_trie.turn_symbols(
+        _table(spark, folder, "conversations"),
+        base=key - key % 5,
+        shared=F.crc32(key.cast("string")) % 9,
+    )
+    return prefix_trie.trie_nodes(symbols)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -158,6 +170,6 @@ QUERIES = {
     for f in (
         op1_chat_format, op2_quality_rules, op3_token_store, op4_decontaminate, op5_url_templates,
         op6_jaccard_join, op7_language_id, op8_source_mix, op9_line_dedup, op10_substring_dedup,
-        op11_warc_normalise, pipeline,
+        op11_warc_normalise, op13_prefix_trie, pipeline,
     )
 }
