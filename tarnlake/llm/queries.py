@@ -14,6 +14,7 @@ from tarnlake.llm import (
     prefix_trie,
     quality_rules,
     source_mix,
+    spelling_variants,
     substring_dedup,
     token_store,
     url_templates,
@@ -148,6 +149,16 @@ def op11_warc_normalise(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """All frequent words, one letter dropped in one of 97 runs, with their near words and forms."""
+    words = spelling_variants.count_words(
+        _table(spark, folder, "documents"), corrupt=spelling_variants.drop_one_in(97)
+    )
+    return spelling_variants.group_variants(words).select(
+        "word", "form", "root", "n", "n_near", "form_n"
+    )
+
+
 def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     """All nodes of the trie of conversations that share turns within families of five."""
     key = F.col("conv_id")
@@ -170,6 +181,6 @@ QUERIES = {
     for f in (
         op1_chat_format, op2_quality_rules, op3_token_store, op4_decontaminate, op5_url_templates,
         op6_jaccard_join, op7_language_id, op8_source_mix, op9_line_dedup, op10_substring_dedup,
-        op11_warc_normalise, op13_prefix_trie, pipeline,
+        op11_warc_normalise, op12_spelling_variants, op13_prefix_trie, pipeline,
     )
 }
