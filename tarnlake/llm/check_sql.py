@@ -199,6 +199,33 @@ _TRIE = f"""
     FROM told t JOIN sums USING (node) LEFT JOIN told p ON p.node = t.above
 """
 
+_CODES = """flatten(list_transform(string_split(doc_id || ':' || run, ''),
+    lambda x: CASE WHEN ord(x) < 128 THEN [cast(ord(x) AS BIGINT)] ELSE [195, cast(ord(x) AS BIGINT) - 64] END))"""
+_VARIANTS = f"""
+    WITH RECURSIVE found AS (
+      SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), '[a-zÀ-ÿ]+')) AS run FROM documents),
+    counted AS (SELECT doc_id, run, count(*) AS n FROM found WHERE length(run) >= 5 GROUP BY 1, 2),
+    coded AS (SELECT run, n, {_crc32(_CODES)} AS h FROM counted),
+    changed AS (
+      SELECT n, CASE WHEN h % 97 = 0 THEN left(run, cast(h % length(run) AS BIGINT)) || substr(run, cast(h % length(run) + 2 AS BIGINT)) ELSE run END AS word
+      FROM coded),
+    words AS (SELECT word, cast(sum(n) AS BIGINT) AS n FROM changed WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+    holes AS (SELECT word, n, i, left(word, i) || '_' || substr(word, i + 2) AS swapped, left(word, i) || substr(word, i + 2) AS shorter
+      FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words) x),
+    pairs AS (
+      SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM holes a JOIN holes b ON a.swapped = b.swapped AND a.i = b.i AND a.word <> b.word
+      UNION SELECT a.word, a.n, b.word, b.n FROM holes a JOIN words b ON a.shorter = b.word
+      UNION SELECT b.word, b.n, a.word, a.n FROM holes a JOIN words b ON a.shorter = b.word),
+    near AS (SELECT word, count(*) AS n_near, min((-other_n, other)) AS best FROM pairs GROUP BY word),
+    told AS (
+      SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best[1] >= 2 * w.n THEN best[2] END AS form,
+             CASE WHEN -best[1] >= 2 * w.n THEN -best[1] END AS form_n
+      FROM words w LEFT JOIN near USING (word)),
+    walk AS (SELECT word, word AS root FROM told UNION ALL SELECT k.word, t.form FROM walk k JOIN told t ON t.word = k.root WHERE t.form IS NOT NULL)
+    SELECT t.word, t.form, k.root, t.n, t.n_near, cast(t.form_n AS BIGINT) AS form_n
+    FROM told t JOIN walk k USING (word) JOIN told e ON e.word = k.root AND e.form IS NULL
+"""
+
 ORACLE_SQL = {
     "op1_chat_format": _chat(),
     "op2_quality_rules": _quality(),
@@ -207,5 +234,6 @@ ORACLE_SQL = {
     "op9_line_dedup": _LINES,
     "op10_substring_dedup": _PASSAGES,
     "op11_warc_normalise": _ARCHIVES,
+    "op12_spelling_variants": _VARIANTS,
     "op13_prefix_trie": _TRIE,
 }

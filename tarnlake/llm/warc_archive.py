@@ -51,6 +51,8 @@ _RECORDS = (
 )
 #: Bytes of payloads that one Arrow batch of read records holds, or one larger payload.
 _BATCH_BYTES = 4 << 20
+#: Bytes of members that one task reads.
+_TASK_BYTES = 16 << 20
 
 
 def _line(name: str, value: Column) -> Column:
@@ -326,7 +328,11 @@ def read_records(
             file.close()
         yield frame(rows)
 
-    placed = entries.select("archive", "offset", "length").repartitionByRange("archive", "offset")
+    # An entry is small whatever its member holds, so the number of tasks follows the members' bytes.
+    members = entries.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = 1 + members // _TASK_BYTES
+    places = entries.select("archive", "offset", "length")
+    placed = places.repartitionByRange(tasks, "archive", "offset")
     return placed.sortWithinPartitions("archive", "offset").mapInArrow(run, _RECORDS)
 
 
