@@ -13,7 +13,7 @@ class MergeError(ValueError):
     """A merge that cannot be expressed safely."""
 
 
-def _check_keys(df: DataFrame, keys: list[str]) -> None:
+def check_keys(df: DataFrame, keys: list[str]) -> None:
     if not keys:
         raise MergeError("a merge needs at least one key")
     missing = [k for k in keys if k not in df.columns]
@@ -69,8 +69,19 @@ def merge_current(
     Delta rows without a key are skipped (``merge_counts`` counts them). The first run, with no
     previous state, follows the same rules. Applying a delta twice changes nothing.
     """
-    _check_keys(delta, keys)
+    check_keys(delta, keys)
     latest = latest_per_key(delta.where(has_key(keys)), keys, order)
+    return apply_latest(previous, latest, delta, keys, soft_delete)
+
+
+def apply_latest(
+    previous: DataFrame | None,
+    latest: DataFrame,
+    delta: DataFrame,
+    keys: list[str],
+    soft_delete: str | None = None,
+) -> DataFrame:
+    """The state after rows that are already one per key; ``delta`` tells the marker's type."""
     alive = latest.where(~is_deleted(delta, soft_delete)) if soft_delete else latest
     if previous is None:
         return alive
@@ -116,7 +127,7 @@ def changed_rows(
     Only the keys and hashes of the target take part in the join. ``target`` may already carry
     ``_row_hash`` from its last load; otherwise the hash is computed from the same columns.
     """
-    _check_keys(incoming, keys)
+    check_keys(incoming, keys)
     hashed = incoming.withColumn("_row_hash", row_hash(columns))
     known = target if "_row_hash" in target.columns else target.withColumn("_row_hash", row_hash(columns))
     return hashed.join(known.select(*keys, "_row_hash"), [*keys, "_row_hash"], "left_anti")
@@ -135,7 +146,7 @@ def upsert(
     target: DataFrame, staged: DataFrame, keys: list[str], soft_delete: str | None = None
 ) -> DataFrame:
     """Target after replacing the staged keys, then without the rows marked deleted."""
-    _check_keys(staged, keys)
+    check_keys(staged, keys)
     result = target.join(staged.select(*keys).distinct(), keys, "left_anti").unionByName(
         staged.select(*[c for c in target.columns])
     )

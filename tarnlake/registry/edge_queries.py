@@ -18,6 +18,7 @@ from tarnlake.registry.entity_queries import POLICY
 from tarnlake.registry.record_queries import _MERGED
 from tarnlake.session import cut_lineage, work_path
 from tarnlake.sources import layers, sinks
+from tarnlake.sources.keyed_layer import KeyedLayer
 from tarnlake.streaming import events
 
 TODAY = date(1999, 8, 15)
@@ -350,8 +351,8 @@ def field_modes(t: Tables) -> DataFrame:
 
 @query("layer_merge", _MERGED)
 def layer_merge(t: Tables) -> DataFrame:
-    """A base and a delta merged into a layer of key buckets."""
-    path, keys = work_path(t.spark, "layer"), ["id"]
-    sinks.merge_layer(t.spark, path, t.order_state, keys, ["revision"], "is_delete", 16, first=True)
-    sinks.merge_layer(t.spark, path, t.order_delta, keys, ["revision"], "is_delete", 16)
-    return sinks.read_merged(t.spark, path, keys).select(*t.order_state.columns)
+    """A base and a delta merged into a layer of key buckets, split by a bound of a few kilobytes."""
+    layer = KeyedLayer(t.spark, work_path(t.spark, "layer"), ["id"], bucket_bytes=8 << 10)
+    for delta in (t.order_state, t.order_delta):
+        layer.merge(delta, ["revision"], "is_delete")
+    return layer.read().select(*t.order_state.columns)

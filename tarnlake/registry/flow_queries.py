@@ -627,11 +627,11 @@ def field_selection(t: Tables) -> DataFrame:
 )
 def serving_load(t: Tables) -> DataFrame:
     columns = ["p_partkey", "p_name", "p_size", "p_brand"]
-    first, second = work_path(t.spark, "serving"), work_path(t.spark, "serving")
-    sinks.load_serving(t.part_target, None, ["p_partkey"], columns, first)
-    incoming = t.part.where("p_partkey % 3 <> 0").select(*columns)
-    sinks.load_serving(incoming, layers.read_layer(t.spark, first), ["p_partkey"], columns, second)
-    return layers.read_layer(t.spark, second).drop("_row_hash")
+    path, keys = work_path(t.spark, "serving"), ["p_partkey"]
+    sinks.load_serving(t.spark, path, t.part_target, keys, columns, bucket_bytes=16 << 10)
+    incoming = t.part.where("p_partkey % 3 <> 0")
+    sinks.load_serving(t.spark, path, incoming, keys, columns, bucket_bytes=16 << 10)
+    return sinks.read_serving(t.spark, path, keys).select(*columns)
 
 
 # ---------------------------------------------------------------- lifecycle

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from tarnlake.functions.hashing import row_hash
 from tarnlake.operators.graph import BUCKET_COLUMN, id_bucket
-from tarnlake.operators.merge import changed_rows, has_key, merge_current, upsert
+from tarnlake.operators.merge import changed_rows
 from tarnlake.operators.scope import SCOPE_COLUMN, ScopeFilter
 from tarnlake.operators.survivorship import flatten_lists
-from tarnlake.session import cut_lineage
+from tarnlake.sources.keyed_layer import KeyedLayer, Merged
 
 # Columns that stay inside the resolution layer.
 INTERNAL_COLUMNS = (
@@ -148,53 +148,6 @@ def publish_twins(twins: DataFrame, edges: DataFrame, path: str, run_id: str) ->
     return _written(seen, "no twins")
 
 
-def merge_layer(
-    spark: SparkSession,
-    path: str,
-    delta: DataFrame,
-    keys: list[str],
-    order: list[str],
-    soft_delete: str | None = None,
-    buckets: int = 64,
-    first: bool = False,
-) -> int:
-    """Merge a delta into a current-state layer, rewriting only the key buckets it touches.
-
-    The layer is partitioned by a hash of the keys. The touched buckets (at most ``buckets`` numbers)
-    are the only thing the driver reads; other partitions keep their files. A bucket that the merge
-    empties keeps one row without keys, which ``read_merged`` leaves out. Returns the delta rows.
-    """
-    counted, seen = _counted(delta)
-    staged = cut_lineage(
-        counted.where(has_key(keys)).withColumn(
-            "_bucket", F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
-        )
-    )
-    touched = sorted(r[0] for r in staged.select("_bucket").distinct().collect())
-    if not touched:
-        return seen.get["rows"]
-    previous = None
-    if not first:
-        previous = spark.read.parquet(path).where(F.col("_bucket").isin(touched)).where(has_key(keys))
-    merged = merge_current(previous, staged, keys, order, soft_delete)
-    kept = cut_lineage(merged)
-    marks = spark.createDataFrame([(b,) for b in touched], "_bucket int")
-    emptied = marks.join(kept.select("_bucket").distinct(), "_bucket", "left_anti")
-    (
-        kept.unionByName(emptied, allowMissingColumns=True)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_bucket")
-        .parquet(path)
-    )
-    return seen.get["rows"]
-
-
-def read_merged(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The current rows of a layer kept by ``merge_layer``."""
-    return spark.read.parquet(path).where(has_key(keys)).drop("_bucket")
-
-
 def publish_analytics(golden: DataFrame, path: str, analytics_date: date) -> int:
     """Write the day's analytics partition without the internal columns, replacing it if present."""
     counted, seen = _counted(golden.drop(*INTERNAL_COLUMNS))
@@ -265,18 +218,28 @@ def jdbc_merge_statement(table: str, staging: str, keys: list[str], columns: lis
 
 
 def load_serving(
+    spark: SparkSession,
+    path: str,
     incoming: DataFrame,
-    target: DataFrame | None,
     keys: list[str],
     columns: list[str],
-    path: str,
     soft_delete: str | None = None,
-) -> int:
-    """Next snapshot of a serving table: only new and changed rows replace stored ones.
+    bucket_bytes: int = 256 << 20,
+) -> Merged:
+    """Bring a serving table up to date: only new and changed rows replace stored ones.
 
-    Written to a new path; the rows read from the old one stay untouched while the job runs.
+    The table is a ``KeyedLayer``. Row hashes are compared with the rows of the incoming keys alone,
+    and only the buckets of rows that differ are rewritten.
     """
-    if target is None:
-        return materialise(incoming.withColumn("_row_hash", row_hash(columns)), path)
-    staged = changed_rows(incoming, target, keys, columns)
-    return materialise(upsert(target, staged.select(*target.columns), keys, soft_delete), path)
+    layer = KeyedLayer(spark, path, keys, bucket_bytes)
+    names = list(dict.fromkeys([*columns, *([soft_delete] if soft_delete else [])]))
+    hashed = incoming.select(*names).withColumn("_row_hash", row_hash(names))
+    target = layer.read_near(incoming)
+    staged = hashed if target is None else changed_rows(hashed, target, keys, names)
+    return layer.merge(staged, ["_row_hash"], soft_delete)
+
+
+def read_serving(spark: SparkSession, path: str, keys: list[str]) -> DataFrame | None:
+    """The rows of a serving table kept by ``load_serving``."""
+    rows = KeyedLayer(spark, path, keys).read()
+    return None if rows is None else rows.drop("_row_hash")

@@ -121,12 +121,15 @@ def test_sql_inputs_are_named_safely(spark):
 
 
 def test_serving_load_replaces_only_changed_rows(spark, tmp_path):
-    first, second = str(tmp_path / "1"), str(tmp_path / "2")
-    v1 = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    assert sinks.load_serving(v1, None, ["k"], ["k", "v"], first) == 2
-    v2 = spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string")
-    assert sinks.load_serving(v2, spark.read.parquet(first), ["k"], ["k", "v"], second) == 3
-    assert sorted((r.k, r.v) for r in spark.read.parquet(second).collect()) == [(1, "a"), (2, "B"), (3, "c")]
+    path = str(tmp_path / "table")
+    v1 = spark.createDataFrame([(k, f"v{k}", False) for k in range(300)], "k int, v string, gone boolean")
+    assert sinks.load_serving(spark, path, v1, ["k"], ["k", "v"], "gone", 1 << 10).delta_rows == 300
+    v2 = spark.createDataFrame([(2, "B", False), (3, "v3", False), (300, "c", False), (5, "v5", True)], v1.schema)
+    done = sinks.load_serving(spark, path, v2, ["k"], ["k", "v"], "gone", 1 << 10)
+    assert done.delta_rows == 3 and done.buckets <= 3
+    got = {r.k: r.v for r in sinks.read_serving(spark, path, ["k"]).collect()}
+    assert got == {k: f"v{k}" for k in range(300) if k != 5} | {2: "B", 300: "c"}
+    assert sinks.load_serving(spark, path, v2.where("k < 4"), ["k"], ["k", "v"], "gone", 1 << 10).buckets == 0
 
 
 def test_shared_folder_comes_from_the_session(spark):

@@ -92,40 +92,6 @@ def test_exception_sample_is_ordered(spark):
     assert [r.k for r in quality.exception_sample(df, ["k"], 3).collect()] == [0, 1, 2]
 
 
-def _files(path):
-    return {
-        os.path.join(d, n): os.stat(os.path.join(d, n)).st_mtime_ns
-        for d, _, names in os.walk(path)
-        for n in names
-        if n.endswith(".parquet")
-    }
-
-
-def test_merge_touches_only_changed_partitions(spark, tmp_path, rows):
-    path = str(tmp_path / "layer")
-    base = spark.sql("SELECT cast(id AS string) AS id, 0 AS v, false AS gone FROM range(200)")
-    sinks.merge_layer(spark, path, base, ["id"], ["v"], "gone", 8, first=True)
-    before = _files(path)
-    time.sleep(0.01)
-    delta = spark.createDataFrame([("7", 1, False), ("new", 1, False), ("9", 2, True), (None, 1, False)], "id string, v int, gone boolean")
-    assert sinks.merge_layer(spark, path, delta, ["id"], ["v"], "gone", 8) == 4
-    after = _files(path)
-    touched = {os.path.dirname(f) for f in after if f not in before}
-    assert 1 <= len(touched) <= 3
-    assert all(before[f] == after.get(f) for f in before if os.path.dirname(f) not in touched)
-    current = sinks.read_merged(spark, path, ["id"])
-    want = {str(i): 0 for i in range(200) if i != 9} | {"7": 1, "new": 1}
-    assert {r.id: r.v for r in current.collect()} == want
-
-
-def test_merge_that_empties_a_bucket(spark, tmp_path):
-    path = str(tmp_path / "layer")
-    base = spark.createDataFrame([("a", 1, False)], "id string, v int, gone boolean")
-    sinks.merge_layer(spark, path, base, ["id"], ["v"], "gone", 4, first=True)
-    sinks.merge_layer(spark, path, base.withColumn("gone", F.lit(True)), ["id"], ["v"], "gone", 4)
-    assert sinks.read_merged(spark, path, ["id"]).count() == 0
-
-
 def test_empty_writes_are_refused_and_harmless(spark, tmp_path):
     from datetime import date
 
