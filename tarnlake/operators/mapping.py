@@ -96,6 +96,25 @@ def _default(rule: MappingRule) -> Column:
     return value
 
 
+def _mapped(df: DataFrame, rules: tuple[MappingRule, ...], strict: bool) -> tuple[list[Column], Column | None]:
+    """Target columns, and the reason to reject a row: empty for none, None if no rule can reject."""
+    outputs: list[Column] = []
+    reasons: list[Column] = []
+    for rule in rules:
+        missing = reduce(lambda a, b: a | b, [is_missing(_source(df, s)) for s in rule.sources])
+        value = F.when(~missing, _value(df, rule, strict))
+        if rule.on_missing == "use_default" and rule.default is not None:
+            value = F.when(missing, _default(rule)).otherwise(value)
+        outputs.append(value.alias(rule.target))
+        if rule.on_missing == "raise_error":
+            reasons.append(F.when(missing, F.lit(rule.target)))
+        if not strict and rule.transform in ("cast", "date_format"):
+            reasons.append(F.when(~missing & value.isNull(), F.lit(rule.target)))
+    if not reasons:
+        return outputs, None
+    return outputs, F.concat_ws(",", F.array_distinct(F.array_compact(F.array(*reasons))))
+
+
 def map_fields(
     df: DataFrame,
     rules: tuple[MappingRule, ...] | None,
@@ -110,21 +129,28 @@ def map_fields(
     """
     if rules is None:
         return df, df.withColumn("reject_reason", F.lit("")).where(F.lit(False))
-    outputs: list[Column] = []
-    reasons: list[Column] = []
-    for rule in rules:
-        missing = reduce(lambda a, b: a | b, [is_missing(_source(df, s)) for s in rule.sources])
-        value = F.when(~missing, _value(df, rule, strict))
-        if rule.on_missing == "use_default" and rule.default is not None:
-            value = F.when(missing, _default(rule)).otherwise(value)
-        outputs.append(value.alias(rule.target))
-        if rule.on_missing == "raise_error":
-            reasons.append(F.when(missing, F.lit(rule.target)))
-        if not strict and rule.transform in ("cast", "date_format"):
-            reasons.append(F.when(~missing & value.isNull(), F.lit(rule.target)))
-    if not reasons:
+    outputs, reason = _mapped(df, rules, strict)
+    if reason is None:
         return df.select(*outputs, *keep), df.withColumn("reject_reason", F.lit("")).where(F.lit(False))
-    reason = F.concat_ws(",", F.array_distinct(F.array_compact(F.array(*reasons))))
     accepted = df.where(reason == "").select(*outputs, *keep)
     rejected = df.withColumn("reject_reason", reason).where(F.col("reject_reason") != "")
     return accepted, rejected
+
+
+RAW, REASON = "_raw_row", "_reject_reason"
+
+
+def map_tagged(df: DataFrame, rules: tuple[MappingRule, ...] | None, strict: bool = True) -> DataFrame:
+    """Mapped and rejected rows in one frame, for jobs that read the raw rows once.
+
+    Accepted rows have the target columns and an empty ``_reject_reason``; rejected ones have nulls
+    there and their raw columns in ``_raw_row``.
+    """
+    raw = F.struct(*[F.col(f"`{c}`").alias(c) for c in df.columns])
+    if rules is None:
+        return df.select("*", F.when(F.lit(False), raw).alias(RAW), F.lit("").alias(REASON))
+    outputs, reason = _mapped(df, rules, strict)
+    tagged = df.withColumn(REASON, F.lit("") if reason is None else reason)
+    accepted = F.col(REASON) == ""
+    targets = [F.when(accepted, o).alias(r.target) for o, r in zip(outputs, rules)]
+    return tagged.select(*targets, F.when(~accepted, raw).alias(RAW), REASON)

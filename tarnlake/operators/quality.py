@@ -126,6 +126,15 @@ def record_report(df: DataFrame, checks: Iterable[RecordCheck]) -> DataFrame:
     return counts.withColumn("is_publication_blocked", F.col("records_blocked") > 0)
 
 
+def record_counts(where: Column) -> dict[str, Column]:
+    """Aggregates of the record report over rows with ``_violations``, for a pass that runs anyway."""
+    return {
+        "total_records": F.count_if(where),
+        "records_blocked": F.count_if(where & _has("blocking")),
+        "violations": F.coalesce(F.sum(F.when(where, F.size("_violations"))), F.lit(0)).cast("long"),
+    }
+
+
 def record_violations(df: DataFrame, checks: Iterable[RecordCheck], keys: list[str]) -> DataFrame:
     """One row per violation with the keys of its record."""
     found = with_violations(df, checks).select(*keys, F.explode("_violations").alias("_found"))
@@ -217,6 +226,66 @@ def date_anomalies(df: DataFrame, fields: Iterable[str], today: date) -> Column:
     return reduce(lambda a, b: a + b, [f.cast("int") for f in flags])
 
 
+def with_orphan_flags(df: DataFrame, policy: BatchPolicy, where: Column) -> DataFrame:
+    """Add ``_orphan_0`` ...: the row names a parent that does not exist, by declared foreign key.
+
+    The rows stream past the distinct parent keys, so a hot child key can be split.
+    """
+    for i, fk in enumerate(policy.foreign_keys):
+        key, parent = F.col(f"`{fk.child}`"), f"_parent_{i}"
+        parents = fk.parent_keys.select(F.col(fk.parent_column).cast("string").alias(parent)).distinct()
+        orphan = where & ~is_missing(key) & F.col(parent).isNull()
+        joined = df.join(parents, key.cast("string") == F.col(parent), "left")
+        df = joined.withColumn(f"_orphan_{i}", orphan).drop(parent)
+    return df
+
+
+def batch_counts(df: DataFrame, policy: BatchPolicy, where: Column) -> dict[str, Column]:
+    """Aggregates behind the batch checks, but for duplicates, over rows with orphan flags."""
+    counts = {"batch_rows": F.count_if(where)}
+    for i, f in enumerate(policy.required):
+        counts[f"populated_{i}"] = F.count_if(where & ~is_missing(F.col(f"`{f}`")))
+    if policy.date_fields:
+        found = date_anomalies(df, policy.date_fields, policy.today or date.today())
+        counts["anomalies"] = F.coalesce(F.sum(F.when(where, found)), F.lit(0))
+    for i, _ in enumerate(policy.foreign_keys):
+        counts[f"orphans_{i}"] = F.count_if(F.col(f"_orphan_{i}"))
+    return counts
+
+
+def batch_outcomes(counts: DataFrame, policy: BatchPolicy) -> DataFrame:
+    """``batch_checks`` from one row of ``batch_counts``, with ``duplicates`` for a natural key."""
+    total, found = F.col("batch_rows"), []
+
+    def outcome(rule: str, measured: Column, limit: float, passed: Column) -> None:
+        found.append(
+            F.struct(
+                F.lit(rule).alias("rule_id"),
+                measured.alias("measured_value"),
+                F.lit(float(limit)).alias("threshold"),
+                passed.alias("passed"),
+            )
+        )
+
+    if policy.required:
+        rates = [rate_pct(F.col(f"populated_{i}"), total, 100.0) for i, _ in enumerate(policy.required)]
+        worst = F.least(*rates) if len(rates) > 1 else rates[0]
+        outcome("completeness", worst, policy.min_populated_pct, worst >= policy.min_populated_pct)
+    ceilings = [("date-validation", "anomalies", policy.max_anomaly_pct)] if policy.date_fields else []
+    if policy.natural_key:
+        ceilings.append(("duplicate-rate", "duplicates", policy.max_duplicate_pct))
+    ceilings += [
+        ("referential-integrity", f"orphans_{i}", policy.max_orphan_pct)
+        for i, _ in enumerate(policy.foreign_keys)
+    ]
+    for rule, name, limit in ceilings:
+        rate = rate_pct(F.col(name), total, 0.0)
+        outcome(rule, rate, limit, rate <= limit)
+    if not found:
+        raise ValueError("the policy declares no check")
+    return counts.select(F.inline(F.array(*found)))
+
+
 def batch_checks(df: DataFrame, policy: BatchPolicy) -> DataFrame:
     """Outcome of every declared check: ``rule_id, measured_value, threshold, passed``.
 

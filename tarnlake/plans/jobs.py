@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tarnlake.operators import clusters, graph, mapping, masking, matching, merge, quality, scope
 from tarnlake.operators import survivorship
 from tarnlake.operators.matching import RECORD_ID
 from tarnlake.session import cut_lineage
+from tarnlake.sources.keyed_layer import KeyedLayer, Merged
 
 
 # ---------------------------------------------------------------- raw to current state
@@ -46,42 +47,86 @@ class Transformed:
     blocked: bool
 
 
+def _stage(
+    raw: DataFrame, spec: TransformSpec, known_units: DataFrame | None
+) -> tuple[DataFrame, Transformed]:
+    """Map, mask, check and stamp one delta in a single pass, which is the staging write.
+
+    The totals of record checks, batch checks and attribution are observed by that write. Only the
+    duplicate rate reads the staged rows again, and of them the natural key alone.
+    """
+    tagged = mapping.map_tagged(raw, spec.rules, spec.strict)
+    targets = [c for c in tagged.columns if c not in (mapping.RAW, mapping.REASON)]
+    policy = spec.masks if spec.masks is not None else masking.auto_policy(targets)
+    accepted = F.col(mapping.REASON) == ""
+    rows = quality.with_violations(masking.apply_masks(tagged, policy, spec.secret), spec.checks)
+    measures = quality.record_counts(accepted)
+    if spec.batch_policy is not None:
+        rows = quality.with_orphan_flags(rows, spec.batch_policy, accepted)
+        measures |= quality.batch_counts(rows, spec.batch_policy, accepted)
+    rows = scope.stamp_scope(rows, spec.attribution, known_units)
+    measures["unattributed_rows"] = F.count_if(accepted & F.col(scope.SCOPE_COLUMN).isNull())
+    seen = Observation()
+    staged = cut_lineage(rows.observe(seen, *[c.alias(n) for n, c in measures.items()]), "staged")
+    totals = seen.get
+
+    good = staged.where(accepted).select(*[c for c in targets if c != scope.SCOPE_COLUMN], scope.SCOPE_COLUMN)
+    keys = [k for k in spec.keys if k in targets]
+    violations = staged.where(accepted).select(*keys, F.explode("_violations").alias("_found"))
+    rejected = staged.where(~accepted).select(
+        f"{mapping.RAW}.*", F.col(mapping.REASON).alias("reject_reason")
+    )
+    blocked, outcomes = totals["records_blocked"] > 0, None
+    if spec.batch_policy is not None:
+        if spec.batch_policy.natural_key:
+            groups = quality.duplicate_groups(good, list(spec.batch_policy.natural_key))
+            extra = groups.agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0))).first()[0]
+            totals = {**totals, "duplicates": extra}
+        numbers = {n: int(v) for n, v in totals.items()}
+        one = raw.sparkSession.createDataFrame(
+            [tuple(numbers.values())], ", ".join(f"{n} long" for n in numbers)
+        )
+        outcomes = quality.batch_outcomes(one, spec.batch_policy)
+        gate = quality.batch_gate(outcomes, spec.batch_policy.mode)
+        blocked = bool(gate.select("blocked").first()[0]) or blocked
+    if not blocked and not spec.attribution.single and totals["total_records"]:
+        rate = 100.0 * totals["unattributed_rows"] / totals["total_records"]
+        if rate > scope.UNATTRIBUTED_LIMIT_PCT:
+            raise ValueError(f"{rate:.2f}% of the rows have no owner; not publishing")
+    result = Transformed(None, rejected, violations.select(*keys, "_found.*"), outcomes, blocked)
+    return good, result
+
+
 def transform(
     raw: DataFrame,
     spec: TransformSpec,
     previous: DataFrame | None = None,
     known_units: DataFrame | None = None,
 ) -> Transformed:
-    """Map, mask, check, merge and stamp one delta.
+    """Map, mask, check, merge and stamp one delta; the raw rows are read once.
 
-    Masks default to those the field names call for. The mapped rows are checkpointed, since checks
-    and merge both read them; the two gates are the only results the driver looks at. A tenant with
-    units fails when too many rows cannot be attributed.
+    Masks default to those the field names call for. A tenant with units fails when too many rows
+    cannot be attributed.
     """
-    mapped, rejected = mapping.map_fields(raw, spec.rules, spec.strict)
-    policy = spec.masks if spec.masks is not None else masking.auto_policy(mapped.columns)
-    rows = cut_lineage(masking.apply_masks(mapped, policy, spec.secret))
-    keys = [k for k in spec.keys if k in rows.columns]
-    violations = quality.record_violations(rows, spec.checks, keys)
-    blocked = bool(
-        quality.record_report(rows, spec.checks).select("is_publication_blocked").first()[0]
-    )
-    outcomes = None
-    if spec.batch_policy is not None:
-        outcomes = cut_lineage(quality.batch_checks(rows, spec.batch_policy))
-        gate = quality.batch_gate(outcomes, spec.batch_policy.mode)
-        blocked = bool(gate.select("blocked").first()[0]) or blocked
-    if blocked:
-        return Transformed(None, rejected, violations, outcomes, True)
-    stamped = scope.stamp_scope(rows, spec.attribution, known_units)
-    if not spec.attribution.single:
-        rate = scope.unattributed_rate(stamped).first()
-        if rate["exceeds"]:
-            raise ValueError(
-                f"{rate['unattributed_rate_pct']:.2f}% of the rows have no owner; not publishing"
-            )
-    current = merge.merge_current(previous, stamped, list(spec.keys), list(spec.order), spec.soft_delete)
-    return Transformed(current, rejected, violations, outcomes, False)
+    rows, result = _stage(raw, spec, known_units)
+    if result.blocked:
+        return result
+    current = merge.merge_current(previous, rows, list(spec.keys), list(spec.order), spec.soft_delete)
+    return replace(result, curated=current)
+
+
+def transform_into(
+    layer: KeyedLayer, raw: DataFrame, spec: TransformSpec, known_units: DataFrame | None = None
+) -> tuple[Transformed, Merged | None]:
+    """``transform``, merged into a keyed layer: only the buckets of the delta's keys are rewritten.
+
+    A blocked delta leaves the layer as it is.
+    """
+    rows, result = _stage(raw, spec, known_units)
+    if result.blocked:
+        return result, None
+    merged = layer.merge(rows, list(spec.order), spec.soft_delete)
+    return replace(result, curated=layer.read()), merged
 
 
 def reprocess(

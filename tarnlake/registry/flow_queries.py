@@ -14,6 +14,7 @@ from tarnlake.plans import jobs
 from tarnlake.registry.base import Tables, derived, query
 from tarnlake.session import work_path
 from tarnlake.sources import layers, sinks
+from tarnlake.sources.keyed_layer import KeyedLayer
 
 EVERYONE = scope.ScopeFilter(None)
 
@@ -738,9 +739,7 @@ _MASKED = """CASE WHEN length({0}) <= 4 THEN repeat('*', length({0}))
                   ELSE repeat('*', length({0}) - 4) || right({0}, 4) END"""
 
 
-@query(
-    "transform_job",
-    f"""
+_TRANSFORMED = f"""
     SELECT order_id, amount, status, email_ref, revision, removed, owner, scope_unit_id FROM {{order_state_curated}} p
     WHERE order_id NOT IN (SELECT id FROM ({_LATEST_RAW}) l1)
     UNION ALL
@@ -749,12 +748,23 @@ _MASKED = """CASE WHEN length({0}) <= 4 THEN repeat('*', length({0}))
     UNION ALL
     SELECT id, amount, status, {_MASKED.format('cast(customer AS string)')}, revision, false, owner, NULL
     FROM ({_LATEST_RAW}) l3 WHERE is_delete <> 'Yes' AND lower(owner) NOT IN (SELECT scope_unit_id FROM {{units}} u)
-    """,
-)
+"""
+
+
+@query("transform_job", _TRANSFORMED)
 def transform_job(t: Tables) -> DataFrame:
     return jobs.transform(t.order_delta_raw, _spec(t), t.order_state_curated, t.units).curated
 
 
+@query("transform_layered", _TRANSFORMED)
+def transform_layered(t: Tables) -> DataFrame:
+    """The same delta, merged into a layer that already holds the state."""
+    layer = KeyedLayer(t.spark, work_path(t.spark, "layer"), ["order_id"], bucket_bytes=32 << 10)
+    layer.merge(t.order_state_curated, ["revision"])
+    done, _ = jobs.transform_into(layer, t.order_delta_raw, _spec(t), t.units)
+    return done.curated.select(*t.order_state_curated.columns)
+
+
 @query("transform_rejects", "SELECT customer, revision, 'order_id' AS reject_reason FROM {order_delta_raw} WHERE id IS NULL OR id = ''")
 def transform_rejects(t: Tables) -> DataFrame:
     rejected = jobs.transform(t.order_delta_raw, _spec(t), None, t.units).rejected
