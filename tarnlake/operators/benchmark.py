@@ -135,8 +135,13 @@ def evaluate_alerts(
 
 
 def with_previous(
-    results: DataFrame, metric: str, period: str, groups: list[str] | None = None
+    results: DataFrame, metric: str, period: str, groups: list[str]
 ) -> DataFrame:
-    """Add ``<metric>_previous``: the value of the period before, within each group."""
-    w = Window.partitionBy(*(groups or [])).orderBy(period)
+    """Add ``<metric>_previous``: the value of the period before, within each group.
+
+    Groups are required: without any, one task would sort all results.
+    """
+    if not groups:
+        raise ValueError("the value before needs the columns of its series")
+    w = Window.partitionBy(*groups).orderBy(period)
     return results.withColumn(f"{metric}_previous", F.lag(metric).over(w))

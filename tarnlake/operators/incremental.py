@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnlake.session import cut_lineage
+from tarnlake.sources.keyed_layer import KeyedLayer
 
 # Defaults of windows, sync planning and backfill.
 OVERLAP_HOURS = 2
@@ -116,6 +117,29 @@ def advance_watermarks(
     return accepted, judged.where(F.col("reason").isNotNull()).select(*key, "run_id", "reason")
 
 
+def advance_stored(
+    layer: KeyedLayer, updates: DataFrame, key: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``advance_watermarks`` on a stored state table, as one compare-and-set.
+
+    The table is a ``KeyedLayer`` kept by the entity key. Of two runs that read the same state one
+    writes the next version, and the other gets a ``VersionConflict`` with nothing changed; it reads
+    again and decides anew. Returns accepted rows and refused updates.
+    """
+    key = key or ENTITY_KEY
+    read = layer.version()
+    state = layer.read_near(updates, read)
+    if state is None:
+        kinds = {f.name: f.dataType.simpleString() for f in updates.schema}
+        columns = [*((k, kinds[k]) for k in key), ("last_watermark", kinds["new_watermark"])]
+        columns += [("version", "long"), ("run_id", kinds["run_id"])]
+        state = updates.sparkSession.createDataFrame([], ", ".join(f"`{n}` {k}" for n, k in columns))
+    accepted, refused = advance_watermarks(state, updates, key)
+    stored = cut_lineage(accepted, "watermarks")
+    layer.merge(stored, ["version"], read=read)
+    return stored, refused
+
+
 def sync_plans(
     configs: DataFrame, state: DataFrame, now: datetime, key: list[str] | None = None
 ) -> DataFrame:

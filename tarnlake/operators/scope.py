@@ -127,11 +127,16 @@ def unknown_grants(grants: DataFrame, units: DataFrame) -> DataFrame:
 
 
 def build_claims(
-    granted: Iterable[str], units: DataFrame, tenant_wide: bool = False, single: bool = False
+    granted: Iterable[str],
+    units: DataFrame,
+    tenant_wide: bool = False,
+    single: bool = False,
+    most_units: int = 10_000,
 ) -> ScopeClaims:
     """Checked claim with hierarchy grants expanded, for a grant short enough to be listed.
 
-    ``granted_filter`` takes grants of any size and keeps the expanded units as a table.
+    A grant that reaches more than ``most_units`` is refused; ``granted_filter`` takes grants of any
+    size and keeps the expanded units as a table.
     """
     if single:
         return ScopeClaims(frozenset({IMPLICIT_UNIT}), tenant_wide, single=True)
@@ -149,7 +154,10 @@ def build_claims(
         raise UnknownUnit(f"unknown units: {sorted(r[0] for r in missing)}")
     known = units.select(SCOPE_COLUMN).distinct()
     reached = expand_grants(grants, units).join(known, SCOPE_COLUMN, "left_semi")
-    return ScopeClaims(frozenset(r[0] for r in reached.collect()))
+    listed = reached.limit(most_units + 1).collect()
+    if len(listed) > most_units:
+        raise ScopeDenied(f"the grant reaches more than {most_units} units: use granted_filter")
+    return ScopeClaims(frozenset(r[0] for r in listed))
 
 
 def effective_units(units: DataFrame, day: date) -> DataFrame:
@@ -236,8 +244,12 @@ def backfill_scope(
             F.when(F.col("rows_unattributable") == 0, "stamped").otherwise("ambiguous"),
         )
     )
-    ambiguous = report.where(F.col("outcome") == "ambiguous").select(partition_column)
-    return stamped.join(ambiguous, partition_column, "left_anti"), report
+    ambiguous = report.where(F.col("outcome") == "ambiguous").select(
+        F.col(partition_column).alias("_ambiguous")
+    )
+    # A partition whose value is null is a partition like any other.
+    same = stamped[partition_column].eqNullSafe(F.col("_ambiguous"))
+    return stamped.join(ambiguous, same, "left_anti"), report
 
 
 def stamp_brand(df: DataFrame, brand: str | None) -> DataFrame:

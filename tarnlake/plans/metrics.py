@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -28,14 +28,24 @@ def _require(tag: str | None, granted: frozenset[str], name: str) -> None:
         raise AccessDenied(f"{name!r} needs the access tag {tag!r}")
 
 
-def _aggregate(metric: Metric, prefix: str = "") -> Column:
+#: Size of distinct-count sketches (a power of two), and the relative error that an estimate stays
+#: within in practice: three standard errors.
+SKETCH_BITS = 12
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def _sketch(metric: Metric, prefix: str) -> Column:
+    return F.hll_sketch_agg(F.col(prefix + metric.column).cast("string"), SKETCH_BITS)
+
+
+def _aggregate(metric: Metric, prefix: str = "", approximate: bool = False) -> Column:
     if metric.column == "*":
         return F.count(F.lit(1))
     col = F.col(prefix + metric.column)
     if metric.aggregation == "count":
         return F.count(col)
     if metric.aggregation == "count_distinct":
-        return F.count_distinct(col)
+        return F.hll_sketch_estimate(_sketch(metric, prefix)) if approximate else F.count_distinct(col)
     if metric.aggregation == "min":
         return F.min(col)
     if metric.aggregation == "max":
@@ -126,6 +136,7 @@ def _grouped(
     extra_group: tuple[str, Column] | None = None,
     bounds: tuple[date, date] | None = None,
     group_by_time: bool = True,
+    make: Callable[[Metric, str], Column] | None = None,
 ) -> tuple[Entity, list[str], DataFrame]:
     """Scope filter, joins, filters and the one aggregation; metrics are still named ``_m_*``."""
     entity = model.entity(request.entity)
@@ -182,7 +193,9 @@ def _grouped(
                 label = f"{target_name}_{n}"
                 groups.append(F.col(f"j{index}_{target.dimension(n).column}").alias(label))
                 names.append(label)
-    aggregates = [_aggregate(m, "b_").alias(f"_m_{m.name}") for m in parts]
+    if make is None:
+        make = lambda m, prefix: _aggregate(m, prefix, request.approximate_distinct)
+    aggregates = [make(m, "b_").alias(f"_m_{m.name}") for m in parts]
     return entity, names, plan.groupBy(*groups).agg(*aggregates)
 
 
@@ -210,6 +223,44 @@ def metric_query(
     return _limited(result, names, request.row_limit)
 
 
+def distinct_sketches(
+    model: MetricModel,
+    request: MetricRequest,
+    sources: Mapping[str, DataFrame],
+    *,
+    tags: frozenset[str] = frozenset(),
+    scope: ScopeFilter,
+) -> DataFrame:
+    """The groups of a request, its period included, with a mergeable sketch per metric.
+
+    Stored by period, they answer later requests over several periods without the rows
+    (``merge_sketches``). Every metric must be a distinct count.
+    """
+    for name in request.metrics:
+        metric = model.entity(request.entity).metric(name)
+        if metric.derived or metric.aggregation != "count_distinct":
+            raise MetricQueryError(f"{name!r} is no distinct count")
+    if request.time is None:
+        raise MetricQueryError("sketches are kept by period: name a time dimension")
+    _, names, grouped = _grouped(model, request, sources, tags, scope, make=_sketch)
+    return grouped.select(*names, *[F.col(f"_m_{m}").alias(m) for m in request.metrics])
+
+
+def merge_sketches(
+    stored: DataFrame, period: str, start: date, end: date, groups: list[str], metrics: list[str]
+) -> DataFrame:
+    """Distinct counts over the stored periods that begin in ``[start, end)``, by group.
+
+    Values that several periods share count once; the error bound is that of one sketch.
+    """
+    day = F.col(period)
+    return (
+        stored.where((day >= F.lit(start)) & (day < F.lit(end)))
+        .groupBy(*groups)
+        .agg(*[F.hll_sketch_estimate(F.hll_union_agg(m)).alias(m) for m in metrics])
+    )
+
+
 def _limited(result: DataFrame, names: list[str], limit: int | None) -> DataFrame:
     """The first groups in the order of their names; all of them without a limit."""
     return result if limit is None else result.orderBy(*names).limit(limit)

@@ -324,24 +324,44 @@ _UPDATES = f"""
 derived("watermark_updates", _UPDATES)
 
 
-@query(
-    "watermark_advance",
-    """
+_ADVANCED = """
     SELECT u.source_id, u.connection_id, u.entity_id,
            CASE WHEN cast(substr(u.entity_id, 8) AS int) % 5 = 0 THEN 'version_conflict'
                 WHEN cast(substr(u.entity_id, 8) AS int) % 5 = 1 THEN 'moves_backwards' ELSE 'accepted' END AS outcome,
            CASE WHEN cast(substr(u.entity_id, 8) AS int) % 5 > 1 THEN u.expected_version + 1 END AS version
     FROM {watermark_updates} u
-    """,
-)
-def watermark_advance(t: Tables) -> DataFrame:
-    accepted, refused = incremental.advance_watermarks(t.watermark_state, t.watermark_updates)
+    """
+
+
+def _outcomes(accepted: DataFrame, refused: DataFrame) -> DataFrame:
     key = incremental.ENTITY_KEY
     return accepted.select(*key, F.lit("accepted").alias("outcome"), "version").unionByName(
         refused.select(*key, F.col("reason").alias("outcome"), F.lit(None).cast("long").alias("version"))
     )
 
 
+@query("watermark_advance", _ADVANCED)
+def watermark_advance(t: Tables) -> DataFrame:
+    return _outcomes(*incremental.advance_watermarks(t.watermark_state, t.watermark_updates))
+
+
+@query(
+    "watermark_stored",
+    f"""
+    SELECT a.*, coalesce(a.version, s.version) AS stored_version FROM ({_ADVANCED}) a
+    LEFT JOIN (SELECT source_id, connection_id, entity_id, max(version) AS version FROM {{watermark_state}} GROUP BY ALL) s
+    USING (source_id, connection_id, entity_id)
+    """,
+)
+def watermark_stored(t: Tables) -> DataFrame:
+    """The same updates against a stored state table, and the versions stored afterwards."""
+    key = incremental.ENTITY_KEY
+    layer = KeyedLayer(t.spark, work_path(t.spark, "watermarks"), key)
+    layer.merge(t.watermark_state, ["version"])
+    judged = _outcomes(*incremental.advance_stored(layer, t.watermark_updates))
+    return judged.join(layer.read().select(*key, F.col("version").alias("stored_version")), key, "left")
+
+
 @query(
     "incremental_window",
     """

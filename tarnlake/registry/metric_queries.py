@@ -23,6 +23,7 @@ from tarnlake.plans.model import (
     TimeRange,
 )
 from tarnlake.registry.base import Tables, query
+from tarnlake.session import work_path
 
 TODAY = date(1999, 8, 15)
 
@@ -152,6 +153,62 @@ def semantic_aggregations(t: Tables) -> DataFrame:
     )
 
 
+_DISTINCT = ("customers", "order_count")
+
+
+def _near_exact(estimated: DataFrame, exact: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact counts, and whether the estimates lie within the stated error of them."""
+    guess = estimated.select(*keys, *[F.col(m).alias(f"_{m}") for m in _DISTINCT])
+    error = lambda m: F.abs(F.col(f"_{m}") - F.col(m)) <= metrics.SKETCH_ERROR * F.col(m)
+    return exact.join(guess, keys).select(*keys, *_DISTINCT, (error(_DISTINCT[0]) & error(_DISTINCT[1])).alias("near"))
+
+
+@query(
+    "semantic_distinct_sketch",
+    """
+    SELECT order_status, count(DISTINCT customer_id) AS customers, count(DISTINCT order_id) AS order_count, true AS near
+    FROM {sales} GROUP BY order_status
+    """,
+)
+def semantic_distinct_sketch(t: Tables) -> DataFrame:
+    """Distinct counts from sketches next to the exact ones."""
+    both = [
+        metrics.metric_query(
+            sales_model(),
+            MetricRequest("sales_order", _DISTINCT, ("order_status",), approximate_distinct=rough),
+            _sources(t),
+            scope=scope.unrestricted("definition_validation"),
+        )
+        for rough in (True, False)
+    ]
+    return _near_exact(*both, ["order_status"])
+
+
+@query(
+    "semantic_quarter_of_sketches",
+    """
+    SELECT order_status, count(DISTINCT customer_id) AS customers, count(DISTINCT order_id) AS order_count, true AS near
+    FROM {sales} WHERE activity_date >= DATE '1996-04-01' AND activity_date < DATE '1996-07-01' GROUP BY order_status
+    """,
+)
+def semantic_quarter_of_sketches(t: Tables) -> DataFrame:
+    """A quarter from stored months: only the sketches are read again."""
+    everyone = scope.unrestricted("definition_validation")
+    monthly = MetricRequest("sales_order", _DISTINCT, ("order_status",), time="activity_date", grain="month")
+    path = work_path(t.spark, "sketches")
+    metrics.distinct_sketches(sales_model(), monthly, _sources(t), scope=everyone).write.parquet(path)
+    quarter = (date(1996, 4, 1), date(1996, 7, 1))
+    merged = metrics.merge_sketches(
+        t.spark.read.parquet(path), "activity_date", *quarter, ["order_status"], list(_DISTINCT)
+    )
+    request = MetricRequest(
+        "sales_order", _DISTINCT, ("order_status",), time="activity_date", grain="quarter",
+        time_range=TimeRange(start=quarter[0], end=date(1996, 6, 30)),
+    )
+    exact = metrics.metric_query(sales_model(), request, _sources(t), scope=everyone)
+    return _near_exact(merged, exact, ["order_status"])
+
+
 @query(
     "semantic_filters",
     """
@@ -387,6 +444,29 @@ def scope_backfill(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "scope_backfill_nulls",
+    """
+    SELECT o_orderstatus AS status, rows, CASE WHEN bad = 0 THEN rows ELSE 0 END AS rows_written
+    FROM (SELECT CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS o_orderstatus, count(*) AS rows,
+                 count(CASE WHEN o_orderstatus = 'F' AND o_orderkey % 10 = 0 THEN 1 END) AS bad FROM {orders} GROUP BY 1) x
+    """,
+)
+def scope_backfill_nulls(t: Tables) -> DataFrame:
+    """A partition with a null value and rows without an owner is left alone like any other."""
+    history = t.sql(
+        """SELECT CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS status, o_orderkey,
+                  CASE WHEN NOT (o_orderstatus = 'F' AND o_orderkey % 10 = 0)
+                       THEN 'unit-' || cast(o_custkey % 25 AS string) END AS owner_ref
+           FROM {orders}"""
+    )
+    written, report = scope.backfill_scope(history, "status", scope.Attribution(field="owner_ref"), t.units)
+    kept = written.groupBy(F.col("status").alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    return report.join(kept, F.col("status").eqNullSafe(F.col("s")), "left").select(
+        "status", "rows", F.coalesce("n", F.lit(0)).alias("rows_written")
+    )
+
+
 @query(
     "brand_validation",
     """

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tarnlake.registry.base import Tables, derived, query
 from tarnlake.session import work_path
-from tarnlake.streaming import events
+from tarnlake.sources.keyed_layer import KeyedLayer
+from tarnlake.streaming import events, ordered
 
 derived(
     "inbound",
@@ -100,6 +101,22 @@ def stream_cdc_merge(t: Tables) -> DataFrame:
     return state.select("user_id", "event_id", "event_type", "value")
 
 
+@query("stream_ordered_apply", f"SELECT * FROM ({_LAST}) l WHERE event_type <> 'error'")
+def stream_ordered_apply(t: Tables) -> DataFrame:
+    """The events in files of no order, three deliveries of them, and one state per user."""
+    inbox, columns = work_path(t.spark, "inbox"), ["user_id", "event_id", "event_type", "value", "ts"]
+    given = t.events.withColumns({"ts": F.col("ts").cast("timestamp"), "removed": F.col("event_type") == "error"})
+    mixed = given.select(*columns, "removed").repartition(5, F.xxhash64("event_id"))
+    mixed.write.parquet(inbox)
+    stream = events.read_files(t.spark, inbox, mixed.schema, 2)
+    layer = KeyedLayer(t.spark, work_path(t.spark, "layer"), ["user_id"])
+    order = ["ts", "event_id"]
+    newer = ordered.newer_only(stream, ["user_id"], order, "36500 days")
+    apply = ordered.apply_ordered(layer, order, "removed")
+    events.apply_available(newer, work_path(t.spark, "checkpoint"), apply)
+    return layer.read().select(*columns[:-1])
+
+
 @query(
     "stream_tumbling",
     """
