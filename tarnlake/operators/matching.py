@@ -392,6 +392,16 @@ def _in_cells(keyed: DataFrame, keys: list[str], bounded: bool) -> DataFrame:
     ).drop("_t", "_other")
 
 
+def _best_score(rule: SimilarRule) -> Column:
+    """What a record can score at most: the weights of its usable fields."""
+    best = F.lit(0.0)
+    for f in rule.fields:
+        value = F.col(_normal(f.field))
+        usable = value.isNotNull() & (value != "") if f.kind == "token_set" else value.isNotNull()
+        best = best + F.when(usable, float(f.weight)).otherwise(0.0)
+    return best
+
+
 def _profiles(prepared: DataFrame, rule: SimilarRule) -> tuple[DataFrame, list[str]]:
     """Distinct value combinations per group that could reach the threshold at all.
 
@@ -399,12 +409,7 @@ def _profiles(prepared: DataFrame, rule: SimilarRule) -> tuple[DataFrame, list[s
     matches nothing. Every record with the combination is linked to ``profile``, its smallest id.
     """
     values = [_normal(f.field) for f in rule.fields]
-    best = F.lit(0.0)
-    for f in rule.fields:
-        value = F.col(_normal(f.field))
-        usable = value.isNotNull() & (value != "") if f.kind == "token_set" else value.isNotNull()
-        best = best + F.when(usable, float(f.weight)).otherwise(0.0)
-    possible = prepared.where(best >= rule.threshold)
+    possible = prepared.where(_best_score(rule) >= rule.threshold)
     keys = [*_GROUP, *values]
     return possible.select(RECORD_ID, *keys), keys
 
@@ -491,6 +496,114 @@ def _candidates(
     )
 
 
+# ---------------------------------------------------------------- value combinations of a rule
+
+#: Before the id of a combination; sorts after every record id.
+COMBO_MARK = "\U0010ffff"
+COMBO = "combo string, match_key string, rule int, values map<string,string>"
+
+
+def _complete(rule: ExactRule | SimilarRule) -> tuple[list[str], Column]:
+    """The prepared columns that a rule compares, and whether a record can match by it at all."""
+    if isinstance(rule, ExactRule):
+        keys = _exact_keys(rule)
+        return keys, reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return [_normal(f.field) for f in rule.fields], _best_score(rule) >= rule.threshold
+
+
+def record_combos(prepared: DataFrame, rules: MatchRules) -> DataFrame:
+    """``record_id, combo, rule, group, values``: what each record is compared by, one row per rule.
+
+    Two records match by a rule, directly or in steps, if they have one combination or combinations
+    that match; which ones do depends on the combinations alone, not on the records that have them.
+    """
+    found = []
+    for number, rule in enumerate(rules.rules):
+        columns, possible = _complete(rule)
+        values = F.map_from_entries(
+            F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).alias("v")) for c in columns])
+        )
+        group = F.to_json(F.array(*[F.col(c).cast("string") for c in _GROUP]))
+        rows = prepared.where(possible).select(
+            F.col(RECORD_ID).alias("record_id"), group.alias("group"), values.alias("values")
+        )
+        name = F.concat_ws("|", F.lit(str(number)), "group", F.to_json("values", {"ignoreNullFields": "false"}))
+        found.append(
+            rows.withColumn("rule", F.lit(number)).withColumn(
+                "combo", F.concat(F.lit(COMBO_MARK), F.sha2(name, 256))
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
+def combo_keys(combos: DataFrame, rules: MatchRules) -> DataFrame:
+    """``combo, match_key, rule, values``: the keys of which matching combinations share one.
+
+    Fields that any match is equal in go into the key; of a word-set field, each word of a prefix in
+    a fixed order of hashes, which stays the same while records come and go.
+    """
+    found = []
+    for number, rule in enumerate(rules.rules):
+        if isinstance(rule, ExactRule):
+            continue
+        for turn, approach in enumerate(approaches(rule)):
+            rows = combos.where(F.col("rule") == number)
+            equal = [F.col("values")[_normal(f)] for f in approach.equal]
+            for e in equal:
+                rows = rows.where(e.isNotNull())
+            word = F.lit("")
+            if approach.words is not None:
+                words = text.tokens(F.col("values")[_normal(approach.words)])
+                order = F.array_sort(F.transform(words, lambda w: F.struct(F.xxhash64(w).alias("h"), w.alias("w"))))
+                n = F.size(order)
+                keep = F.least(n, n - F.ceil(F.lit(approach.overlap) * n - _EPS).cast("int") + 1)
+                rows = rows.withColumn("_word", F.explode(F.slice(order, F.lit(1), keep)))
+                word = F.col("_word.w")
+            parts = F.to_json(F.array(F.lit(f"{number}.{turn}"), F.col("group"), word, *equal))
+            found.append(rows.select("combo", F.sha2(parts, 256).alias("match_key"), "rule", "values"))
+    empty = combos.sparkSession.createDataFrame([], COMBO)
+    return reduce(DataFrame.unionByName, found, empty)
+
+
+def combo_matches(fresh: DataFrame, known: DataFrame, rules: MatchRules) -> DataFrame:
+    """``combo_a, combo_b``: matches of the fresh combinations with each other and the known ones.
+
+    Both are rows of ``combo_keys``; the known ones hold no fresh one. Known combinations are not
+    compared with each other.
+    """
+    every = fresh.withColumn("new", F.lit(True)).unionByName(known.withColumn("new", F.lit(False)))
+    found = []
+    for number, rule in enumerate(rules.rules):
+        if isinstance(rule, ExactRule):
+            continue
+        names = [_normal(f.field) for f in rule.fields]
+        letters = [_normal(f.field) for f in rule.fields if f.kind == "jaro_winkler"]
+
+        def side(rows: DataFrame, names=names, letters=letters, number=number) -> DataFrame:
+            wide = rows.where(F.col("rule") == number).select(
+                "*", *[F.col("values")[n].alias(n) for n in names]
+            )
+            wide = wide.withColumns({f"t_{n}": text.letter_slots(F.col(n)) for n in letters})
+            return wide.withColumns(
+                {f"l_{n}": text.letter_profile(F.col(n), F.col(f"t_{n}")) for n in letters}
+            ).drop("values", *[f"t_{n}" for n in letters])
+
+        once = ~F.col("b.new") | (F.col("a.combo") < F.col("b.combo"))
+        close = _bound(rule, ()) >= rule.threshold - _EPS
+        same = F.col("a.match_key") == F.col("b.match_key")
+        pairs = side(fresh).alias("a").join(side(every).alias("b"), same & once & close)
+        rows, parts = _scored(
+            pairs.select(
+                *[F.struct(*[F.col(f"{x}.{c}") for c in ("combo", *names)]).alias(x) for x in "ab"]
+            ),
+            rule,
+        )
+        matched = rows.where(_total(parts, "a", "b") >= rule.threshold)
+        found.append(matched.select(F.col("a.combo").alias("combo_a"), F.col("b.combo").alias("combo_b")))
+    empty = fresh.sparkSession.createDataFrame([], "combo_a string, combo_b string")
+    return reduce(DataFrame.unionByName, found, empty).distinct()
+
+
 # ---------------------------------------------------------------- links and decisions
 
 

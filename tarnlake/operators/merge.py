@@ -36,7 +36,9 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     as it would with a window. Rows equal in all order columns are told apart by a hash of the row.
     """
     others = [c for c in df.columns if c not in keys]
-    position = F.struct(*[F.col(c) for c in order], F.xxhash64(*df.columns).alias("_tie"))
+    # Maps have no hash of their own.
+    hashed = [F.to_json(f.name) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in df.schema]
+    position = F.struct(*[F.col(c) for c in order], F.xxhash64(*hashed).alias("_tie"))
     picked = F.max_by(F.struct(*others), position) if others else F.max(position)
     latest = df.groupBy(*keys).agg(picked.alias("_row"))
     if not others:

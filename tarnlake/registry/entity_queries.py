@@ -17,8 +17,9 @@ from tarnlake.operators.matching import (
     SimilarField,
     SimilarRule,
 )
-from tarnlake.plans import jobs
+from tarnlake.plans import increments, jobs
 from tarnlake.registry.base import Tables, derived, query
+from tarnlake.session import work_path
 
 derived(
     "people",
@@ -356,20 +357,39 @@ def _resolved(t: Tables) -> jobs.Resolution:
     return jobs.resolve_entities(_records(t), _person_rules(), POLICY, "run-1")
 
 
-@query(
-    "er_golden",
-    f"""
+_GOLDEN = f"""
     SELECT golden_id, n AS contributing_record_count, full_name, email_address, last_modified, phone, balance, segment,
            scope_unit_id FROM (
       SELECT cluster, {_GID} AS golden_id, count(*) AS n, {_FIRSTS} FROM ({_CLUSTERED}) k GROUP BY cluster) g
-    """,
-)
+    """
+
+
+@query("er_golden", _GOLDEN)
 def er_golden(t: Tables) -> DataFrame:
     return _resolved(t).golden.drop(
         "survivorship_version", "match_run_id", "field_provenance"
     )
 
 
+@query("er_incremental", _GOLDEN)
+def er_incremental(t: Tables) -> DataFrame:
+    """The golden records of all sources after two increments: one with records that are wrong, early
+    or not to stay, and one that mends, adds and removes them."""
+    records, key = _records(t), F.crc32(RECORD_ID) % 10
+    store = increments.ResolutionStore(t.spark, work_path(t.spark, "resolution"), _person_rules(), POLICY, 256 << 10)
+    mistaken = records.where(key < 8).withColumn(
+        "full_name", F.when(key == 0, F.reverse("full_name")).otherwise(F.col("full_name"))
+    ).withColumn("email_address", F.when(key == 1, F.lit("shared@d1.test")).otherwise(F.col("email_address")))
+    extra = records.where(key == 9).withColumn(RECORD_ID, F.concat(F.lit("old:"), RECORD_ID))
+    increments.apply_increment(store, mistaken.unionByName(extra), "run-1")
+    mended = records.where(key.isin(0, 1, 8, 9))
+    increments.apply_increment(store, mended, "run-2", extra.select(RECORD_ID))
+    return store.golden().select(
+        "golden_id", "contributing_record_count", "full_name", "email_address", "last_modified", "phone",
+        "balance", "segment", "scope_unit_id",
+    )
+
+
 @query(
     "er_conflicts",
     f"""
