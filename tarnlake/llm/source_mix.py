@@ -8,8 +8,9 @@ before the exact budget, so the error is at most half a document. Only bucket su
 per source, and a source that holds a third of all rows is spread over all its buckets.
 
 Rows and edge cases: null text has size 0 and is never taken. A null source is a source of its own,
-after all others. Rows that repeat an id are separate documents (ordered by id, then text hash).
-An empty table gives an empty result. Other columns are kept by ``mix_sources`` only.
+after all others. Rows that repeat an id are separate documents (ordered by id, text hash, then a
+hash of the whole row); of n equal rows the mix takes as many copies as their n rows of the plan
+have together. An empty table gives an empty result. Other columns are kept by ``mix_sources`` only.
 """
 
 from __future__ import annotations
@@ -70,8 +71,9 @@ def mix_plan(
     seed: str = "mix",
     bucket_rows: int = 4_000,
 ) -> DataFrame:
-    """``id, text_hash, source, size, source_size, target, copies``, one row per row of documents."""
+    """``id, text_hash, source, size, source_size, target, copies, row_hash``, one row per document row."""
     narrow = documents.select(
+        _row_hash(documents).alias("row_hash"),
         F.col(id_column).alias("id"),
         F.xxhash64(F.col(text_column)).alias("text_hash"),
         F.col(source_column).cast("string").alias("source"),
@@ -107,7 +109,7 @@ def mix_plan(
     )
     inside = (
         Window.partitionBy("named", "bucket")
-        .orderBy("key", F.col("id").asc_nulls_first(), "text_hash")
+        .orderBy("key", F.col("id").asc_nulls_first(), "text_hash", "row_hash")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = ranged.join(
@@ -120,28 +122,35 @@ def mix_plan(
     middle: Column = 2 * F.col("start") + F.col("size")
     last = F.when((F.col("size") > 0) & (middle <= 2 * rest), 1).otherwise(0)
     return placed.select(
-        "id", "text_hash", "source", "size", "source_size", "target", (whole + last).alias("copies")
-    )
+        "id", "text_hash", "source", "size", "source_size", "target", (whole + last).alias("copies"),
+        "row_hash",
+    )
+
+
+def _row_hash(documents: DataFrame, prefix: str = "") -> Column:
+    return F.xxhash64(*[F.col(f"{prefix}`{c}`") for c in documents.columns])
 
 
 def mix_sources(documents: DataFrame, **options) -> DataFrame:
     """The mixed rows: every document as often as the plan says, with its own columns."""
     id_column = options.get("id_column", "doc_id")
-    text_column = options.get("text_column", "text")
-    source_column = options.get("source_column", "source")
-    chosen = (
+    keys = ["id", "text_hash", "source", "row_hash"]
+    chosen = cut_lineage(
         mix_plan(documents, **options)
+        .groupBy(*keys)
+        .agg(F.sum("copies").cast("int").alias("copies"), F.count(F.lit(1)).alias("rows"))
         .where(F.col("copies") > 0)
-        .groupBy("id", "text_hash", "source")
-        .agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
     )
     d, p = documents.alias("d"), chosen.alias("p")
     joined = d.join(
         p,
         F.col(f"d.`{id_column}`").eqNullSafe(F.col("p.id"))
-        & (F.xxhash64(F.col(f"d.`{text_column}`")) == F.col("p.text_hash"))
-        & F.col(f"d.`{source_column}`").cast("string").eqNullSafe(F.col("p.source")),
+        & (_row_hash(documents, "d.") == F.col("p.row_hash")),
     )
-    # Equal rows share their copies: each gives the rounded-up mean.
-    times = F.ceil(F.col("p.copies") / F.col("p.rows")).cast("int")
-    return joined.select("d.*", F.explode(F.sequence(F.lit(1), times)).alias("_copy")).drop("_copy")
+    taken = joined.where(F.col("p.rows") == 1).select("d.*", F.col("p.copies").alias("_copies"))
+    if not chosen.where("rows > 1").isEmpty():
+        # One of n equal rows stands for all of them.
+        equal = joined.where(F.col("p.rows") > 1).select("d.*", F.col("p.copies").alias("_copies"))
+        taken = taken.unionByName(equal.distinct())
+    copies = F.explode(F.sequence(F.lit(1), F.col("_copies")))
+    return taken.withColumn("_copies", copies).drop("_copies")
