@@ -5,16 +5,21 @@ reference. The reference index holds sync points: word k-grams whose hash is the
 of neighbouring k-grams (winnowing, Schleimer et al., 2003). Any passage of ``window`` words has at
 least one of them, at the same place in every copy.
 
-1. *Index.* Sync points of all documents; those that only one document has are dropped.
-2. *Factors.* The block around a sync point is the union of all windows that contain it. A block
-   that an earlier document has word for word is copied from there as a factor. Neighbouring blocks
-   overlap, so the factors of a long copy run together into one greedy factor.
-3. *Factor boundaries.* Where the same sync point has different blocks, copies begin or end inside
-   the block. Only there single windows are looked up, each against its first document.
-4. The union of factors and repeated windows is removed. Windows are judged on the input.
-
-A window is found if and only if an earlier document has it, so the result is exact (64 and 128-bit
-hashes). Shuffled are sync points (about 2 in 27 words), windows at boundaries, and the text once.
+1. *Index.* Sync points of all documents with their places; those that only one document has are
+   dropped.
+2. *Reference blocks.* The block around a sync point is the union of all windows that contain it. A
+   block that an earlier document has word for word is copied from the first place that has it.
+3. *Factors.* The copied blocks of a document, in order, extend the factor before them to the right
+   as long as they go on in its source at the same distance; else a new factor begins.
+4. *Factor boundaries.* Where the same sync point has different blocks, copies begin or end inside
+   the block. Only there single windows are looked up, each against the first place that has it,
+   and extend the factors to where the copies really end.
+5. Factors of at least ``window`` words are removed. Windows are judged on the input.
+
+A factor is a source document, a first word there, and a length. Its words stand in an earlier document,
+and every window that an earlier document has lies inside a factor, so the result is exact (64 and
+128-bit hashes). Shuffled are sync points (about 2 in 27 words), windows at boundaries, and the text
+once.
 
 Rows and edge cases: null text has no words; texts shorter than the window stay whole. A row with a
 null id is neither reference nor changed. Rows that repeat an id count as the same document, so
@@ -27,15 +32,23 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.llm.arrays import Windows, Words, runs, signed, words_of
 from tarnlake.session import cut_lineage
 
 _SECOND_BASE = 0xC2B2AE3D27D4EB4F
-_RESULT = "id long, text string, n_words long, n_removed long, spans array<struct<start:int,end:int>>"
+#: Words of a document that a place can name.
+_PLACES = 1 << 31
+_RESULT = (
+    "id long, text string, n_words long, n_removed long, "
+    "spans array<struct<start:int,end:int>>, factors array<struct<start:int,source_id:long,source_word:int,length:int>>"
+)
 _SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+_FACTOR = pa.struct(
+    [("start", pa.int32()), ("source_id", pa.int64()), ("source_word", pa.int32()), ("length", pa.int32())]
+)
 
 
 class _Blocks:
@@ -69,17 +82,32 @@ def _read(data: np.ndarray, offsets: np.ndarray, window: int) -> tuple[Words, Wi
 def _sync_points(texts: DataFrame, window: int) -> DataFrame:
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in runs(batches):
-            _, _, found = _read(data, offsets, window)
+            words, _, found = _read(data, offsets, window)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(signed(found.point)),
                     pa.array(signed(found.block)),
                     batch.column("id").take(pa.array(found.row)),
+                    pa.array((found.lo - words.first[found.row]).astype(np.int32)),
                 ],
-                names=["point", "block", "id"],
+                names=["point", "block", "id", "place"],
             )
 
-    return texts.where(F.col("id").isNotNull()).mapInArrow(find, "point long, block long, id long")
+    schema = "point long, block long, id long, place int"
+    return texts.where(F.col("id").isNotNull()).mapInArrow(find, schema)
+
+
+def _first_place() -> Column:
+    """The smallest (id, place) as one number, which Spark aggregates without a sort."""
+    return F.min(F.col("id").cast("decimal(20,0)") * _PLACES + F.col("place")).cast("decimal(38,0)")
+
+
+def _source(first: str) -> list[Column]:
+    """Id and place from such a number."""
+    at = F.col(first)
+    key = F.floor(at / F.lit(_PLACES)).cast("long")
+    place = (at - key.cast("decimal(20,0)") * _PLACES).cast("int")
+    return [key.alias("source_id"), place.alias("source_word")]
 
 
 def _marks(texts: DataFrame, window: int) -> DataFrame:
@@ -93,17 +121,20 @@ def _marks(texts: DataFrame, window: int) -> DataFrame:
         .select("point")
     )
     shared = cut_lineage(points.join(several, "point", "left_semi"))
-    blocks = shared.groupBy("point", "block").agg(F.min("id").alias("first_id"))
+    blocks = shared.groupBy("point", "block").agg(_first_place().alias("first"))
+    blocks = blocks.select("point", "block", *_source("first"))
     kinds = blocks.groupBy("point").agg(F.count(F.lit(1)).alias("kinds"))
     judged = (
-        shared.distinct()
+        shared.select("point", "block", "id")
+        .distinct()
         .join(blocks.join(kinds, "point"), ["point", "block"])
-        .withColumn("copied", F.col("id") > F.col("first_id"))
+        .withColumn("copied", F.col("id") > F.col("source_id"))
         .where(F.col("copied") | (F.col("kinds") > 1))
     )
+    part = F.struct("block", "source_id", "source_word")
     return cut_lineage(
         judged.groupBy("id").agg(
-            F.collect_list(F.when(F.col("copied"), F.col("block"))).alias("copied"),
+            F.collect_list(F.when(F.col("copied"), part)).alias("copied"),
             F.collect_list(F.when(~F.col("copied"), F.col("block"))).alias("unsure"),
         )
     )
@@ -124,6 +155,40 @@ def _listed(column: pa.ListArray, row: int) -> np.ndarray:
     return item.values.to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64)
 
 
+def _parts(column: pa.ListArray, row: int, hashes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Which hashes a row's list of copies has, with id and first word of each one's source."""
+    item = column[row]
+    none = np.empty(0, np.int64)
+    if not item.is_valid or not len(item.values):
+        return none, none, none
+    name, *source = (item.values.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+    name = name.astype(np.int64).view(np.uint64)
+    order = np.argsort(name, kind="stable")
+    at = np.minimum(np.searchsorted(name[order], hashes), len(name) - 1)
+    hit = np.flatnonzero(name[order][at] == hashes)
+    return hit, *(x[order][at[hit]].astype(np.int64) for x in source)
+
+
+def _factors(start: np.ndarray, end: np.ndarray, source: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Rows ``start, source, word, length``: copies in order, joined while one goes on in its source.
+
+    A copy that ends inside the factor before it is left out; one that begins there goes on from
+    where that factor ends, so that factors do not overlap.
+    """
+    order = np.lexsort((word, source, -end, start))
+    out: list[list[int]] = []
+    for s, e, i, w in zip(*(x[order].tolist() for x in (start, end, source, word)), strict=True):
+        last = out[-1] if out else None
+        if last is not None and e <= last[0] + last[3]:
+            continue
+        if last is not None and s <= last[0] + last[3] and i == last[1] and w - s == last[2] - last[0]:
+            last[3] = e - last[0]
+            continue
+        cut = max(0, last[0] + last[3] - s) if last is not None else 0
+        out.append([s + cut, i, w + cut, e - s - cut])
+    return np.array(out, np.int64).reshape(-1, 4)
+
+
 def _open_windows(batch: pa.RecordBatch, words: Words, found: _Blocks, window: int) -> np.ndarray:
     """Starts of all windows in blocks that must be looked up."""
     column, chosen = batch.column("unsure"), np.zeros(len(found.row), bool)
@@ -140,7 +205,7 @@ def _open_windows(batch: pa.RecordBatch, words: Words, found: _Blocks, window: i
 
 
 def _boundary_windows(marked: DataFrame, window: int) -> DataFrame:
-    """Hashes of the windows to look up, with the document they start in."""
+    """Hashes of the windows to look up, with document and word that they start at."""
 
     def look(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in runs(batches):
@@ -153,15 +218,16 @@ def _boundary_windows(marked: DataFrame, window: int) -> DataFrame:
                     pa.array(signed(hashes.hashes(at, at + window))),
                     pa.array(signed(second.hashes(at, at + window))),
                     batch.column("id").take(pa.array(row)),
+                    pa.array((at - words.first[row]).astype(np.int32)),
                 ],
-                names=["w1", "w2", "id"],
+                names=["w1", "w2", "id", "place"],
             )
 
-    return marked.mapInArrow(look, "w1 long, w2 long, id long")
+    return marked.mapInArrow(look, "w1 long, w2 long, id long, place int")
 
 
 def _cut(marked: DataFrame, window: int) -> DataFrame:
-    """Words outside factors and repeated windows, joined by one space, with the removed spans."""
+    """Words outside the factors, joined by one space, with the removed spans and the factors."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in runs(batches):
@@ -170,16 +236,25 @@ def _cut(marked: DataFrame, window: int) -> DataFrame:
             gone = np.zeros(n, bool)
             copied, repeated = batch.column("copied"), batch.column("repeated")
             bounds = np.searchsorted(found.row, np.arange(batch.num_rows + 1))
+            listed, ends_of = [], [0]
             for row in range(batch.num_rows):
                 a, b = words.first[row], words.first[row + 1]
-                if len(known := _listed(copied, row)):
-                    part = slice(bounds[row], bounds[row + 1])
-                    hit = np.isin(found.block[part], known)
-                    gone[a:b] |= _places(found.lo[part][hit] - a, found.hi[part][hit] - a, b - a)
-                if len(known := _listed(repeated, row)):
+                part = slice(bounds[row], bounds[row + 1])
+                hit, source, word = _parts(copied, row, found.block[part])
+                pieces = [(found.lo[part][hit] - a, found.hi[part][hit] - a, source, word)]
+                if repeated[row].is_valid:
                     at = np.arange(a, b - window + 1)
-                    at = at[np.isin(hashes.hashes(at, at + window), known)]
-                    gone[a:b] |= _places(at - a, at - a + window, b - a)
+                    hit, source, word = _parts(repeated, row, hashes.hashes(at, at + window))
+                    pieces.append((hit, hit + window, source, word))
+                made = _factors(*(np.concatenate(x) for x in zip(*pieces, strict=True)))
+                gone[a:b] |= _places(made[:, 0], made[:, 0] + made[:, 3], b - a)
+                listed.append(made)
+                ends_of.append(ends_of[-1] + len(made))
+            made = np.concatenate(listed) if listed else np.empty((0, 4), np.int64)
+            factors = pa.StructArray.from_arrays(
+                [pa.array(made[:, i].astype(f.type.to_pandas_dtype())) for i, f in enumerate(_FACTOR)],
+                fields=list(_FACTOR),
+            )
             kept = ~gone
             # A kept word takes the blank after it along, unless it is the last one of its row.
             rows = words.rows()
@@ -217,8 +292,9 @@ def _cut(marked: DataFrame, window: int) -> DataFrame:
                     pa.array(np.diff(words.first).astype(np.int64)),
                     pa.array((total[words.first[1:]] - total[words.first[:-1]]).astype(np.int64)),
                     pa.ListArray.from_arrays(pa.array(cuts), spans),
+                    pa.ListArray.from_arrays(pa.array(np.array(ends_of, np.int32)), factors),
                 ],
-                names=["id", "text", "n_words", "n_removed", "spans"],
+                names=["id", "text", "n_words", "n_removed", "spans", "factors"],
             )
 
     return marked.select("id", "text", "copied", "repeated").mapInArrow(cut, _RESULT)
@@ -230,10 +306,12 @@ def drop_repeated_passages(
     text_column: str = "text",
     window: int = 50,
 ) -> DataFrame:
-    """``id_column, text, n_words, n_removed, spans`` for every row of ``documents``.
+    """``id_column, text, n_words, n_removed, spans, factors`` for every row of ``documents``.
 
     ``text`` holds the kept words joined by one space; ``spans`` the removed word ranges
-    ``[start, end)`` of the input, which are the greedy factors of at least ``window`` words.
+    ``[start, end)`` of the input, the union of the ``factors``: ``start, source_id, source_word,
+    length``, each copied word for word from an earlier document. Only the last part of a copy that
+    changes its source may be a factor of fewer words than the window.
     """
     if window < 2:
         raise ValueError("window must be at least 2 words")
@@ -244,14 +322,15 @@ def drop_repeated_passages(
     unsure = marks.where(F.size("unsure") > 0).select("id", "unsure")
     looked = _boundary_windows(texts.join(unsure, "id"), window)
     first = looked.groupBy("w1", "w2").agg(
-        F.min("id").alias("lo"), F.max("id").alias("hi")
-    ).where(F.col("lo") < F.col("hi"))
+        _first_place().alias("first"), F.min("id").alias("lo"), F.max("id").alias("hi")
+    ).where(F.col("lo") < F.col("hi")).select("w1", "w2", *_source("first"))
     repeated = (
-        looked.distinct()
+        looked.select("w1", "w2", "id")
+        .distinct()
         .join(first, ["w1", "w2"])
-        .where(F.col("id") > F.col("lo"))
+        .where(F.col("id") > F.col("source_id"))
         .groupBy("id")
-        .agg(F.collect_list("w1").alias("repeated"))
+        .agg(F.collect_list(F.struct("w1", "source_id", "source_word")).alias("repeated"))
     )
     marked = texts.join(
         marks.select("id", "copied").join(repeated, "id", "full_outer"), "id", "left"
