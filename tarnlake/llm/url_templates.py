@@ -1,15 +1,22 @@
 """URL filter: a path-template tree per host, judged by smoothed labelled purity.
 
-Urls become host and path segments. Level by level, a segment is generalised to a wildcard where it
-varies: below one (host, template) node its value is one of many that each hold a small share, or it
-consists mostly of digits. The distinct (host, template) nodes form a tree with counts and labels.
+Urls become host and path segments. From the host down, a segment is generalised to a wildcard where
+it varies: below one (host, template) node its value is one of many that each hold a small share, or
+it consists mostly of digits. The distinct (host, template) nodes form a tree with counts and labels.
 
-Sibling branches whose labelled rates differ by less than chance (pooled two-proportion z) are
-merged and share their labels. A merged branch takes its purity from its labels, smoothed towards
-its parent's purity, down from the root (all urls) over the host; templates whose smoothed purity is
-below the threshold are rejected. Explicit rules stand above the verdict of the tree.
+Below each node, siblings with like rates of good labels are merged: siblings with equal counts first,
+then neighbours in the order of their rates whose difference is below ``z`` standard errors (pooled
+two-proportion test). The subtrees of merged siblings are united, so that their children of one name
+share their labels too; siblings without labels form one branch. A branch takes its purity from its
+labels, smoothed towards its parent's purity, down from the root (all urls) over the host; templates
+whose smoothed purity is below the threshold are rejected. Explicit rules stand above the verdict of
+the tree.
 
-All levels work on aggregates of distinct values; a host with a third of all urls is combined before
+A pass goes down from one branching to the next: the segments that all paths below a node share are
+taken in one step (they are the common start of the least and the greatest path), and paths that
+have ended leave the loop, so a path of hundreds of segments costs no more passes than a short one.
+
+All passes work on aggregates of distinct values; a host with a third of all urls is combined before
 each shuffle, and its tree is spread over its nodes. Only DataFrame functions are used.
 
 Rows and edge cases: null urls and urls without ``://`` have an empty host and path and one node;
@@ -23,8 +30,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnlake.session import cut_lineage
@@ -80,27 +88,54 @@ def _varies(segment: Column, n: Column, children: Column, total: Column, many: i
     return (2 * digits > F.length(stem)) | ((children >= many) & (n < share * total))
 
 
+def _shared(low: Column, high: Column) -> Column:
+    """Segments that two paths share at their start; with the least and the greatest of a set, all do."""
+    same = F.zip_with(low, high, lambda a, b: a.eqNullSafe(b))
+    differ = F.array_position(same, False)
+    return F.when(differ > 0, differ - 1).otherwise(F.size(low)).cast("int")
+
+
+def _rest(parts: Column, taken: Column) -> Column:
+    return F.slice(parts, taken + 1, F.size(parts))
+
+
 def path_templates(
     paths: DataFrame, depth: int | None = None, many: int = 12, share: float = 0.05
 ) -> DataFrame:
     """``paths`` (host, path, ...) with ``template``, an array of segments and wildcards."""
-    distinct = (
+    active = cut_lineage(
         paths.groupBy("host", "path")
         .agg(F.count(F.lit(1)).alias("urls"))
-        .withColumn("parts", _segments(F.col("path"), depth))
+        .withColumn("rest", _segments(F.col("path"), depth))
         .withColumn("template", F.array().cast("array<string>"))
     )
-    distinct = cut_lineage(distinct)
-    deepest = distinct.agg(F.max(F.size("parts"))).first()[0] or 0
-    # One pass for each level of the deepest path: nodes of the level, then its wildcards.
-    for level in range(deepest):
-        part = F.get(F.col("parts"), F.lit(level))
-        here = distinct.withColumn("part", part)
-        nodes = (
-            here.where(F.col("part").isNotNull())
-            .groupBy("host", "template", "part")
-            .agg(F.sum("urls").alias("n"))
+    one = F.lit(1)
+    finished = []
+    while True:
+        finished.append(active.where(F.size("rest") == 0).select("host", "path", "template"))
+        active = active.where(F.size("rest") > 0)
+        if active.isEmpty():
+            break
+        # A shared segment has no siblings, so only its digits can make it a wildcard.
+        shared = active.groupBy("host", "template").agg(F.min("rest").alias("lo"), F.max("rest").alias("hi"))
+        shared = shared.select("host", "template", _shared(F.col("lo"), F.col("hi")).alias("taken"))
+        steps = F.transform(
+            F.slice("rest", 1, F.col("taken")),
+            lambda p: F.when(_varies(p, one, one, one, many, share), F.lit("*")).otherwise(p),
         )
+        here = cut_lineage(
+            active.join(shared, ["host", "template"]).select(
+                "host",
+                "path",
+                "urls",
+                _rest(F.col("rest"), F.col("taken")).alias("rest"),
+                F.concat("template", steps).alias("template"),
+            )
+        )
+        ended, here = here.where(F.size("rest") == 0), here.where(F.size("rest") > 0)
+        finished.append(ended.select("host", "path", "template"))
+        here = here.withColumn("part", F.col("rest")[0])
+        nodes = here.groupBy("host", "template", "part").agg(F.sum("urls").alias("n"))
         parents = nodes.groupBy("host", "template").agg(
             F.count(F.lit(1)).alias("children"), F.sum("n").alias("total")
         )
@@ -108,84 +143,107 @@ def path_templates(
             _varies(F.col("part"), F.col("n"), F.col("children"), F.col("total"), many, share)
         )
         wild = varied.select("host", "template", "part", F.lit(True).alias("wild"))
-        distinct = here.join(wild, ["host", "template", "part"], "left").select(
-            "host",
-            "path",
-            "urls",
-            "parts",
-            F.when(F.col("part").isNull(), F.col("template"))
-            .otherwise(
-                F.concat(
-                    F.col("template"),
-                    F.array(F.when(F.col("wild"), F.lit("*")).otherwise(F.col("part"))),
-                )
+        name = F.when(F.col("wild"), F.lit("*")).otherwise(F.col("part"))
+        active = cut_lineage(
+            here.join(wild, ["host", "template", "part"], "left").select(
+                "host",
+                "path",
+                "urls",
+                _rest(F.col("rest"), F.lit(1)).alias("rest"),
+                F.concat("template", F.array(name)).alias("template"),
             )
-            .alias("template"),
         )
-        if level % 3 == 2:
-            distinct = cut_lineage(distinct)
-    return distinct.select("host", "path", "template")
+    return reduce(DataFrame.unionByName, finished)
 
 
-def template_purity(
-    labelled: DataFrame, strength: float = 4.0, z: float = 1.96
-) -> DataFrame:
-    """``host, node, purity`` for every node of the trees.
+def _siblings(nodes: DataFrame, z: float) -> DataFrame:
+    """``host, branch, good, bad, kin, kg, kb``: which siblings with such counts are merged, and their sums.
 
-    ``labelled`` holds ``host, template, good, bad`` sums. A node is a template prefix; the empty one
-    is the host. Siblings within ``z`` standard errors of their parent's rate are merged.
+    Siblings with equal counts are one row, so few rows of a node meet in the window.
     """
-    nodes = cut_lineage(
-        labelled.withColumn("size", F.explode(F.sequence(F.lit(0), F.size("template"))))
-        .select("host", F.expr("slice(template, 1, size)").alias("node"), "size", "good", "bad")
-        .groupBy("host", "node", "size")
-        .agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    counts = nodes.groupBy("host", "branch", "good", "bad").agg(F.count(F.lit(1)).alias("k"))
+    sums = counts.withColumns(
+        {"g": F.col("good") * F.col("k"), "n": (F.col("good") + F.col("bad")) * F.col("k")}
     )
-    deepest = nodes.agg(F.max("size")).first()[0] or 0
-    hosts = nodes.where("size = 0")
-    good, bad = hosts.agg(F.sum("good"), F.sum("bad")).first()
-    prior = F.lit(((good or 0) + 1) / ((good or 0) + (bad or 0) + 2))
-    known = hosts.select(
-        "host", "node", "size", _smooth("good", "bad", prior, strength).alias("purity"), "good", "bad"
+    told = sums.where("n > 0").withColumn("rate", F.col("g") / F.col("n"))
+    order = Window.partitionBy("host", "branch").orderBy("rate", "n", "good")
+    before = {"pg": F.lag("g").over(order), "pn": F.lag("n").over(order)}
+    pooled = (F.col("g") + F.col("pg")) / (F.col("n") + F.col("pn"))
+    error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("n") + 1 / F.col("pn")))
+    apart = F.col("rate") - F.col("pg") / F.col("pn") > z * error
+    marked = told.withColumns(before).withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int"))
+    grouped = marked.withColumn("kin", F.sum("apart").over(order).cast("string"))
+    silent = sums.where("n = 0").select("host", "branch", "good", "bad", "g", "n", F.lit("none").alias("kin"))
+    every = grouped.select(*silent.columns).unionByName(silent)
+    totals = every.groupBy("host", "branch", "kin").agg(
+        F.sum("g").alias("kg"), (F.sum("n") - F.sum("g")).alias("kb")
     )
-    levels = [known]
-    for level in range(1, deepest + 1):
-        up = levels[-1].select(
-            "host", F.col("node").alias("parent"), F.col("purity").alias("above"),
-            F.col("good").alias("pg"), F.col("bad").alias("pb"),
+    return every.select("host", "branch", "good", "bad", "kin").join(totals, ["host", "branch", "kin"])
+
+
+def template_purity(
+    labelled: DataFrame, strength: float = 4.0, z: float = 1.96
+) -> DataFrame:
+    """``host, template, purity`` for every template, from ``host, template, good, bad`` sums."""
+    host_sums = labelled.groupBy("host").agg(F.sum("good").alias("hg"), F.sum("bad").alias("hb"))
+    good, bad = host_sums.agg(F.sum("hg"), F.sum("hb")).first()
+    prior = F.lit(((good or 0) + 1) / ((good or 0) + (bad or 0) + 2))
+    active = cut_lineage(
+        labelled.join(host_sums, "host").select(
+            "host",
+            "template",
+            "good",
+            "bad",
+            F.col("template").alias("rest"),
+            F.array().cast("array<string>").alias("branch"),
+            _smooth("hg", "hb", prior, strength).alias("above"),
         )
-        own = nodes.where(F.col("size") == level).withColumn(
-            "parent", F.slice("node", 1, level - 1) if level > 1 else F.array().cast("array<string>")
+    )
+    finished = []
+    while True:
+        done = active.where(F.size("rest") == 0)
+        finished.append(done.select("host", "template", F.col("above").alias("purity")))
+        active = active.where(F.size("rest") > 0)
+        if active.isEmpty():
+            break
+        chains = active.groupBy("host", "branch").agg(
+            F.min("rest").alias("lo"), F.max("rest").alias("hi"), F.sum("good").alias("g"), F.sum("bad").alias("b")
         )
-        children = own.join(up, ["host", "parent"])
-        n, pn = F.col("good") + F.col("bad"), F.col("pg") + F.col("pb")
-        rate = F.when(pn > 0, F.col("pg") / pn).otherwise(F.lit(0.5))
-        error = F.sqrt(rate * (1 - rate) / F.greatest(n, F.lit(1)))
-        apart = (n > 0) & (F.abs(F.col("good") / F.greatest(n, F.lit(1)) - rate) > z * error)
-        marked = children.withColumn("branch", F.when(apart, F.col("node")))
-        merged = marked.where(F.col("branch").isNull()).groupBy("host", "parent").agg(
-            F.sum("good").alias("mg"), F.sum("bad").alias("mb")
+        chains = chains.select("host", "branch", _shared(F.col("lo"), F.col("hi")).alias("taken"), "g", "b")
+        # An only child is smoothed towards its parent; so many in a row have this closed form.
+        n = F.col("g") + F.col("b")
+        rate = F.when(n > 0, F.col("g") / n).otherwise(F.col("above"))
+        fade = F.pow(strength / (n + strength), F.col("taken"))
+        here = cut_lineage(
+            active.join(chains, ["host", "branch"]).select(
+                "host",
+                "template",
+                "good",
+                "bad",
+                _rest(F.col("rest"), F.col("taken")).alias("rest"),
+                "branch",
+                (rate + (F.col("above") - rate) * fade).alias("above"),
+            )
         )
-        level_rows = marked.join(merged, ["host", "parent"], "left").select(
-            "host",
-            "node",
-            "size",
-            F.when(F.col("branch").isNull(), F.col("mg")).otherwise(F.col("good")).alias("good"),
-            F.when(F.col("branch").isNull(), F.col("mb")).otherwise(F.col("bad")).alias("bad"),
-            "above",
+        ended, here = here.where(F.size("rest") == 0), here.where(F.size("rest") > 0)
+        finished.append(ended.select("host", "template", F.col("above").alias("purity")))
+        here = here.withColumn("part", F.col("rest")[0])
+        nodes = here.groupBy("host", "branch", "part").agg(
+            F.sum("good").alias("good"), F.sum("bad").alias("bad")
         )
-        levels.append(
-            cut_lineage(
-                level_rows.select(
-                    "host", "node", "size",
-                    _smooth("good", "bad", F.col("above"), strength).alias("purity"), "good", "bad",
-                )
+        kin = nodes.join(_siblings(nodes, z), ["host", "branch", "good", "bad"])
+        active = cut_lineage(
+            here.join(kin.select("host", "branch", "part", "kin", "kg", "kb"), ["host", "branch", "part"]).select(
+                "host",
+                "template",
+                "good",
+                "bad",
+                _rest(F.col("rest"), F.lit(1)).alias("rest"),
+                F.concat("branch", F.array("kin")).alias("branch"),
+                _smooth("kg", "kb", F.col("above"), strength).alias("above"),
             )
         )
-    every = levels[0]
-    for rows in levels[1:]:
-        every = every.unionByName(rows)
-    return every.select("host", "node", "purity")
+    return reduce(DataFrame.unionByName, finished)
 
 
 def _smooth(good: str, bad: str, prior: Column, strength: float) -> Column:
@@ -235,7 +293,7 @@ def judge_urls(
             F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"),
         )
     )
-    purity = template_purity(labelled).withColumnRenamed("node", "template")
+    purity = template_purity(labelled)
     known = templates.join(purity, ["host", "template"], "left")
     verdict = F.when(F.coalesce("purity", F.lit(1.0)) < least_purity, "block").otherwise("allow")
     return urls.join(known, ["host", "path"], "left").select(
