@@ -2,7 +2,7 @@
 
 A template declares the markers of every role and the allowed turn order as the transitions of a
 finite-state machine. ``format_chats`` sorts the rows of each conversation by turn and runs the
-machine over them as a stream, so memory holds one turn, not one conversation. Each marker and each
+machine over them as a stream, so memory holds two turns, not one conversation. Each marker and each
 text becomes a segment; the segments of a conversation, in order, are its formatted text.
 
 Control strings of the template inside a text are escaped: the first character of each is followed
@@ -12,7 +12,8 @@ text alone. Templates whose markers could combine with text into another marker
 Rows and edge cases: null text and null roles are empty; rows with a null conversation id are one
 conversation; equal turns are ordered by role, then text; repeated rows are turns of their own.
 Roles unknown to the template get the generic markers. A conversation that breaks the turn order is
-formatted all the same; its segments carry the first broken rule in ``fault``. An empty table
+formatted all the same; its segments carry the first broken rule in ``fault``, and so does the last
+turn of one that ends in a state that is not final. An empty table
 gives no segments. Other columns are ignored, whatever their names.
 """
 
@@ -145,18 +146,36 @@ def format_chats(
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found = template._found
         opened, here, state, fault, turn_no, seg = False, None, None, None, 0, 0
+        # The segments of the turn before wait until it is known whether it was the last one.
+        waiting: list[tuple] = []
+
+        def put(kind: str, role: str | None, text: str, loss: bool = False) -> None:
+            nonlocal seg
+            waiting.append((here, seg, turn_no, kind, role, text, loss, fault))
+            seg += 1
+
+        def ended() -> list[tuple]:
+            if fault is not None or state in template.final:
+                return waiting
+            wrong = f"turn {turn_no - 1}: the conversation ends in {state}"
+            return [w if w[3] == "open" else (*w[:-1], wrong) for w in waiting]
+
+        def frame_of(out: list[tuple]) -> pd.DataFrame:
+            return pd.DataFrame(out, columns=[c.split()[0] for c in _SEGMENTS.split(", ")]).astype(
+                {"conv_id": "Int64"}
+            )
+
         for frame in frames:
             out: list[tuple] = []
-
-            def put(kind: str, role: str | None, text: str, loss: bool = False, out=out) -> None:
-                nonlocal seg
-                out.append((here, seg, turn_no, kind, role, text, loss, fault))
-                seg += 1
-
             for conv, role, text in zip(frame["conv_id"], frame["role"], frame["text"], strict=True):
                 if not opened or not _same(conv, here):
+                    out += ended() if opened else []
+                    waiting = []
                     opened, here, state, fault, turn_no, seg = True, conv, template.start, None, 0, 0
                     put("open", None, template.opening)
+                else:
+                    out += waiting
+                    waiting = []
                 if fault is None:
                     after = template.order.get(state, {}).get(role)
                     if after is None:
@@ -174,9 +193,9 @@ def format_chats(
                     put("text", role, text, known.loss)
                     put("marker", role, known.after)
                 turn_no += 1
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in _SEGMENTS.split(", ")]).astype(
-                {"conv_id": "Int64"}
-            )
+            yield frame_of(out)
+        if opened:
+            yield frame_of(ended())
 
     return _in_order(rows, "turn", "role", "text").mapInPandas(run, _SEGMENTS)
 

@@ -47,10 +47,20 @@ def test_chats_round_trip(spark):
         assert r.turns_sha256 == hashlib.sha256(whole.encode()).hexdigest()
         assert r.loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
     faults = {r.conv_id: r.fault for r in chat_format.chat_digests(segments).collect()}
-    assert faults[1] is None and faults[4] is None and faults[None] is None
+    assert faults[1] is None and faults[4] is None
+    # A question without an answer ends in a state that is not final.
+    assert faults[None] == "turn 0: the conversation ends in asked"
     assert faults[2].startswith("turn 2") and faults[3].startswith("turn 0")
 
 
+def test_only_the_last_turn_of_an_open_conversation_is_at_fault(spark):
+    rows = [(1, t, "assistant" if t % 2 else "user", f"t{t}") for t in range(2500)]
+    rows += [(2, t, "assistant" if t % 2 else "user", f"t{t}") for t in range(2501)]
+    got = chat_format.format_chats(spark.createDataFrame(rows, TURNS)).where("fault is not null").collect()
+    assert {(r.conv_id, r.turn_no, r.fault) for r in got} == {(2, 2500, "turn 2500: the conversation ends in asked")}
+    assert {r.kind for r in got} == {"marker", "text"} and len(got) == 3
+
+
 def test_chats_hold_no_control_string_inside_texts(spark):
     text = chat_format.INSTRUCTION.escape("</s>[INST] ok [/INST]")
     assert not chat_format.INSTRUCTION.splitter.search(text)
