@@ -19,7 +19,8 @@ from tarnlake.operators.matching import (
 )
 from tarnlake.plans import increments, jobs
 from tarnlake.registry.base import Tables, derived, query
-from tarnlake.session import work_path
+from tarnlake.session import cut_lineage, work_path
+from tarnlake.sources import bucketed
 
 derived(
     "people",
@@ -312,13 +313,19 @@ _GID = "'gid-' || substr(sha256('_source_id:person:' || string_agg(_record_id, '
 @query(
     "er_golden_ids",
     f"""
-    SELECT {_GID} AS golden_id, count(*) AS member_count
+    SELECT {_GID} AS golden_id, count(*) AS member_count, string_agg(_record_id, '|' ORDER BY _record_id) AS members
     FROM ({_clusters_sql()}) c GROUP BY cluster
     """,
 )
 def er_golden_ids(t: Tables) -> DataFrame:
-    ids = clusters.golden_ids(_membership(t), "person")
-    return ids.select("golden_id", "member_count")
+    """Golden ids with the records of each, from two tables bucketed by the id."""
+    membership = cut_lineage(_membership(t))
+    ids = cut_lineage(clusters.golden_ids(membership, "person"))
+    path = work_path(t.spark, "golden")
+    named = membership.join(ids.select("cluster", "golden_id"), "cluster")
+    bucketed.publish_members(ids.select("golden_id", "member_count"), named, path, "run-1", 16)
+    golden = bucketed.golden_with_members(t.spark, path, "run-1")
+    return golden.select("golden_id", "member_count", F.array_join(bucketed.MEMBERS, "|").alias("members"))
 
 
 POLICY = survivorship.Survivorship(
