@@ -13,7 +13,7 @@ from tarnlake.operators import matching, quality, schema, scope, survivorship
 from tarnlake.plans import jobs
 from tarnlake.registry.base import Tables, derived, query
 from tarnlake.session import work_path
-from tarnlake.sources import layers, sinks
+from tarnlake.sources import bucketed, layers, sinks
 from tarnlake.sources.keyed_layer import KeyedLayer
 
 EVERYONE = scope.ScopeFilter(None)
@@ -542,6 +542,28 @@ def analytics_publish(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "analytics_rows",
+    """
+    SELECT golden_id, customer_key, stage, scope_unit_id,
+           CASE WHEN customer_key % 2 = 0 THEN '2024-02-01' ELSE '2024-02-02' END AS analytics_date
+    FROM {golden_company}
+    """,
+)
+def analytics_rows(t: Tables) -> DataFrame:
+    """The stored rows of two days, the first published twice."""
+    path = work_path(t.spark, "analytics")
+    golden = t.golden_company.withColumn("match_run_id", F.lit("r")).withColumn("_record_id", F.lit("x"))
+    for days, rest in ((1, None), (1, 0), (2, 1)):
+        rows = golden if rest is None else golden.where(F.col("customer_key") % 2 == rest)
+        sinks.publish_analytics(rows, path, date(2024, 2, days))
+    stored = layers.read_layer(t.spark, path)
+    if set(sinks.INTERNAL_COLUMNS) & set(stored.columns):
+        raise ValueError("internal columns were published")
+    day = F.col("analytics_date").cast("string").alias("analytics_date")
+    return stored.select("golden_id", "customer_key", "stage", "scope_unit_id", day)
+
+
 @query("analytics_latest", "SELECT golden_id FROM {golden_company} WHERE customer_key % 2 = 1")
 def analytics_latest(t: Tables) -> DataFrame:
     path = work_path(t.spark, "analytics")
@@ -572,6 +594,37 @@ def golden_publish(t: Tables) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query(
+    "golden_rows",
+    """
+    SELECT 'gid-' || substr(sha256('_source_id:person:crm:' || cast(c_custkey AS string) || '|erp:' || cast(c_custkey AS string)), 1, 16) AS golden_id,
+           email AS email_address, full_name, scope_unit_id, 2 AS contributing_record_count, 'run-1' AS run_id,
+           'crm:' || cast(c_custkey AS string) || '|erp:' || cast(c_custkey AS string) AS members,
+           'crm:' || cast(c_custkey AS string) AS record_a_id, 'erp:' || cast(c_custkey AS string) AS record_b_id
+    FROM {people} p
+    """,
+    bigint=("contributing_record_count",),
+)
+def golden_rows(t: Tables) -> DataFrame:
+    """Published golden rows with their members, and the decision that made each."""
+    path = work_path(t.spark, "golden")
+    people = t.people.select(F.col("c_custkey").alias("pk"), F.col("email").alias("email_address"), "full_name", "scope_unit_id")
+    records = matching.union_sources({"crm": people, "erp": people}, "pk")
+    rules = matching.MatchRules("person", "v1", (matching.ExactRule("email", (matching.ExactField("email_address"),)),))
+    done = jobs.resolve_entities(records, rules, survivorship.Survivorship("person", "v1"), "run-1")
+    sinks.publish_golden(done.golden, done.links, done.membership, path, date(2024, 1, 1), "run-1")
+    golden = layers.read_layer(t.spark, f"{path}/golden")
+    membership = layers.read_layer(t.spark, f"{path}/membership")
+    bucketed.publish_members(golden, membership, path, "run-1", 16)
+    links = layers.read_layer(t.spark, f"{path}/decisions").select("record_a_id", "record_b_id")
+    listed = bucketed.golden_with_members(t.spark, path, "run-1")
+    first = F.col(bucketed.MEMBERS)[0]
+    return listed.join(links, first == F.col("record_a_id")).select(
+        "golden_id", "email_address", "full_name", "scope_unit_id", "contributing_record_count", "run_id",
+        F.array_join(bucketed.MEMBERS, "|").alias("members"), "record_a_id", "record_b_id",
+    )
+
+
 _EXPORTED = """
     SELECT golden_id, stage, scope_unit_id FROM {golden_company} WHERE scope_unit_id IN ('unit-3', 'unit-4', 'unit-5')
 """

@@ -217,6 +217,42 @@ def jdbc_merge_statement(table: str, staging: str, keys: list[str], columns: lis
     raise ValueError(f"unknown dialect {dialect!r}")
 
 
+_LOCATION = re.compile(r"^s3://[A-Za-z0-9][A-Za-z0-9._/=-]*/$")
+_ROLE = re.compile(r"^arn:[a-z0-9:/_+=,.@-]+$", re.IGNORECASE)
+_TYPE = re.compile(r"^[A-Za-z][A-Za-z ]*(\(\d+(,\d+)?\))?$")
+
+
+def bulk_load_statements(
+    table: str, staging: str, keys: list[str], columns: Mapping[str, str], location: str, role: str
+) -> list[str]:
+    """Statements with which a Redshift table takes over Parquet files, to run in one transaction.
+
+    The files are those of an export with ``_row_hash``: a copy into a temporary table, the removal of
+    its rows that are stored with the same hash, and a merge of the rest. ``columns`` gives the types.
+    """
+    names = [*columns, "_row_hash"]
+    for name in (table, staging, *keys, *names):
+        if not _IDENTIFIER.match(name):
+            raise ValueError(f"bad identifier {name!r}")
+    if not keys or not set(keys) <= set(columns):
+        raise ValueError("keys must be among the columns")
+    if not all(_TYPE.match(kind) for kind in columns.values()):
+        raise ValueError("bad column type")
+    if not _LOCATION.match(location) or not _ROLE.match(role):
+        raise ValueError("bad location or role")
+    typed = ", ".join(f"{n} {kind}" for n, kind in {**columns, "_row_hash": "VARCHAR(64)"}.items())
+    same = " AND ".join(f"{table}.{k} = {staging}.{k}" for k in keys)
+    changes = ", ".join(f"{n} = {staging}.{n}" for n in names if n not in keys)
+    values = ", ".join(f"{staging}.{n}" for n in names)
+    return [
+        f"CREATE TEMP TABLE {staging} ({typed})",
+        f"COPY {staging} ({', '.join(names)}) FROM '{location}' IAM_ROLE '{role}' FORMAT AS PARQUET",
+        f"DELETE FROM {staging} USING {table} WHERE {same} AND {table}._row_hash = {staging}._row_hash",
+        f"MERGE INTO {table} USING {staging} ON {same} WHEN MATCHED THEN UPDATE SET {changes} "
+        f"WHEN NOT MATCHED THEN INSERT ({', '.join(names)}) VALUES ({values})",
+    ]
+
+
 def load_serving(
     spark: SparkSession,
     path: str,

@@ -103,6 +103,21 @@ def test_empty_writes_are_refused_and_harmless(spark, tmp_path):
     assert spark.read.parquet(path).count() == 1
 
 
+def test_bulk_load_statements():
+    given = ("sales", "stage", ["id"], {"id": "BIGINT", "v": "VARCHAR(20)"}, "s3://b/p/run=1/", "arn:aws:iam::1:role/copy")
+    create, copy, drop, merge = sinks.bulk_load_statements(*given)
+    assert create == "CREATE TEMP TABLE stage (id BIGINT, v VARCHAR(20), _row_hash VARCHAR(64))"
+    assert copy == "COPY stage (id, v, _row_hash) FROM 's3://b/p/run=1/' IAM_ROLE 'arn:aws:iam::1:role/copy' FORMAT AS PARQUET"
+    assert drop == "DELETE FROM stage USING sales WHERE sales.id = stage.id AND sales._row_hash = stage._row_hash"
+    assert merge == (
+        "MERGE INTO sales USING stage ON sales.id = stage.id WHEN MATCHED THEN UPDATE SET v = stage.v, "
+        "_row_hash = stage._row_hash WHEN NOT MATCHED THEN INSERT (id, v, _row_hash) VALUES (stage.id, stage.v, stage._row_hash)"
+    )
+    for place, bad in ((0, "s; x"), (2, ["z"]), (3, {"id": "INT; DROP"}), (4, "s3://b/p'/"), (5, "role'")):
+        with pytest.raises(ValueError):
+            sinks.bulk_load_statements(*given[:place], bad, *given[place + 1 :])
+
+
 def test_merge_statements():
     made = {d: sinks.jdbc_merge_statement("t", "s", ["id"], ["id", "v"], d) for d in ("mysql", "postgresql", "sqlserver")}
     assert made["mysql"] == "INSERT INTO t (id, v) SELECT id, v FROM s ON DUPLICATE KEY UPDATE v = VALUES(v)"
