@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -99,6 +101,28 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+#: Folders of the open runs of ``working_tables``, the innermost last.
+_RUNS: list[list[str]] = []
+
+
+@contextmanager
+def working_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove the working tables of a run when it ends, also by an error.
+
+    Everything that ``cut_lineage`` writes inside the block goes; what is to stay must be written
+    elsewhere before its end, since results are read from these tables when they are used.
+    """
+    made: list[str] = []
+    _RUNS.append(made)
+    try:
+        yield
+    finally:
+        _RUNS.remove(made)
+        for path in made:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write the rows to a table in the shared folder and read them back.
 
@@ -107,6 +131,8 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     tables that are no longer read.
     """
     path = work_path(df.sparkSession, label)
+    if _RUNS:
+        _RUNS[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
