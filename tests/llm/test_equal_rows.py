@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 
 import corpus_pipeline
+from tarnlake import session
 from tarnlake.llm import source_mix
 
 SCHEMA = "doc_id long, text string, lang string, source string, copies int"
@@ -44,3 +46,14 @@ def test_near_duplicates_with_shared_and_missing_ids(spark):
     assert sorted(kept, key=repr) == sorted(
         [(5, a, "en", "s", 1), (5, b, "en", "s", 1), (9, c, "en", "s", 2), (None, None, "en", "s", 0),
          (3, "", "en", "s", 0), (4, "", "en", "s", 0)], key=repr)
+
+
+def test_the_pipeline_leaves_its_stages_only(spark, tmp_path):
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, f"{text} own{i} " + "xyzabc "[i % 3 :] * i, "en", "a", 1) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "not in any document at all")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    before = set(os.listdir(session.shared_base(spark).removeprefix("file://")))
+    corpus_pipeline.run(spark, str(tmp_path)).count()
+    left = set(os.listdir(session.shared_base(spark).removeprefix("file://"))) - before
+    assert {n.rsplit("-", 1)[0] for n in left} <= {n for n, _ in corpus_pipeline.STAGES} | {"tokens"}
