@@ -352,7 +352,7 @@ def field_modes(t: Tables) -> DataFrame:
 @query("layer_merge", _MERGED)
 def layer_merge(t: Tables) -> DataFrame:
     """A base and a delta merged into a layer of key buckets, split by a small bound."""
-    layer = KeyedLayer(t.spark, work_path(t.spark, "layer"), ["id"], bucket_bytes=64 << 10)
+    layer = KeyedLayer(t.spark, work_path(t.spark, "layer"), ["id"], bucket_bytes=512 << 10)
     for delta in (t.order_state, t.order_delta):
         layer.merge(delta, ["revision"], "is_delete")
     return layer.read().select(*t.order_state.columns)

@@ -702,9 +702,9 @@ def field_selection(t: Tables) -> DataFrame:
 def serving_load(t: Tables) -> DataFrame:
     columns = ["p_partkey", "p_name", "p_size", "p_brand"]
     path, keys = work_path(t.spark, "serving"), ["p_partkey"]
-    sinks.load_serving(t.spark, path, t.part_target, keys, columns, bucket_bytes=64 << 10)
+    sinks.load_serving(t.spark, path, t.part_target, keys, columns, bucket_bytes=256 << 10)
     incoming = t.part.where("p_partkey % 3 <> 0")
-    sinks.load_serving(t.spark, path, incoming, keys, columns, bucket_bytes=64 << 10)
+    sinks.load_serving(t.spark, path, incoming, keys, columns, bucket_bytes=256 << 10)
     return sinks.read_serving(t.spark, path, keys).select(*columns)
 
 
@@ -832,7 +832,7 @@ def transform_job(t: Tables) -> DataFrame:
 @query("transform_layered", _TRANSFORMED)
 def transform_layered(t: Tables) -> DataFrame:
     """The same delta, merged into a layer that already holds the state."""
-    layer = KeyedLayer(t.spark, work_path(t.spark, "layer"), ["order_id"], bucket_bytes=128 << 10)
+    layer = KeyedLayer(t.spark, work_path(t.spark, "layer"), ["order_id"], bucket_bytes=512 << 10)
     layer.merge(t.order_state_curated, ["revision"])
     done, _ = jobs.transform_into(layer, t.order_delta_raw, _spec(t), t.units)
     return done.curated.select(*t.order_state_curated.columns)
