@@ -12,9 +12,11 @@ repeated batch changes nothing.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,10 @@ from tarnlake.sources.keyed_layer import KeyedLayer
 
 _TIE = "_tie"
 
+# Spark also starts the processor in a worker on the driver, which has none of the files that
+# ``addPyFile`` gives to tasks: what is pickled from here carries its own code.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _place(row) -> tuple:
     """An order that puts null first and compares what a column holds."""

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
 from datetime import datetime, timedelta
 
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnlake.sources.keyed_layer import KeyedLayer
 from tarnlake.streaming import events, ordered
@@ -81,3 +85,23 @@ def test_state_expires_and_a_deletion_stays(spark, tmp_path):
     rows = spark.read.format("statestore").option("path", str(tmp_path / "checkpoint")).option("stateVarName", "seen").load()
     left = {r.key.id for r in rows.select("key").collect()}
     assert left == {"b", "z"}
+
+
+def test_processor_starts_in_a_worker_without_the_package(tmp_path):
+    processor = ordered.NewerOnly([T.StructField("at", T.TimestampType())], ["id", "at"])
+    code = """if True:
+        import importlib.util, pickle, sys
+        assert importlib.util.find_spec("tarnlake") is None
+        made = pickle.load(sys.stdin.buffer)
+        print(made.inputs, made.handleInputRows.__globals__["_place"]((None, 1)))
+    """
+    done = subprocess.run(
+        [sys.executable, "-c", code],
+        input=cloudpickle.dumps(processor),
+        cwd=tmp_path,
+        env={"PATH": "/usr/bin:/bin"},
+        capture_output=True,
+        timeout=120,
+    )
+    assert done.returncode == 0, done.stderr.decode()
+    assert done.stdout.decode().strip() == "['id', 'at', '_tie'] ((False, None), (True, 1))"
