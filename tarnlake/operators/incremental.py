@@ -194,19 +194,21 @@ def chunk_days(rows_per_second: Column, rows_per_day: Column) -> Column:
     return F.when(rows_per_second <= 0, refused).otherwise(sized)
 
 
-def plan_chunks(jobs: DataFrame, max_chunks: int = MAX_CHUNKS) -> DataFrame:
+def plan_chunks(jobs: DataFrame, max_chunks: int | None = MAX_CHUNKS) -> DataFrame:
     """Contiguous chunks of every job, the last one possibly short.
 
     ``jobs`` gives ``window_start``, ``window_end`` (included) and ``chunk_days``. A job that would
-    need more than ``max_chunks`` chunks fails the query instead of running without end.
+    need more than ``max_chunks`` chunks fails the query instead of running without end; without a
+    limit a job has at most as many chunks as its window has days.
     """
     days = F.date_diff("window_end", "window_start") + 1
     count = F.ceil(days / F.col("chunk_days")).cast("int")
-    checked = (
-        F.when(F.col("window_end") < F.col("window_start"), F.raise_error(F.lit("window ends before it starts")).cast("int"))
-        .when(count > max_chunks, F.raise_error(F.lit(f"more than {max_chunks} chunks")).cast("int"))
-        .otherwise(count)
+    checked = F.when(
+        F.col("window_end") < F.col("window_start"), F.raise_error(F.lit("window ends before it starts")).cast("int")
     )
+    if max_chunks is not None:
+        checked = checked.when(count > max_chunks, F.raise_error(F.lit(f"more than {max_chunks} chunks")).cast("int"))
+    checked = checked.otherwise(count)
     numbered = jobs.withColumn("sequence", F.explode(F.sequence(F.lit(0), checked - 1)))
     start = F.date_add("window_start", F.col("sequence") * F.col("chunk_days"))
     return numbered.withColumn("chunk_start", start).withColumn(

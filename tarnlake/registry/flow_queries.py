@@ -427,7 +427,9 @@ def backfill_chunks(t: Tables) -> DataFrame:
     sized = windows.withColumn(
         "chunk_days", incremental.chunk_days(F.lit(incremental.ROWS_PER_SECOND), per_day)
     ).drop("n")
-    chunks = incremental.plan_chunks(sized)
+    # The job is every chunk: at many orders a day a chunk is one day, and the window has more days
+    # than the planner takes by itself.
+    chunks = incremental.plan_chunks(sized, max_chunks=None)
     rows = (
         t.orders.select(F.col("o_orderstatus").alias("job"), day.alias("day"))
         .join(sized, "job")

@@ -146,3 +146,14 @@ def test_python_steps_run_where_the_package_is_not_installed(tmp_path):
     )
     assert done.returncode == 0, done.stderr[-2000:]
     assert int(done.stdout.split("rows")[-1]) > 0
+
+
+def test_backfill_of_a_long_busy_window_plans_every_chunk(spark, tmp_path):
+    from __spark_entry__ import queries
+
+    spark.range(1_300_000).selectExpr(
+        "'O' AS o_orderstatus", "timestamp_ntz'1992-01-01 00:00:00' + make_dt_interval(cast(id % 2400 AS int)) AS o_orderdate"
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    got = queries()["backfill_chunks"](spark, str(tmp_path))
+    total = got.agg(F.count(F.lit(1)), F.min("chunk_days"), F.max("chunk_days"), F.sum("rows")).first()
+    assert tuple(total) == (2400, 1, 1, 1_300_000)
