@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tarnlake.operators import clusters, graph, mapping, masking, matching, merge, quality, scope
+from tarnlake.operators import clusters, connecting, graph, mapping, masking, matching, merge, quality, scope
 from tarnlake.operators import survivorship
 from tarnlake.operators.matching import RECORD_ID
 from tarnlake.session import cut_lineage
@@ -175,11 +175,13 @@ def resolve_entities(
 ) -> Resolution:
     """Match, cluster and merge tagged records into golden records.
 
-    The links are checkpointed because both the audit output and the clustering read them, and the
-    winners because golden rows and conflict log do.
+    The clustering reads as many links as connect the same records; ``links``, for the audit, are
+    all of them, found when they are read. The winners are checkpointed because golden rows and
+    conflict log read them.
     """
-    links = cut_lineage(matching.match_links(records, rules))
-    membership = cut_lineage(clusters.connected_components(records, links))
+    links = matching.match_links(records, rules)
+    connected = connecting.connecting_links(records, rules)
+    membership = cut_lineage(clusters.connected_components(records, connected))
     ids = clusters.golden_ids(membership, rules.entity_type)
     winners = cut_lineage(survivorship.resolve_fields(records.join(membership, RECORD_ID), policy))
     return Resolution(

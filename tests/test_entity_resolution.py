@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarnlake.functions.text import jaro_winkler_text
-from tarnlake.operators import clusters, matching, survivorship
+from tarnlake.operators import clusters, connecting, matching, survivorship
 from tarnlake.operators.matching import (
     Blocking,
     ExactField,
@@ -125,6 +125,31 @@ def test_hot_group_is_tiled_without_losing_pairs(spark, monkeypatch):
         assert got == brute_components(data, rules)
 
 
+def test_connecting_links_give_the_components_of_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(matching, "_TILE_ROWS", 7)
+    monkeypatch.setattr(connecting, "_NEAR_ROWS", 3)
+    monkeypatch.setattr(connecting, "_FIRST_MEMBERS", 1)
+    data = people(150, seed=3)
+    records = spark.createDataFrame(data, SCHEMA)
+    for rule in (LETTERS, NAME_ONLY):
+        rules = MatchRules("p", "v1", (EMAIL, rule))
+        links = connecting.connecting_links(records, rules)
+        got = {r[0]: r[1] for r in clusters.connected_components(records, links).collect()}
+        assert got == brute_components(data, rules.rules)
+
+
+def test_alike_combinations_are_connected_by_few_links(spark, monkeypatch):
+    monkeypatch.setattr(connecting, "_NEAR_ROWS", 8)
+    data = [(f"a:{i:03d}", "a", f"margarethe smithson{i:03d}", "c", None, None) for i in range(120)]
+    records = spark.createDataFrame(data, SCHEMA)
+    rules = MatchRules("p", "v1", (LETTERS,))
+    links = connecting.connecting_links(records, rules)
+    # All 7,140 pairs match; a tile of 8 is compared with itself and the next one.
+    assert links.count() <= 120 * 12
+    found = clusters.connected_components(records, links)
+    assert {r.cluster for r in found.collect()} == {"a:000"}
+
+
 def test_tiles_meet_every_pair_once(spark, monkeypatch):
     monkeypatch.setattr(matching, "_TILE_ROWS", 5)
     profiles = spark.createDataFrame([(f"p{i:03d}", "g") for i in range(43)], "profile string, g string")
