@@ -77,8 +77,10 @@ def golden_ids(
     """``cluster, golden_id, member_count`` per cluster.
 
     The id is ``gid-`` and 16 hex digits of the SHA-256 over namespace, entity type and the sorted
-    member ids, for clusters of any size: the sorted members of a cluster run through the hash as a
-    stream, so no list of them is ever held. Who belongs to a cluster is in ``membership``.
+    member ids, for clusters of any size: the members are sorted by ranges, so that a large cluster
+    is spread over tasks, and each range is joined to pieces of text. Only the pieces of a cluster
+    meet in one task, where they run through the hash as a stream. Who belongs to a cluster is in
+    ``membership``.
     """
     prefix = f"{namespace}:{entity_type}:".encode()
     kind = membership.schema["cluster"].dataType
@@ -89,31 +91,57 @@ def golden_ids(
             T.StructField("member_count", T.LongType()),
         ]
     )
+    piece = T.StructType(
+        [
+            T.StructField("cluster", kind),
+            T.StructField("at", T.LongType()),
+            T.StructField("body", T.StringType()),
+            T.StructField("members", T.LongType()),
+        ]
+    )
     ordered = (
         membership.select("cluster", F.col(node).cast("string").alias("member"))
-        .repartition("cluster")
+        .repartitionByRange("cluster", "member")
         .sortWithinPartitions("cluster", "member")
+        .withColumn("at", F.monotonically_increasing_id())
     )
 
+    def join(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            done: list[tuple] = []
+            here, first, held = None, 0, []
+            rows = zip(frame["cluster"], frame["member"], frame["at"], strict=True)
+            for cluster, member, at in rows:
+                if held and cluster != here:
+                    done.append((here, first, "|".join(held), len(held)))
+                    held = []
+                if not held:
+                    here, first = cluster, at
+                held.append(member)
+            if held:
+                done.append((here, first, "|".join(held), len(held)))
+            yield pd.DataFrame(done, columns=piece.names)
+
     def digest(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         here, state, count = None, None, 0
         for frame in frames:
             done = []
-            for cluster, member in zip(frame["cluster"], frame["member"], strict=True):
+            for cluster, body, members in zip(frame["cluster"], frame["body"], frame["members"], strict=True):
                 if state is None or cluster != here:
                     if state is not None:
                         done.append((here, f"gid-{state.hexdigest()[:16]}", count))
                     here, state, count = cluster, hashlib.sha256(prefix), 0
                 else:
                     state.update(b"|")
-                state.update(member.encode())
-                count += 1
+                state.update(body.encode())
+                count += members
             yield pd.DataFrame(done, columns=schema.names)
         if state is not None:
             last = (here, f"gid-{state.hexdigest()[:16]}", count)
             yield pd.DataFrame([last], columns=schema.names)
 
-    return ordered.mapInPandas(digest, schema)
+    pieces = ordered.mapInPandas(join, piece).repartition("cluster").sortWithinPartitions("cluster", "at")
+    return pieces.mapInPandas(digest, schema)
 
 
 def golden_id_events(previous: DataFrame, current: DataFrame, node: str = RECORD_ID) -> DataFrame:

@@ -280,6 +280,12 @@ def test_golden_ids(spark):
     assert big.member_count == 25_000
 
 
+def test_members_of_a_golden_id_are_sorted_by_ranges(spark, capsys):
+    members = spark.range(9).selectExpr("'big' AS cluster", "concat('s:', id) AS _record_id")
+    clusters.golden_ids(members, "person").explain()
+    assert "rangepartitioning(" in capsys.readouterr().out
+
+
 def test_golden_id_events(spark, rows):
     before = spark.createDataFrame([("1", "A"), ("2", "B"), ("3", "C"), ("4", "C"), ("5", "D")], "_record_id string, golden_id string")
     after = spark.createDataFrame(
