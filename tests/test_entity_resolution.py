@@ -127,6 +127,7 @@ def test_hot_group_is_tiled_without_losing_pairs(spark, monkeypatch):
 
 def test_connecting_links_give_the_components_of_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(matching, "_TILE_ROWS", 7)
+    monkeypatch.setattr(connecting, "_WHOLE_ROWS", 1)
     monkeypatch.setattr(connecting, "_NEAR_ROWS", 3)
     monkeypatch.setattr(connecting, "_FIRST_MEMBERS", 1)
     data = people(150, seed=3)
@@ -139,6 +140,7 @@ def test_connecting_links_give_the_components_of_all_pairs(spark, monkeypatch):
 
 
 def test_alike_combinations_are_connected_by_few_links(spark, monkeypatch):
+    monkeypatch.setattr(connecting, "_WHOLE_ROWS", 1)
     monkeypatch.setattr(connecting, "_NEAR_ROWS", 8)
     data = [(f"a:{i:03d}", "a", f"margarethe smithson{i:03d}", "c", None, None) for i in range(120)]
     records = spark.createDataFrame(data, SCHEMA)
