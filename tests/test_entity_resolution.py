@@ -152,6 +152,27 @@ def test_alike_combinations_are_connected_by_few_links(spark, monkeypatch):
     assert {r.cluster for r in found.collect()} == {"a:000"}
 
 
+def test_what_has_joined_the_main_component_is_compared_no_further(spark, monkeypatch):
+    monkeypatch.setattr(matching, "_TILE_ROWS", 8)
+    monkeypatch.setattr(connecting, "_WHOLE_ROWS", 1)
+    monkeypatch.setattr(connecting, "_NEAR_ROWS", 8)
+    compared, score = [], matching.matching_pairs
+
+    def counted(pairs, rule):
+        compared.append(pairs.count())
+        return score(pairs, rule)
+
+    monkeypatch.setattr(matching, "matching_pairs", counted)
+    names = [f"margarethe smithson{i:03d}" for i in range(400)] + [f"xmargarethe smithson{i:03d}" for i in range(60)]
+    data = [(f"a:{i:03d}", "a", name, "c", None, None) for i, name in enumerate(names)]
+    records = spark.createDataFrame(data, SCHEMA)
+    links = connecting.connecting_links(records, MatchRules("p", "v1", (LETTERS,)))
+    found = clusters.connected_components(records, links)
+    assert {r.cluster for r in found.collect()} == {"a:000"}
+    # The neighbours, and a few members with a part of the group instead of 16 with all 400.
+    assert sum(compared) <= 460 * 12 + 1000
+
+
 def test_tiles_meet_every_pair_once(spark, monkeypatch):
     monkeypatch.setattr(matching, "_TILE_ROWS", 5)
     profiles = spark.createDataFrame([(f"p{i:03d}", "g") for i in range(43)], "profile string, g string")
