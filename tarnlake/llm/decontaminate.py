@@ -1,11 +1,12 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. *Statistics.* One pass counts in how many passages (64 words) each word occurs, over all
-   documents, and keeps the ``sample`` passages with the smallest random keys.
-2. *Latent space.* Randomised SVD (Halko et al., 2011) of the TF-IDF rows of the sampled and the
-   benchmark passages, which Spark tasks multiply with the current basis; their partial sums, one
-   for each ``part_rows`` passages, are added on the driver. The benchmark rows weigh more, so their
-   words shape the space.
+   documents. The vocabulary is the words of the items and the most frequent of all.
+2. *Latent space.* Randomised SVD (Halko et al., 2011) of the TF-IDF rows of all passages and of the
+   benchmark: the start is the range of the benchmark rows, a second pass multiplies every row with
+   it, and the space is that of the Nystrom approximation. Spark adds up the partial sums. All
+   passages together weigh like ``_CORPUS`` items of weight one; the benchmark rows weigh more, so
+   their words shape the space.
 3. *Candidates.* Whole documents are cut into blocks of eight words, and runs of blocks as long as the
    item are compared with it by cosine. A match shares at least ``least_loose`` of the item's places,
    so it holds at least ``k`` of its ``(1 - least_loose) * words + k`` rarest ones: runs without so
@@ -16,7 +17,7 @@
 
 The benchmark goes out in blocks of bounded size (``block_words``, and distinct words of at most half
 the ``features``), each searched against all documents. Every word of an item is in its block's
-space; the words of the sample share what is left of it. Nothing of the corpus is dropped before the
+space; the words of the corpus share what is left of it. Nothing of the corpus is dropped before the
 cosine test; ``least_cosine=None`` leaves that test out too, and the search is exact.
 
 Rows and edge cases: null and empty texts match nothing. Items of fewer than ``least_words`` words
@@ -42,8 +43,14 @@ from tarnlake.session import cut_lineage
 
 PASSAGE = 64
 BLOCK = 8
-_DF_BITS = 19
 _SLOT_BITS = 17
+#: Passages of weight one that all passages of a corpus weigh as much as.
+_CORPUS = 4_096
+#: Runs or words whose vectors are made in one step, and passages: they stay in the processor cache.
+_STEP = 2048
+_PASSAGES = 32
+#: Distinct words that a task counts before it hands the counts on.
+_COUNTED = 1 << 19
 #: Stands behind the sorted words of a space.
 _NO_WORD = (1 << 64) - 1
 #: Texts of one array step of the search: its vectors stay in the processor cache.
@@ -92,56 +99,77 @@ def _passages(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.minimum(starts + PASSAGE, words.first[row + 1])
 
 
-def _statistics(texts: DataFrame, sample: int) -> tuple[np.ndarray, int, DataFrame]:
-    """Passages per word slot, number of passages, and the sampled passages (key, words)."""
+def _added(words: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words of several counts and their sums."""
+    every, where = np.unique(np.concatenate(words), return_inverse=True)
+    sums = np.zeros(len(every), np.int64)
+    np.add.at(sums, where, np.concatenate(counts))
+    return every, sums
+
+
+def _statistics(texts: DataFrame, sample: int | None) -> tuple[DataFrame, int, DataFrame]:
+    """Passages per word (``w, n``), number of passages, and the rows that the space is made from: all
+    texts, or the ``sample`` passages with the smallest random keys."""
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros((1 << _DF_BITS) + 1, np.uint32)
-        least: list[tuple[int, bytes]] = []
-        bound = np.uint64(1 << 63)
-        for batch, data, offsets in runs(batches):
+        words_held: list[np.ndarray] = []
+        counts_held: list[np.ndarray] = []
+        held = total = 0
+
+        def told(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(keys), 1 << 16):
+                some = slice(at, at + (1 << 16))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[some].view(np.int64)), pa.array(counts[some])], names=["w", "n"]
+                )
+
+        for _, data, offsets in runs(batches):
             words = words_of(data, offsets, True, PUNCTUATED)
-            hashes = words.hashes()
             starts, ends = _passages(words)
             if not len(starts):
                 continue
-            slots = (hashes >> np.uint64(64 - _DF_BITS)).astype(np.int64)
+            total += len(starts)
+            every, place = np.unique(words.hashes(), return_inverse=True)
             part = np.repeat(np.arange(len(starts)), ends - starts)
-            pairs = np.unique((part << _DF_BITS) | slots)
-            seen[:-1] += np.bincount(pairs & ((1 << _DF_BITS) - 1), minlength=1 << _DF_BITS).astype(np.uint32)
-            seen[-1] += len(starts)
+            pairs = np.unique(part * len(every) + place)
+            words_held.append(every)
+            counts_held.append(np.bincount(pairs % len(every), minlength=len(every)))
+            held += len(every)
+            if held > 2 * _COUNTED:
+                keys, counts = _added(words_held, counts_held)
+                words_held, counts_held, held = [keys], [counts], len(keys)
+                if held > _COUNTED:
+                    yield from told(keys, counts)
+                    words_held, counts_held, held = [], [], 0
+        if words_held:
+            yield from told(*_added(words_held, counts_held))
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([total])], names=["w", "n"])
+
+    counts = texts.select("text").mapInArrow(scan, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    counts = cut_lineage(counts, "counts")
+    total = counts.where("w is null").select("n").first()
+    rows = texts.select("text") if sample is None else _drawn(texts, sample)
+    return counts.where("w is not null"), total[0] if total else 0, rows
+
+
+def _drawn(texts: DataFrame, sample: int) -> DataFrame:
+    """The words (``body``) of the passages with the smallest random keys."""
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in runs(batches):
+            words = words_of(data, offsets, True, PUNCTUATED)
+            hashes = words.hashes()
+            starts, ends = _passages(words)
             row = np.searchsorted(words.first, starts, "right") - 1
             ids = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
             keys = mix(ids[row] + (starts - words.first[row]).astype(np.uint64)) >> np.uint64(1)
-            for i in np.flatnonzero(keys < bound):
-                least.append((int(keys[i]), hashes[starts[i] : ends[i]].tobytes()))
-            if len(least) > 2 * sample:
-                least.sort()
-                del least[sample:]
-                bound = np.uint64(least[-1][0])
-        least.sort()
-        del least[sample:]
-        for at in range(0, len(least), 256):
-            some = least[at : at + 256]
+            bodies = [hashes[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in some], pa.int64()), pa.array([b for _, b in some], pa.binary())],
-                names=["key", "body"],
+                [pa.array(keys.view(np.int64)), pa.array(bodies, pa.binary())], names=["key", "body"]
             )
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([None], pa.int64()), pa.array([seen.tobytes()], pa.binary())], names=["key", "body"]
-        )
-
-    out = cut_lineage(texts.select("key", "text").mapInArrow(scan, "key long, body binary"))
-    counts = out.where("key is null").select("body").rdd.map(
-        lambda row: np.frombuffer(row[0], np.uint32).astype(np.int64)
-    ).treeAggregate(np.zeros((1 << _DF_BITS) + 1, np.int64), np.add, np.add, 3)
-    # Keys are uniform: below this one there are twice as many passages as wanted, at any input size.
-    total = int(counts[-1])
-    drawn = out.where("key is not null")
-    if total > 4 * sample:
-        below = drawn.where(F.col("key") < int((1 << 63) * (2 * sample / total)))
-        drawn = below if below.count() >= sample else drawn
-    return counts[:-1], total, cut_lineage(drawn.orderBy("key", "body").limit(sample))
+
+    passages = texts.select("key", "text").mapInArrow(scan, "key long, body binary")
+    return cut_lineage(passages.orderBy("key", "body").limit(sample).select("body"))
 
 
 @dataclass(frozen=True)
@@ -172,20 +200,18 @@ def _slots(vocabulary: np.ndarray) -> np.ndarray:
     return slots
 
 
-def _vocabulary(items: list[Item], sampled: DataFrame, features: int) -> np.ndarray:
-    """All words of the items, and up to ``features`` with the most frequent of the sample; sorted."""
+def _vocabulary(items: list[Item], counts: DataFrame, features: int) -> tuple[np.ndarray, np.ndarray]:
+    """All words of the items, and up to ``features`` with the most frequent of all; sorted, and in how
+    many passages each occurs."""
     own = np.unique(np.concatenate([i.words for i in items]))
-    rest = (
-        sampled.select("body")
-        .mapInArrow(_unpack, "w long")
-        .groupBy("w")
-        .count()
-        .orderBy(F.desc("count"), "w")
-        .limit(features)
-    )
-    rest = np.array([r[0] for r in rest.select("w").collect()], np.int64).view(np.uint64)
-    rest = rest[~np.isin(rest, own)][: max(0, features - len(own))]
-    return np.sort(np.concatenate([own, rest]))
+    asked = counts.sparkSession.createDataFrame([(w,) for w in own.view(np.int64).tolist()], "w long")
+    seen = {r.w: r.n for r in counts.join(F.broadcast(asked), "w").collect()}
+    least = max(0, features - len(own))
+    rest = counts.join(F.broadcast(asked), "w", "left_anti").orderBy(F.desc("n"), "w").limit(least).collect()
+    seen |= {r.w: r.n for r in rest}
+    more = np.array([r.w for r in rest], np.int64).view(np.uint64)
+    vocabulary = np.sort(np.concatenate([own, more]))
+    return vocabulary, np.array([seen.get(w, 0) for w in vocabulary.view(np.int64).tolist()], np.int64)
 
 
 def _blocks(items: list[Item], features: int) -> Iterator[list[Item]]:
@@ -203,16 +229,58 @@ def _blocks(items: list[Item], features: int) -> Iterator[list[Item]]:
         yield block
 
 
-def _unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Word hashes of runs of texts, or of rows of hashes, and the ends of their passages."""
     for batch in batches:
-        for body in batch.column("body").to_pylist():
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(body, np.int64))], names=["w"])
+        if "text" in batch.schema.names:
+            for _, data, offsets in runs([batch], limit=_SEARCH_BYTES):
+                words = words_of(data, offsets, True, PUNCTUATED)
+                yield words.hashes(), *_passages(words)
+            continue
+        bodies = [np.frombuffer(b, np.uint64) for b in batch["body"].to_pylist()]
+        ends = np.cumsum([len(b) for b in bodies])
+        yield np.concatenate(bodies), ends - [len(b) for b in bodies], ends
+
+
+def _multiply(
+    index: _Space, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, weight: float,
+    q: np.ndarray, sums: np.ndarray,
+) -> None:
+    """Add a (a Q) of every passage to the sums, a being its weighted TF-IDF row."""
+    part = np.repeat(np.arange(len(starts)), ends - starts)
+    width = len(index.idf)
+    keys, n = np.unique(part * width + index.rows(hashes), return_counts=True)
+    part, row = keys // width, keys % width
+    a = n * index.idf[row]
+    some = a > 0
+    part, row, a = part[some], row[some], a[some]
+    if not len(a):
+        return
+    first = np.flatnonzero(np.diff(part, prepend=-1))
+    sizes = np.diff(first, append=len(a))
+    a = (a * np.repeat(weight / np.sqrt(np.add.reduceat(a * a, first)), sizes)).astype(np.float32)
+    products = np.empty((len(first), q.shape[1]), np.float32)
+    stops = np.append(first, len(a)).tolist()
+    for at in range(0, len(first), _PASSAGES):
+        own = stops[at : at + _PASSAGES + 1]
+        vectors = q.take(row[own[0] : own[-1]], axis=0)
+        for k, (low, high) in enumerate(zip(own[:-1], own[1:], strict=True), at):
+            products[k] = a[low:high] @ vectors[low - own[0] : high - own[0]]
+    keys = np.sort(row * len(a) + np.arange(len(a)))
+    row, order = keys // len(a), keys % len(a)
+    passage, a = np.repeat(np.arange(len(first)), sizes)[order], a[order]
+    for at in range(0, len(a), _STEP):
+        some = slice(at, at + _STEP)
+        heads = np.flatnonzero(np.diff(row[some], prepend=-1))
+        shares = products.take(passage[some], axis=0)
+        shares *= a[some, None]
+        sums[row[some][heads]] += np.add.reduceat(shares, heads, axis=0)
 
 
 def _space(
     items: list[Item],
-    sampled: DataFrame,
-    df: np.ndarray,
+    corpus: DataFrame,
+    counts: DataFrame,
     total: int,
     rank: int,
     features: int,
@@ -220,57 +288,50 @@ def _space(
     part_rows: int,
     seed: int,
 ) -> _Space:
-    """Randomised SVD by subspace iteration over the bounded sample and the items, in Spark tasks."""
-    vocabulary = _vocabulary(items, sampled, features)
+    """Randomised SVD of the items and all rows of the corpus, multiplied in Spark tasks."""
+    vocabulary, df = _vocabulary(items, counts, features)
     slots = _slots(vocabulary)
     known = np.append(vocabulary, np.uint64(_NO_WORD))
-    idf = np.log((1 + total) / (1 + df[(vocabulary >> np.uint64(64 - _DF_BITS)).astype(np.int64)]))
-    idf = np.append(np.maximum(idf, 0.0), 0.0).astype(np.float32)
+    idf = np.append(np.maximum(np.log((1 + total) / (1 + df)), 0.0), 0.0).astype(np.float32)
     index = _Space(slots, known, idf[:, None], idf)
     width = len(vocabulary) + 1
-    spark = sampled.sparkSession
-    own = spark.createDataFrame(
-        [(float(item_weight), i.words.tobytes()) for i in items], "weight double, body binary"
-    )
-    parts = 1 + (len(items) + sampled.count()) // part_rows
-    passages = cut_lineage(
-        own.unionByName(sampled.select(F.lit(1.0).alias("weight"), "body")).repartition(parts), "passages"
-    ).coalesce(parts)
-    words = spark.sparkContext.broadcast((index, idf))
-
-    def multiply(q: np.ndarray) -> np.ndarray:
+    spark = corpus.sparkSession
+    own = spark.createDataFrame([(i.words.tobytes(),) for i in items], "body binary")
+    own = own.coalesce(1 + len(items) // part_rows)
+    rows = total
+    if "body" in corpus.columns:
+        rows = corpus.count()
+        corpus = corpus.repartition(1 + rows // part_rows)
+    words = spark.sparkContext.broadcast(index)
+
+    def multiply(frame: DataFrame, weight: float, q: np.ndarray) -> np.ndarray:
         """The sum over all rows a of a (a Q)."""
         shared = spark.sparkContext.broadcast(q)
 
         def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index, idf = words.value
-            q = shared.value
+            index, q = words.value, shared.value
             sums = np.zeros(q.shape, np.float32)
-            for batch in batches:
-                bodies = zip(batch["weight"].to_pylist(), batch["body"].to_pylist(), strict=True)
-                for weight, body in bodies:
-                    at, n = np.unique(index.rows(np.frombuffer(body, np.uint64)), return_counts=True)
-                    a = n * idf[at]
-                    norm = np.sqrt(a @ a)
-                    if norm:
-                        a = (a * (weight / norm)).astype(np.float32)
-                        sums[at] += a[:, None] * (a @ q[at])[None, :]
+            for hashes, starts, ends in _read(batches):
+                _multiply(index, hashes, starts, ends, weight, q, sums)
             yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
 
-        total = np.zeros(q.shape, np.float64)
-        for row in passages.mapInArrow(partial, "sums binary").toLocalIterator():
-            total += np.frombuffer(row["sums"], np.float32).reshape(q.shape)
+        parts = frame.mapInArrow(partial, "sums binary").rdd.map(lambda r: np.frombuffer(r[0], np.float32))
+        total = parts.treeReduce(np.add, 3).reshape(q.shape).astype(np.float64)
         shared.destroy()
         return total
 
     count = min(rank + 8, max(1, len(vocabulary)))
-    basis = np.random.default_rng(seed).standard_normal((width, count)).astype(np.float32)
-    for _ in range(2):
-        basis = np.linalg.qr(multiply(basis))[0].astype(np.float32)
-    small = basis.T @ multiply(basis)
+    start = np.random.default_rng(seed).standard_normal((width, count)).astype(np.float32)
+    near = multiply(own, item_weight, start)
+    # Directions that the items leave open are random ones.
+    basis = np.linalg.qr(near + 1e-3 * np.linalg.norm(near) / np.linalg.norm(start) * start)[0].astype(np.float32)
+    share = float(np.sqrt(min(1.0, _CORPUS / max(1, rows))))
+    product = multiply(own, item_weight, basis) + multiply(corpus, share, basis)
     words.destroy()
-    values, vectors = np.linalg.eigh((small + small.T) / 2)
-    v = basis @ vectors[:, np.argsort(-values)[:rank]]
+    inner = basis.T.astype(np.float64) @ product
+    q, r = np.linalg.qr(product)
+    values, vectors = np.linalg.eigh(r @ np.linalg.pinv((inner + inner.T) / 2, rcond=1e-6, hermitian=True) @ r.T)
+    v = q @ vectors[:, np.argsort(-values)[:rank]]
     table = (idf[:, None] * v).astype(np.float32)
     table[-1] = 0.0
     return _Space(slots, known, table, idf)
@@ -318,8 +379,6 @@ def _block_vectors(words: Words, rows: np.ndarray, table: np.ndarray, start: np.
 
 #: Rarest places of an item that a run must hold beyond what a match may lack.
 _HITS = 4
-#: Runs whose vectors are made in one step.
-_STEP = 2048
 
 
 class _Items:
@@ -487,7 +546,7 @@ def _leaks(
     item_text_column: str = "text",
     rank: int = 64,
     features: int = 32_768,
-    sample: int = 4_096,
+    sample: int | None = None,
     item_weight: float = 4.0,
     least_cosine: float | None = 0.5,
     least_common: float = 0.7,
@@ -511,7 +570,7 @@ def _leaks(
         ).where(F.col("text").isNotNull())
     )
     chars = asked.agg(F.sum(F.length("text"))).first()[0] or 0
-    df, total, sampled = _statistics(texts, sample)
+    counts, total, corpus = _statistics(texts, sample)
     found = documents.sparkSession.createDataFrame([], _FOUND_ROWS)
     blocks = max(1, -(-chars // (6 * block_words)))
     for block in range(blocks):
@@ -519,7 +578,7 @@ def _leaks(
         items = [_item(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect()]
         items = [i for i in items if len(i.words) >= least_words]
         for some in _blocks(items, features) if total else ():
-            space = _space(some, sampled, df, total, rank, features, item_weight, part_rows, seed)
+            space = _space(some, corpus, counts, total, rank, features, item_weight, part_rows, seed)
             rows = _search(texts, some, space, least_cosine, least_common, least_loose, least_answer)
             found = found.unionByName(rows)
     return found

@@ -109,3 +109,23 @@ def test_tasks_multiply_like_one_matrix(spark):
     grams = [s.table @ s.table.T for s in spaces]
     assert np.abs(grams[0] - grams[1]).max() < 1e-2 * np.abs(grams[1]).max()
     assert sampled.count() == 64
+
+
+def test_counts_and_space_come_from_all_passages(spark):
+    rows, items, _ = _corpus()
+    rows = [*rows, *[(2000 + i, f"seldom rare{i:04d} " * 40, None, None) for i in range(200)]]
+    texts = table(spark, rows).select(F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("key"))
+    counts, total, corpus = decontaminate._statistics(texts.where("text is not null"), None)
+    want, passages = {}, 0
+    for _, body, *_ in rows:
+        words = decontaminate._hashes(body).view(np.int64).tolist()
+        for at in range(0, len(words), 64):
+            passages += 1
+            for w in set(words[at : at + 64]):
+                want[w] = want.get(w, 0) + 1
+    assert total == passages and {r.w: r.n for r in counts.collect()} == want
+    parsed = [decontaminate._item(*i) for i in items]
+    space = decontaminate._space(parsed, corpus, counts, total, 16, 4096, 4.0, 1_536, 7)
+    # Every word is in the space, the one-document ones too, with a direction of its passages.
+    assert set(space.known[:-1].view(np.int64).tolist()) == set(want)
+    assert (np.abs(space.table[:-1]).sum(axis=1) > 0).all()
