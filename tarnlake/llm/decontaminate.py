@@ -32,6 +32,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -316,27 +317,70 @@ def _space(
             yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
 
         parts = frame.mapInArrow(partial, "sums binary").rdd.map(lambda r: np.frombuffer(r[0], np.float32))
-        total = parts.treeReduce(np.add, 3).reshape(q.shape).astype(np.float64)
+        # The last sum is a task's too, so that one matrix reaches the driver and not one a partition.
+        few = max(1, round(parts.getNumPartitions() ** 0.5))
+        summed = parts.mapPartitionsWithIndex(lambda i, rows: ((i % few, row) for row in rows))
+        whole = summed.reduceByKey(np.add, few).values().coalesce(1).mapPartitions(lambda rows: [reduce(np.add, rows)])
+        total = whole.collect()[0].reshape(q.shape)
         shared.destroy()
         return total
 
     count = min(rank + 8, max(1, len(vocabulary)))
-    start = np.random.default_rng(seed).standard_normal((width, count)).astype(np.float32)
-    near = multiply(own, item_weight, start)
+    random = np.random.default_rng(seed)
+    start = np.empty((width, count), np.float32)
+    for some in _rows_of(start):
+        start[some] = random.standard_normal(start[some].shape)
+    near = multiply(own, item_weight, start).copy()
     # Directions that the items leave open are random ones.
-    basis = np.linalg.qr(near + 1e-3 * np.linalg.norm(near) / np.linalg.norm(start) * start)[0].astype(np.float32)
+    near += np.float32(1e-3 * np.sqrt(np.trace(_inner(near, near)) / np.trace(_inner(start, start)))) * start
+    del start
+    basis = _times_small(near, _whitened(_inner(near, near))[0])
+    del near
     share = float(np.sqrt(min(1.0, _CORPUS / max(1, rows))))
     product = multiply(own, item_weight, basis) + multiply(corpus, share, basis)
     words.destroy()
-    inner = basis.T.astype(np.float64) @ product
-    q, r = np.linalg.qr(product)
+    inner = _inner(basis, product)
+    del basis
+    white, r = _whitened(_inner(product, product))
     values, vectors = np.linalg.eigh(r @ np.linalg.pinv((inner + inner.T) / 2, rcond=1e-6, hermitian=True) @ r.T)
-    v = q @ vectors[:, np.argsort(-values)[:rank]]
-    table = (idf[:, None] * v).astype(np.float32)
+    table = _times_small(product, white @ vectors[:, np.argsort(-values)[:rank]])
+    table *= idf[:, None]
     table[-1] = 0.0
     return _Space(slots, known, table, idf)
 
 
+def _rows_of(matrix: np.ndarray) -> Iterator[slice]:
+    """Runs of rows: the driver holds its tall matrices in single precision and works on a run in double."""
+    return (slice(at, at + _STEP) for at in range(0, len(matrix), _STEP))
+
+
+def _inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The products of all columns of two tall matrices."""
+    total = np.zeros((a.shape[1], b.shape[1]))
+    for some in _rows_of(a):
+        total += a[some].astype(np.float64).T @ b[some].astype(np.float64)
+    return total
+
+
+def _times_small(tall: np.ndarray, small: np.ndarray) -> np.ndarray:
+    out = np.empty((len(tall), small.shape[1]), np.float32)
+    for some in _rows_of(tall):
+        out[some] = tall[some].astype(np.float64) @ small
+    return out
+
+
+def _whitened(inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of a matrix A with these inner products, W with orthonormal columns A W, and R with A = A W R.
+
+    Columns of A W are zero where A has no more directions than single precision can tell.
+    """
+    values, vectors = np.linalg.eigh(inner)
+    sizes = np.sqrt(np.maximum(values, 0.0))
+    sizes[sizes <= 1e-7 * sizes.max()] = 0.0
+    inverse = np.divide(1.0, sizes, out=np.zeros_like(sizes), where=sizes > 0)
+    return vectors * inverse, sizes[:, None] * vectors.T
+
+
 class Common:
     """Longest common subsequences of one word sequence with others, by bit vectors (Hyyro, 2004)."""
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -129,3 +130,21 @@ def test_counts_and_space_come_from_all_passages(spark):
     # Every word is in the space, the one-document ones too, with a direction of its passages.
     assert set(space.known[:-1].view(np.int64).tolist()) == set(want)
     assert (np.abs(space.table[:-1]).sum(axis=1) > 0).all()
+
+
+def test_the_driver_holds_few_tall_matrices(spark):
+    """Matrices of all words of a space are added up by tasks; the driver takes them a few rows at a time."""
+    rows, items, _ = _corpus(count=20)
+    rows += [(2000 + i, " ".join(f"word{i}x{j}" for j in range(600)), None, None) for i in range(40)]
+    texts = table(spark, rows).select(F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("key"))
+    counts, total, corpus = decontaminate._statistics(texts.repartition(16), None)
+    parsed = [decontaminate._item(*i) for i in items]
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        space = decontaminate._space(parsed, corpus, counts, total, 64, 1 << 15, 4.0, 1_536, 7)
+        peak = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    assert len(space.known) > 20_000
+    assert peak < 9 * len(space.known) * 72 * 4
