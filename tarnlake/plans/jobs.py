@@ -175,13 +175,12 @@ def resolve_entities(
 ) -> Resolution:
     """Match, cluster and merge tagged records into golden records.
 
-    The clustering reads as many links as connect the same records; ``links``, for the audit, are
+    The clustering compares only what it does not know to be connected; ``links``, for the audit, are
     all of them, found when they are read. The winners are checkpointed because golden rows and
     conflict log read them.
     """
     links = matching.match_links(records, rules)
-    connected = connecting.connecting_links(records, rules)
-    membership = cut_lineage(clusters.connected_components(records, connected))
+    membership = cut_lineage(connecting.clustered_records(records, rules))
     ids = clusters.golden_ids(membership, rules.entity_type)
     winners = cut_lineage(survivorship.resolve_fields(records.join(membership, RECORD_ID), policy))
     return Resolution(

@@ -173,6 +173,39 @@ def test_what_has_joined_the_main_component_is_compared_no_further(spark, monkey
     assert sum(compared) <= 460 * 12 + 1000
 
 
+def test_clustered_records_are_the_components_of_all_links(spark, monkeypatch):
+    monkeypatch.setattr(matching, "_TILE_ROWS", 7)
+    monkeypatch.setattr(connecting, "_WHOLE_ROWS", 1)
+    monkeypatch.setattr(connecting, "_NEAR_ROWS", 3)
+    monkeypatch.setattr(connecting, "_FIRST_MEMBERS", 1)
+    data = people(150, seed=3)
+    records = spark.createDataFrame(data, SCHEMA)
+    rules = (EMAIL, LETTERS, NAME_ONLY, WORDS)
+    got = connecting.clustered_records(records.unionByName(records.limit(3)), MatchRules("p", "v1", rules))
+    found = [tuple(r) for r in got.collect()]
+    assert len(found) == 153 and dict(found) == brute_components(data, rules)
+
+
+def test_what_an_exact_rule_connects_is_not_compared(spark, monkeypatch):
+    monkeypatch.setattr(connecting, "_WHOLE_ROWS", 1)
+    monkeypatch.setattr(connecting, "_NEAR_ROWS", 8)
+    compared, score = [], matching.matching_pairs
+
+    def counted(pairs, rule):
+        compared.append(pairs.count())
+        return score(pairs, rule)
+
+    monkeypatch.setattr(matching, "matching_pairs", counted)
+    # Names of equal letters pass the bound; none of the turned ones matches, but all share an address.
+    names = [f"margarethe smithson{i:03d}" for i in range(120)]
+    names += [name[::-1] for name in names[:40]]
+    data = [(f"a:{i:03d}", "a", name, "c", f"p{i % 120}@x.test", None) for i, name in enumerate(names)]
+    records = spark.createDataFrame(data, SCHEMA)
+    found = connecting.clustered_records(records, MatchRules("p", "v1", (EMAIL, LETTERS)))
+    assert {r.cluster for r in found.collect()} == {"a:000"}
+    assert len(compared) == 1 and compared[0] <= 160 * 12
+
+
 def test_tiles_meet_every_pair_once(spark, monkeypatch):
     monkeypatch.setattr(matching, "_TILE_ROWS", 5)
     profiles = spark.createDataFrame([(f"p{i:03d}", "g") for i in range(43)], "profile string, g string")
