@@ -54,7 +54,7 @@ _PASSAGES = 32
 _COUNTED = 1 << 19
 #: Stands behind the sorted words of a space.
 _NO_WORD = (1 << 64) - 1
-#: Texts of one array step of the search: its vectors stay in the processor cache.
+#: Bytes of the texts of one array step: its words and vectors stay in the processor cache.
 _SEARCH_BYTES = 1 << 18
 _FOUND = (
     "doc_id long, item_id long, cosine double, common long, item_words long, answer boolean, "
@@ -108,6 +108,20 @@ def _added(words: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return every, sums
 
 
+def _passage_counts(hashes: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words, sorted, and in how many parts each occurs; ``part`` is that of each word."""
+
+    def changes(values: np.ndarray) -> np.ndarray:
+        return np.concatenate(([True], values[1:] != values[:-1]))
+
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    first = changes(hashes)
+    pairs = np.sort((np.cumsum(first) - 1) * (int(part[-1]) + 1) + part[order])
+    heads = np.flatnonzero(first)
+    return hashes[heads], np.add.reduceat(changes(pairs).astype(np.int64), heads)
+
+
 def _statistics(texts: DataFrame, sample: int | None) -> tuple[DataFrame, int, DataFrame]:
     """Passages per word (``w, n``), number of passages, and the rows that the space is made from: all
     texts, or the ``sample`` passages with the smallest random keys."""
@@ -124,17 +138,15 @@ def _statistics(texts: DataFrame, sample: int | None) -> tuple[DataFrame, int, D
                     [pa.array(keys[some].view(np.int64)), pa.array(counts[some])], names=["w", "n"]
                 )
 
-        for _, data, offsets in runs(batches):
+        for _, data, offsets in runs(batches, limit=_SEARCH_BYTES):
             words = words_of(data, offsets, True, PUNCTUATED)
             starts, ends = _passages(words)
             if not len(starts):
                 continue
             total += len(starts)
-            every, place = np.unique(words.hashes(), return_inverse=True)
-            part = np.repeat(np.arange(len(starts)), ends - starts)
-            pairs = np.unique(part * len(every) + place)
+            every, counts = _passage_counts(words.hashes(), np.repeat(np.arange(len(starts)), ends - starts))
             words_held.append(every)
-            counts_held.append(np.bincount(pairs % len(every), minlength=len(every)))
+            counts_held.append(counts)
             held += len(every)
             if held > 2 * _COUNTED:
                 keys, counts = _added(words_held, counts_held)

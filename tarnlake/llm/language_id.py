@@ -57,25 +57,29 @@ def _letters(data: np.ndarray) -> np.ndarray:
     if not _TABLE:
         _TABLE.append(_letter_table())
     codes = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-    plain = np.where(codes < len(_TABLE[0]), _TABLE[0][np.minimum(codes, 0xFFFF)], codes)
-    blank = plain == 32
-    keep = ~blank
-    keep[1:] |= ~blank[:-1]
+    table = _TABLE[0]
+    if len(codes) and codes.max() >= len(table):
+        plain = np.where(codes < len(table), table[np.minimum(codes, 0xFFFF)], codes)
+    else:
+        plain = table[codes]
+    keep = plain != 32
+    keep[1:] |= keep[:-1].copy()
     return plain[keep]
 
 
 def _counts(data: np.ndarray, size: int) -> np.ndarray:
     """Counts of the hashed n-grams of one text, with a blank at either end."""
-    letters = np.concatenate(([32], _letters(data), [32])).astype(np.uint64)
-    total = np.zeros(size, np.int64)
+    own = _letters(data)
+    letters = np.full(len(own) + 2, 32, np.uint64)
+    letters[1:-1] = own
     shift = np.uint64(64 - (size.bit_length() - 1))
     code = np.zeros(len(letters), np.uint64)
+    grams = []
     for n in _GRAMS:
         code = (code[: len(letters) - n + 1] << np.uint64(21)) | letters[n - 1 :]
-        if len(code):
-            slots = mix(code * np.uint64(4) + np.uint64(n)) >> shift
-            total += np.bincount(slots.astype(np.int64), minlength=size)
-    return total
+        grams.append(code * np.uint64(4) + np.uint64(n))
+    slots = mix(np.concatenate(grams)) >> shift
+    return np.bincount(slots.astype(np.int64), minlength=size)
 
 
 def _vector(counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import tracemalloc
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -148,3 +149,13 @@ def test_the_driver_holds_few_tall_matrices(spark):
         tracemalloc.stop()
     assert len(space.known) > 20_000
     assert peak < 9 * len(space.known) * 72 * 4
+
+
+def test_words_are_counted_once_a_passage():
+    draw = np.random.default_rng(5)
+    for parts, words in ((1, 1), (9, 40), (300, 7)):
+        part = np.repeat(np.arange(parts), draw.integers(1, 65, parts))
+        hashes = draw.integers(0, words, len(part)).astype(np.uint64) << np.uint64(60)
+        every, counts = decontaminate._passage_counts(hashes, part)
+        want = Counter(w for w, _ in set(zip(hashes.tolist(), part.tolist(), strict=True)))
+        assert list(zip(every.tolist(), counts.tolist(), strict=True)) == sorted(want.items())
