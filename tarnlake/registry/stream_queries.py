@@ -113,7 +113,7 @@ def stream_ordered_apply(t: Tables) -> DataFrame:
     order = ["ts", "event_id"]
     newer = ordered.newer_only(stream, ["user_id"], order, "36500 days")
     apply = ordered.apply_ordered(layer, order, "removed")
-    events.apply_available(newer, work_path(t.spark, "checkpoint"), apply)
+    ordered.run_available(newer, work_path(t.spark, "checkpoint"), apply)
     return layer.read().select(*columns[:-1])
 
 

@@ -14,16 +14,19 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tarnlake.operators.merge import check_keys, has_key
+from tarnlake.session import ROCKSDB, STATE_STORE_CONF
 from tarnlake.sources.keyed_layer import KeyedLayer
+from tarnlake.streaming import events
 
 _TIE = "_tie"
 
@@ -109,3 +112,26 @@ def apply_ordered(
         layer.merge(batch, order, soft_delete)
 
     return apply
+
+
+@contextmanager
+def _state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Streams that start inside keep their state in RocksDB: the default store can't hold value state
+    and timers. A stream takes the settings of the session over when it starts."""
+    before = spark.conf.get(STATE_STORE_CONF, None)
+    spark.conf.set(STATE_STORE_CONF, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE_CONF)
+        else:
+            spark.conf.set(STATE_STORE_CONF, before)
+
+
+def run_available(
+    newer: DataFrame, checkpoint: str, apply: Callable[[DataFrame, int], None]
+) -> StreamingQuery:
+    """``events.apply_available`` for what ``newer_only`` lets through, in a session of any settings."""
+    with _state_in_rocksdb(newer.sparkSession):
+        return events.apply_available(newer, checkpoint, apply)

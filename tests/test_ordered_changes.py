@@ -10,8 +10,10 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarnlake.session import STATE_STORE_CONF
 from tarnlake.sources.keyed_layer import KeyedLayer
 from tarnlake.streaming import events, ordered
+from tests.conftest import SMALL
 
 SCHEMA = "id string, at timestamp, version int, value string, gone boolean"
 START = datetime(2024, 1, 1)
@@ -105,3 +107,37 @@ def test_processor_starts_in_a_worker_without_the_package(tmp_path):
     )
     assert done.returncode == 0, done.stderr.decode()
     assert done.stdout.decode().strip() == "['id', 'at', '_tie'] ((False, None), (True, 1))"
+
+
+def test_a_session_with_the_default_state_store(spark, tmp_path):
+    """The state has values and timers, which Spark's default store can't hold."""
+    rows = [("a", _at(2), 2, "a2", False), ("a", _at(1), 1, "a1", False), ("b", _at(1), 1, None, True), (None, _at(1), 1, "x", False)]
+    source = str(tmp_path / "in")
+    spark.createDataFrame(rows, SCHEMA).write.parquet(source)
+    changes = events.read_files(spark, source, spark.createDataFrame([], SCHEMA).schema)
+    layer = KeyedLayer(spark, str(tmp_path / "layer"), ["id"])
+    before = spark.conf.get(STATE_STORE_CONF)
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    try:
+        spark.conf.set(STATE_STORE_CONF, default)
+        newer = ordered.newer_only(changes, ["id"], ["at", "version"], "1 hour")
+        ordered.run_available(newer, str(tmp_path / "checkpoint"), ordered.apply_ordered(layer, ["at", "version"], "gone"))
+        assert spark.conf.get(STATE_STORE_CONF) == default
+    finally:
+        spark.conf.set(STATE_STORE_CONF, before)
+    assert [(r.id, r.value) for r in layer.read().collect()] == [("a", "a2")]
+
+
+def test_the_query_in_a_session_with_the_default_state_store(spark):
+    import check_queries
+
+    from __spark_entry__ import oracle_sql, queries
+
+    before = spark.conf.get(STATE_STORE_CONF)
+    try:
+        spark.conf.unset(STATE_STORE_CONF)
+        found = queries()["stream_ordered_apply"](spark, SMALL)
+        con = check_queries.connect(SMALL)
+        assert check_queries.compare(found, con, oracle_sql()["stream_ordered_apply"]) == ""
+    finally:
+        spark.conf.set(STATE_STORE_CONF, before)
