@@ -314,6 +314,28 @@ def test_long_chain_is_one_component(spark):
     assert got["060"] == "060"
 
 
+def test_few_edges_are_solved_by_one_task(spark, monkeypatch):
+    rng = random.Random(7)
+    ids = [f"{rng.choice('aé')}{i}\U0010ffff"[: rng.choice([5, 9])] + str(i) for i in range(90)]
+    pairs = [(rng.choice(ids), rng.choice(ids)) for _ in range(60)] + list(zip(ids[60:80], ids[61:81]))
+    links = spark.createDataFrame([*pairs, (None, ids[0])], "record_a_id string, record_b_id string")
+    nodes = spark.createDataFrame([(i,) for i in ids], "_record_id string")
+    cuts = []
+    whole = clusters.cut_lineage
+    monkeypatch.setattr(clusters, "cut_lineage", lambda df, label="cut": cuts.append(label) or whole(df, label))
+
+    def run(one_task):
+        del cuts[:]
+        found = clusters.connected_components(nodes, links.repartition(5), one_task=one_task).collect()
+        return sorted(tuple(r) for r in found), len(cuts)
+
+    rounds, many = run(0)
+    at_once, two = run(clusters.ONE_TASK_EDGES)
+    assert at_once == rounds and len({c for _, c in rounds}) < 60
+    assert two == 2 < many
+    assert run(10) == (rounds, many)
+
+
 def test_components_without_links(spark):
     nodes = spark.createDataFrame([("a",), ("b",)], "_record_id string")
     links = spark.createDataFrame([], "record_a_id string, record_b_id string")
