@@ -8,10 +8,12 @@ agree on every field the threshold makes compulsory.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ KINDS = ("exact", "jaro_winkler", "token_set")
 
 _EPS = 1e-9
 _TILE_ROWS = 512
+#: Tile of the groups that ``_close_texts`` compares.
+_TEXT_ROWS = 4_096
 _BUCKET_DIGITS = 4
 _NO_UNIT = "\x00"
 
@@ -313,6 +317,12 @@ class Approach:
     overlap: float = 0.0
 
 
+def _needed(rule: SimilarRule, f: SimilarField) -> float:
+    """How similar a field must be at least if the others are at their most."""
+    others = sum(g.weight for g in rule.fields) - f.weight
+    return (rule.threshold - others) / f.weight - _EPS
+
+
 def approaches(rule: SimilarRule) -> list[Approach]:
     """What any match must have in common, derived from weights and threshold.
 
@@ -325,7 +335,7 @@ def approaches(rule: SimilarRule) -> list[Approach]:
     weights = sum(f.weight for f in rule.fields)
 
     def need(f: SimilarField) -> float:
-        return (rule.threshold - (weights - f.weight)) / f.weight - _EPS
+        return _needed(rule, f)
 
     equal = tuple(f.field for f in rule.fields if f.kind == "exact" and need(f) > 0)
     words = [f for f in rule.fields if f.kind == "token_set" and need(f) > 0]
@@ -429,6 +439,12 @@ def similar_pairs(
     inside, profiles = combinations(prepared, rule)
     found: list[DataFrame] = []
     options = approaches(rule)
+    only = None if bounded else lone_text(rule, options)
+    if only is not None:
+        profiles = cut_lineage(profiles, "profiles")
+        rest, wide = _by_group_size(profiles, options[0], only)
+        small = matching_pairs(_candidates(rest, rule, options[0], False), rule)
+        return inside, small if wide is None else small.unionByName(_close_texts(wide, rule, only))
     for approach in options:
         found.append(_candidates(profiles, rule, approach, bounded))
     pairs = reduce(DataFrame.unionByName, found)
@@ -449,6 +465,93 @@ def matching_pairs(pairs: DataFrame, rule: SimilarRule) -> DataFrame:
     ).where(F.col("score") >= rule.threshold)
 
 
+def lone_text(rule: SimilarRule, options: list[Approach]) -> SimilarField | None:
+    """The Jaro-Winkler field of a rule whose other fields are equal in all matches, if it has to be
+    similar to a degree."""
+    others = [f for f in rule.fields if f.field not in options[0].equal]
+    if len(options) > 1 or len(others) != 1 or others[0].kind != "jaro_winkler":
+        return None
+    return others[0] if _needed(rule, others[0]) > 0 else None
+
+
+def _by_group_size(
+    profiles: DataFrame, approach: Approach, only: SimilarField
+) -> tuple[DataFrame, DataFrame | None]:
+    """Combinations of small groups, and ``_group, _tiles, profile, text`` of those in large groups, if
+    there are any. Groups with a text that doesn't fit a word count as small."""
+    rows, keys = equal_profiles(profiles, approach)
+    value = F.col(_normal(only.field))
+    rows = rows.where(value.isNotNull() & F.col("profile").isNotNull())
+    fits = F.max(F.greatest(F.length(value), F.when(F.contains(value, F.lit("\x00")), text.WORD_LETTERS + 1)))
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), fits.alias("_longest"))
+    large = sizes.where((F.col("_n") > _TILE_ROWS) & (F.col("_longest") <= text.WORD_LETTERS))
+    tiles = F.ceil(F.col("_n") / _TEXT_ROWS).cast("int")
+    large = cut_lineage(
+        large.select(*keys, F.monotonically_increasing_id().alias("_group"), tiles.alias("_tiles")), "large"
+    )
+    if large.isEmpty():
+        return profiles, None
+    rest = profiles.join(large, keys, "left_anti")
+    return rest, rows.join(large, keys).select("_group", "_tiles", "profile", value.alias("text"))
+
+
+def _close_texts(wide: DataFrame, rule: SimilarRule, only: SimilarField) -> DataFrame:
+    """``matching_pairs`` of all combinations of each group, by comparing many texts at a time.
+
+    The cells are those of ``_in_cells`` with larger tiles. A task holds the texts of one cell.
+    """
+    tile = F.pmod(F.xxhash64("profile"), F.col("_tiles")).cast("int")
+    spread = wide.withColumn("_tile", tile).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1)))
+    cell = ["_group", "_low", "_high"]
+    spread = spread.withColumns({"_low": F.least("_tile", "_other"), "_high": F.greatest("_tile", "_other")})
+    spread = spread.select(*cell, "_tile", "profile", "text")
+    # Cells differ in work, not in bytes: several for each core even out.
+    session = spread.sparkSession
+    tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")), 4 * session.sparkContext.defaultParallelism)
+    dealt = spread.repartition(tasks, *cell).sortWithinPartitions(*cell)
+    least = _needed(rule, only)
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _cells(batches, cell):
+            tiles, names = held["_tile"].to_numpy(), held["profile"].to_numpy(zero_copy_only=False)
+            rank = np.unique(names, return_inverse=True)[1]
+            texts = held["text"].to_numpy(zero_copy_only=False)
+            low, high = (np.flatnonzero(tiles == held[c][0].as_py()) for c in ("_low", "_high"))
+            sides = [(low, low)] if held["_low"][0] == held["_high"][0] else [(low, high), (high, low)]
+            for a, b in sides:
+                for i, j, score in text.close_pairs(texts[a], texts[b], rank[a], rank[b], least):
+                    ends = [held["profile"].take(pa.array(side)) for side in (a[i], b[j])]
+                    yield pa.RecordBatch.from_arrays([*ends, pa.array(score)], ["record_a_id", "record_b_id", "_s"])
+
+    pairs = dealt.mapInArrow(compare, "record_a_id string, record_b_id string, _s double")
+    total, names = F.lit(0.0), []
+    for f in rule.fields:
+        alike = f is only
+        total = total + (F.col("_s") if alike else F.lit(1.0)) * F.lit(float(f.weight))
+        names.append(F.when(F.col("_s") > 0.5, F.lit(f.field)) if alike else F.lit(f.field))
+    return pairs.select(
+        "record_a_id", "record_b_id", total.alias("score"), F.array_compact(F.array(*names)).alias("matched_fields")
+    ).where(F.col("score") >= rule.threshold)
+
+
+def _cells(batches: Iterable[pa.RecordBatch], cell: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of each cell as one batch, from rows sorted by the cells."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        at = np.stack([batch[c].to_numpy() for c in cell], axis=1)
+        starts = np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1
+        bounds = [0, *starts.tolist(), batch.num_rows]
+        for low, high in zip(bounds, bounds[1:]):
+            part = batch.slice(low, high - low)
+            if held and any(held[-1][c][0] != part[c][0] for c in cell):
+                yield pa.concat_batches(held)
+                held = []
+            if part.num_rows:
+                held.append(part)
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _bound(rule: SimilarRule, known_equal: tuple[str, ...]) -> Column:
     """A score no pair exceeds, from built-in expressions, to spare most pairs the exact one.
 

@@ -6,10 +6,11 @@ import hashlib
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tarnlake.functions.text import jaro_winkler_text
+from tarnlake.functions.text import close_pairs, jaro_winkler_text, round_four
 from tarnlake.operators import clusters, connecting, matching, survivorship
 from tarnlake.operators.matching import (
     Blocking,
@@ -314,6 +315,71 @@ def test_long_chain_is_one_component(spark):
     assert got["060"] == "060"
 
 
+def test_close_pairs_are_those_of_the_plain_similarity():
+    rng = random.Random(3)
+    for letters, longest in itertools.product(("ab", "0123456789abcdef ", "aé漢b"), (1, 3, 8, 20, 33, 64)):
+        def made(n):
+            return ["".join(rng.choice(letters) for _ in range(rng.randrange(longest + 1))) for _ in range(n)]
+
+        first, ranks = made(20), [np.array([rng.randrange(20) for _ in range(n)]) for n in (20, 33)]
+        second = made(30) + first[:3]
+        least = rng.choice([0.01, 0.5, 0.8154, 1.0])
+        want = {
+            (i, j): jaro_winkler_text(a, b)
+            for (i, a), (j, b) in itertools.product(enumerate(first), enumerate(second))
+            if ranks[0][i] < ranks[1][j]
+        }
+        found = [
+            ((int(a), int(b)), s)
+            for i, j, score in close_pairs(first, second, *ranks, least)
+            for a, b, s in zip(i, j, score)
+        ]
+        assert len(found) == len(dict(found))
+        assert dict(found) == {k: v for k, v in want.items() if v >= least}
+
+
+def test_scores_are_rounded_as_by_round():
+    rng = random.Random(5)
+    values = [rng.random() for _ in range(3000)] + [k / 20000 for k in range(2000)] + [0.00005, 1.0, -0.12345, 1e12 + 0.3]
+    assert round_four(np.array(values)).tolist() == [round(v, 4) for v in values]
+    assert np.isnan(round_four(np.array([np.nan]))[0])
+
+
+@pytest.mark.parametrize("long_one", [False, True])
+def test_large_groups_are_compared_many_texts_at_a_time(spark, monkeypatch, long_one):
+    """All pairs of a large group, in tiles; nulls, equal ids and groups with a text that is too long."""
+    monkeypatch.setattr(matching, "_TILE_ROWS", 20)
+    monkeypatch.setattr(matching, "_TEXT_ROWS", 16)
+    joined = []
+    candidates = matching._candidates
+    monkeypatch.setattr(matching, "_candidates", lambda p, *a: joined.append(p.count()) or candidates(p, *a))
+    rule = SimilarRule("n", (SimilarField("name", 0.65, "jaro_winkler"), SimilarField("city", 0.35)), 0.88)
+    rng = random.Random(11)
+    data = people(150, seed=9)
+    data += [(f"a:x{i}", "a", "".join(rng.choice("abcd ") for _ in range(9)), "york", None, None) for i in range(40)]
+    data += [("a:x1", "a", "abcdabcd", "york", None, None), ("a:small", "a", "anna smith", "hull", None, None)]
+    if long_one:
+        data.append(("a:long", "a", "ab" * 40, "york", None, None))
+    records = spark.createDataFrame(data, SCHEMA)
+    prepared = matching.prepare(records, MatchRules("p", "v1", (rule,)))
+    _, pairs = matching.similar_pairs(prepared, rule, False)
+    got = sorted((r.record_a_id, r.record_b_id, r.score, tuple(r.matched_fields)) for r in pairs.collect())
+    combos = {}
+    for r in data:
+        if r[2] is not None and r[3] is not None:
+            key = norm(r[2]), r[3]
+            combos[key] = min(combos.get(key, r[0]), r[0])
+    want = []
+    for ((n1, c1), p1), ((n2, c2), p2) in itertools.product(combos.items(), combos.items()):
+        score = jaro_winkler_text(n1, n2) * 0.65 + 0.35
+        if c1 == c2 and p1 < p2 and score >= 0.88:
+            want.append((p1, p2, 0.0 + jaro_winkler_text(n1, n2) * 0.65 + 1.0 * 0.35, ("name", "city")))
+    assert got == sorted(want) and len(got) > 100
+    # Only what is in small groups, or has no city, goes through the join.
+    york = sum(c == "york" for _, c in combos)
+    assert (joined[0] >= york) == long_one
+
+
 def test_few_edges_are_solved_by_one_task(spark, monkeypatch):
     rng = random.Random(7)
     ids = [f"{rng.choice('aé')}{i}\U0010ffff"[: rng.choice([5, 9])] + str(i) for i in range(90)]
