@@ -187,6 +187,26 @@ def test_clustered_records_are_the_components_of_all_links(spark, monkeypatch):
     assert len(found) == 153 and dict(found) == brute_components(data, rules)
 
 
+@pytest.mark.parametrize("long_one", [False, True])
+def test_search_compares_many_texts_at_a_time(spark, monkeypatch, long_one):
+    """The search for components needs no bound where the texts fit a word, and finds the same."""
+    monkeypatch.setattr(matching, "_TILE_ROWS", 7)
+    monkeypatch.setattr(connecting, "_WHOLE_ROWS", 1)
+    monkeypatch.setattr(connecting, "_NEAR_ROWS", 3)
+    monkeypatch.setattr(connecting, "_FIRST_MEMBERS", 1)
+    calls = []
+    close, letters = matching.close_sides, matching.with_letters
+    monkeypatch.setattr(matching, "close_sides", lambda *a: calls.append("close") or close(*a))
+    monkeypatch.setattr(matching, "with_letters", lambda *a: calls.append("letters") or letters(*a))
+    data = people(120, seed=8)
+    if long_one:
+        data += [("a:long", "a", "ab" * 40, "york", None, None), ("b:long", "b", "ab" * 39 + "b", "york", None, None)]
+    rule = SimilarRule("n", (SimilarField("name", 0.65, "jaro_winkler"), SimilarField("city", 0.35)), 0.9)
+    found = connecting.clustered_records(spark.createDataFrame(data, SCHEMA), MatchRules("p", "v1", (rule,)))
+    assert {r[0]: r[1] for r in found.collect()} == brute_components(data, (rule,))
+    assert set(calls) == {"letters" if long_one else "close"}
+
+
 def test_what_an_exact_rule_connects_is_not_compared(spark, monkeypatch):
     monkeypatch.setattr(connecting, "_WHOLE_ROWS", 1)
     monkeypatch.setattr(connecting, "_NEAR_ROWS", 8)
